@@ -63,7 +63,7 @@ def fact_rows(
             "negative_comment_pct": F.col("negative_pct"),
             "neutral_comment_pct": F.col("neutral_pct"),
             "hashtag_count": zero(F.col("hashtag_count")),
-            "loaded_at": F.lit(loaded_at),
+            "loaded_at": F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp"),
             "pipeline_run_id": F.lit(run),
         }
     )

@@ -9,6 +9,7 @@ joined and summed again. Sums and counts are exact; rounding comes last.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ MIN_YEAR = 2025
 TOP_CREATORS = 50
 TOP_CREATORS_CHART = 20
 TOP_MUSIC = 10
-QUARTILES = (0.25, 0.5, 0.75)
+QUARTILES = (Decimal("0.25"), Decimal("0.50"), Decimal("0.75"))
 
 Tables = Mapping[str, DataFrame]
 
@@ -267,13 +268,13 @@ def tier_distribution(t: Tables) -> DataFrame:
         .where((F.col("end") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("end")))
         .groupBy("influencer_tier")
         .pivot("side", [f"{s}_{i}" for i in range(len(QUARTILES)) for s in ("lo", "hi")])
-        .agg(F.first(F.col("engagement_rate").cast("double")))
+        .agg(F.first("engagement_rate"))
     )
     quartiles = []
     for i, p in enumerate(QUARTILES):
         rank, lo, hi = _quartile_rank(p), F.col(f"lo_{i}"), F.col(f"hi_{i}")
         value = lo + (rank - F.floor(rank)) * (hi - lo)
-        quartiles.append(F.round(value, 6).alias(f"p{int(p * 100)}_rate"))
+        quartiles.append(F.round(value, 6).cast("double").alias(f"p{int(p * 100)}_rate"))
     return (
         tiers.join(at_rank, "influencer_tier")
         .select("influencer_tier", "videos", "min_rate", *quartiles, "max_rate")
@@ -281,7 +282,7 @@ def tier_distribution(t: Tables) -> DataFrame:
     )
 
 
-def _quartile_rank(p: float) -> Column:
+def _quartile_rank(p: Decimal) -> Column:
     return (F.col("videos") - 1) * F.lit(p)
 
 
