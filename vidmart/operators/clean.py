@@ -25,10 +25,15 @@ def best_first(first: str, columns: list[str]) -> list[Column]:
 
 
 def _played(df: DataFrame) -> DataFrame:
-    """Posts with at least one play, cleaned column by column, duplicates still in."""
-    return df.where(F.col("playCount") > 0).withColumns(
+    """Rows with at least one play, as they came, with the video id."""
+    return df.where(F.col("playCount") > 0).withColumn(
+        "video_id", text.video_id(F.col("webVideoUrl"))
+    )
+
+
+def _tidy(df: DataFrame) -> DataFrame:
+    return df.withColumns(
         {
-            "video_id": text.video_id(F.col("webVideoUrl")),
             "createTimeISO": F.try_to_timestamp("createTimeISO"),
             "commentCount": measures.zero_if_null(F.col("commentCount")),
             "shareCount": measures.zero_if_null(F.col("shareCount")),
@@ -40,19 +45,19 @@ def _played(df: DataFrame) -> DataFrame:
 def videos(df: DataFrame) -> DataFrame:
     """One row per video: the most played copy.
 
-    Filters come before the duplicates go, so an unplayed copy cannot displace a good one.
-    The id is a function of the address, so keeping the best row per id also keeps at most
-    one row per address: a single shuffle does both. Rows without an id are set aside, see
-    ``rejected_videos``.
+    Filters come before the duplicates go, so an unplayed copy cannot displace a good one;
+    parsing comes after, so it is done once per video. The id is a function of the address,
+    so keeping the best row per id also keeps at most one row per address: a single shuffle
+    does both. Rows without an id are set aside, see ``rejected_videos``.
     """
     good = _played(df).where(F.col("video_id").isNotNull())
-    return keep_first(good, ["video_id"], best_first("playCount", good.columns))
+    return _tidy(keep_first(good, ["video_id"], best_first("playCount", df.columns)))
 
 
 def unique_addresses(df: DataFrame) -> DataFrame:
     """One played row per ``webVideoUrl``, the most played; NULL addresses count as one."""
     rows = _played(df)
-    return keep_first(rows, ["webVideoUrl"], best_first("playCount", rows.columns))
+    return _tidy(keep_first(rows, ["webVideoUrl"], best_first("playCount", df.columns)))
 
 
 def rejected_videos(df: DataFrame) -> DataFrame:

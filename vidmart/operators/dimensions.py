@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vidmart import schemas
 from vidmart.functions import measures
-from vidmart.operators.keys import assign_keys
+from vidmart.operators.keys import Cut, assign_keys, no_cut
 
 # Calendar range, and the lookup of safety states.
 DATE_RANGE = (date(2019, 1, 1), date(2027, 12, 31))
@@ -73,7 +73,7 @@ def _calendar(days: DataFrame, holidays: DataFrame | None) -> DataFrame:
     return schemas.conform(out, schemas.DIM_DATE)
 
 
-def music_table(raw_videos: DataFrame) -> DataFrame:
+def music_table(raw_videos: DataFrame, cut: Cut = no_cut) -> DataFrame:
     """One row per (name, author) of the raw videos, NULL and empty counting as equal.
 
     Original if any post says so. Grouping combines in the map tasks, so a sound that a third
@@ -88,7 +88,7 @@ def music_table(raw_videos: DataFrame) -> DataFrame:
         measures.as_bool(F.max("musicMeta_musicOriginal")).alias("is_original"),
     )
     return schemas.conform(
-        assign_keys(music, ["_name", "_author"], "music_sk"), schemas.DIM_MUSIC
+        assign_keys(cut(music), ["_name", "_author"], "music_sk"), schemas.DIM_MUSIC
     )
 
 

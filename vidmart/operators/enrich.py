@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vidmart.functions import text
 from vidmart.operators.lookup import lookup
 
 # What a video gets when none of its tags is known.
@@ -40,9 +41,13 @@ def sentiment_by_video(comments: DataFrame) -> DataFrame:
 
 
 def video_tags(videos: DataFrame) -> DataFrame:
-    """(video_id, position, tag): only the narrow columns are exploded; empty tags go."""
+    """(video_id, position, tag): only the narrow columns are exploded; empty tags go.
+
+    The outer form is used because for the inner one Catalyst adds a test of the array's size,
+    which works out the hashtags of every caption a second time.
+    """
     return videos.select(
-        "video_id", F.posexplode("hashtag_list").alias("tag_position", "tag")
+        "video_id", F.posexplode_outer("hashtag_list").alias("tag_position", "tag")
     ).where(F.col("tag") != "")
 
 
@@ -84,6 +89,13 @@ def bridge_pairs(tags: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return pairs.select("video_id", "hashtag_id").distinct()
 
 
+def author_names(raw_videos: DataFrame) -> DataFrame:
+    """Normalised authors of raw videos: one column to read, good enough for frequencies."""
+    return raw_videos.select(
+        text.normal_key(F.col("authorMeta_name")).alias("authorMeta_name")
+    )
+
+
 def with_creators(
     videos: DataFrame, creators: DataFrame, keys_from: DataFrame | None = None
 ) -> DataFrame:
@@ -105,13 +117,18 @@ def with_category(videos: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def videos_final(
-    features: DataFrame, creators: DataFrame, comments: DataFrame, taxonomy: DataFrame
+    features: DataFrame,
+    creators: DataFrame,
+    comments: DataFrame,
+    taxonomy: DataFrame,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """The joined video table, one row per video.
 
     Cleaning leaves videos partitioned by ``video_id``; the two joins on that key come first
-    and reuse it, the author join, on another key, comes last.
+    and reuse it, the author join, on another key, comes last. ``names`` is a cheap frame to
+    count author frequencies on, see ``lookup``.
     """
     joined = with_sentiment(features, sentiment_by_video(comments))
     joined = with_category(joined, primary_category(video_tags(features), taxonomy))
-    return with_creators(joined, creators)
+    return with_creators(joined, creators, names)

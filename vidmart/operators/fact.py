@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vidmart import schemas
 from vidmart.functions import measures
-from vidmart.operators.keys import assign_keys
+from vidmart.operators.keys import Cut, assign_keys, no_cut
 from vidmart.operators.lookup import lookup
 
 
@@ -67,13 +67,18 @@ def fact_rows(
             "pipeline_run_id": F.lit(run),
         }
     )
-    return schemas.conform(rows, schemas.FACT)
+    return schemas.conform(rows, schemas.FACT).drop("video_sk")
 
 
 def fact_table(
-    final: DataFrame, dim_creator: DataFrame, dim_music: DataFrame, run: str, loaded_at: datetime
+    final: DataFrame,
+    dim_creator: DataFrame,
+    dim_music: DataFrame,
+    run: str,
+    loaded_at: datetime,
+    cut: Cut = no_cut,
 ) -> DataFrame:
-    rows = fact_rows(final, dim_creator, dim_music, run, loaded_at).drop("video_sk")
+    rows = cut(fact_rows(final, dim_creator, dim_music, run, loaded_at))
     return schemas.conform(assign_keys(rows, ["video_id"], "video_sk"), schemas.FACT)
 
 

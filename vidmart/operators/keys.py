@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,15 @@ from pyspark.sql import functions as F
 # buckets of nearly equal size, as keys are unique.
 BUCKET_DIGITS = 4
 
+# Numbering reads its input twice, to count and to number. Builders of keyed tables therefore
+# take a ``cut``, which may write the rows and return the written copy; a batch run stages
+# them, and without it the rows are simply worked out twice.
+Cut = Callable[[DataFrame], DataFrame]
+
+
+def no_cut(df: DataFrame) -> DataFrame:
+    return df
+
 
 def bucket(keys: list[str]):
     return F.substring(F.md5(F.concat_ws("\x1f", *keys).cast("binary")), 1, BUCKET_DIGITS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vidmart import schemas
 from vidmart.functions import measures, text
 from vidmart.operators.clean import best_first, keep_first
-from vidmart.operators.keys import assign_keys
+from vidmart.operators.keys import Cut, assign_keys, no_cut
 
 
 def empty_dimension(spark: SparkSession) -> DataFrame:
@@ -66,14 +66,18 @@ def version_changes(
 
 
 def scd2(
-    old: DataFrame, profiles: DataFrame, as_of: date, threshold: float = measures.SCD2_CHANGE
+    old: DataFrame,
+    profiles: DataFrame,
+    as_of: date,
+    threshold: float = measures.SCD2_CHANGE,
+    cut: Cut = no_cut,
 ) -> DataFrame:
     """The whole dimension after one load: history, kept, closed and opened versions.
 
     A pure function of its inputs; the caller writes the result to a new path, never over the
     one being read. Running it again with the same profiles changes nothing.
     """
-    rows = version_changes(old, profiles, as_of, threshold)
+    rows = cut(version_changes(old, profiles, as_of, threshold))
     opened = assign_keys(
         rows.where("creator_sk is null").drop("creator_sk"), ["creator_nk"], "creator_sk", old
     )

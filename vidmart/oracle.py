@@ -121,6 +121,14 @@ SENTIMENT_LABEL = """CASE WHEN positive_comment_pct >= 70 THEN 'Highly Positive
   WHEN positive_comment_pct >= 50 THEN 'Mostly Positive (50-69%)'
   WHEN positive_comment_pct >= 30 THEN 'Mixed (30-49%)' ELSE 'Mostly Negative (<30%)' END"""
 
+def _tidy(rows: str) -> str:
+    return f"""
+SELECT * REPLACE (lower({strip('authorMeta_name')}) AS authorMeta_name,
+  coalesce(shareCount, 0) AS shareCount, coalesce(commentCount, 0) AS commentCount,
+  TRY_CAST(replace(replace(createTimeISO, 'T', ' '), 'Z', '') AS TIMESTAMP) AS createTimeISO)
+FROM {rows}"""
+
+
 # In order: each expression may use the ones above it.
 CTES: dict[str, str] = {
     "videos_raw": """
@@ -190,20 +198,18 @@ FROM orders
 WHERE (month(o_orderdate) = 1 AND day(o_orderdate) = 1)
   OR (month(o_orderdate) = 12 AND day(o_orderdate) = 25)
 GROUP BY 1""",
-    "played": f"""
-SELECT authorMeta_avatar, lower({strip('authorMeta_name')}) AS authorMeta_name, text, diggCount,
-  coalesce(shareCount, 0) AS shareCount, playCount, coalesce(commentCount, 0) AS commentCount,
-  videoMeta_duration, musicMeta_musicName, musicMeta_musicAuthor, musicMeta_musicOriginal,
-  TRY_CAST(replace(replace(createTimeISO, 'T', ' '), 'Z', '') AS TIMESTAMP) AS createTimeISO,
-  webVideoUrl, nullif(regexp_extract(webVideoUrl, '/video/(\\d+)', 1), '') AS video_id
+    "played": """
+SELECT *, nullif(regexp_extract(webVideoUrl, '/video/(\\d+)', 1), '') AS video_id
 FROM videos_raw WHERE playCount > 0""",
-    "by_address": f"""
+    "kept_addresses": f"""
 SELECT * FROM played QUALIFY row_number() OVER (PARTITION BY webVideoUrl
   ORDER BY {_best('playCount', _VIDEO_COLUMNS)}) = 1""",
-    "videos": f"""
-SELECT * FROM by_address WHERE video_id IS NOT NULL
+    "kept_videos": f"""
+SELECT * FROM kept_addresses WHERE video_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY video_id
   ORDER BY {_best('playCount', _VIDEO_COLUMNS)}) = 1""",
+    "by_address": _tidy("kept_addresses"),
+    "videos": _tidy("kept_videos"),
     "creators_first": f"""
 SELECT * REPLACE (lower({strip('username')}) AS username) FROM creators_first_raw
 WHERE follower_count > 0

@@ -101,16 +101,10 @@ def run_transform(cfg: BatchConfig, raw: Mapping[str, DataFrame]) -> dict[str, D
     taxonomy = _stage(tidy["taxonomy"], "taxonomy", cfg)
     featured = features.video_features(tidy["videos"], cfg.viral_threshold)
 
-    categories = enrich.primary_category(enrich.video_tags(featured), taxonomy)
-    joined = enrich.with_sentiment(featured, enrich.sentiment_by_video(tidy["comments"]))
-    joined = enrich.with_category(joined, categories)
-    # Author frequencies are counted on the raw names: cheap to read, and only a hint.
-    names = raw["videos"].select(
-        clean.text.normal_key(F.col("authorMeta_name")).alias("authorMeta_name")
-    )
-    final = _stage(
-        enrich.with_creators(joined, creators, keys_from=names), "transformed_final", cfg
+    final = enrich.videos_final(
+        featured, creators, tidy["comments"], taxonomy, enrich.author_names(raw["videos"])
     )
+    final = _stage(final, "transformed_final", cfg)
     pairs = enrich.bridge_pairs(enrich.video_tags(final), taxonomy)
     _stage(pairs, "bridge_hashtag", cfg)
 
@@ -145,7 +139,8 @@ def run_load(
     else:
         days = dimensions.date_table(spark, *cfg.date_range, cfg.holidays)
     dim_date = _table(days, "dim_date", cfg)
-    dim_music = _table(dimensions.music_table(raw_videos), "dim_music", cfg)
+    music = dimensions.music_table(raw_videos, lambda d: _stage(d, "music_rows", cfg))
+    dim_music = _table(music, "dim_music", cfg)
     dim_hashtag = _table(dimensions.hashtag_table(done["taxonomy"]), "dim_hashtag", cfg)
 
     old = scd2.empty_dimension(spark)
@@ -153,16 +148,16 @@ def run_load(
         old = read_optional(
             spark, f"{cfg.previous}/warehouse/dim_creator", schemas.DIM_CREATOR
         )
-    versions = scd2.scd2(old, done["creators"], cfg.as_of, cfg.change_threshold)
+    versions = scd2.scd2(
+        old, done["creators"], cfg.as_of, cfg.change_threshold,
+        lambda d: _stage(d, "creator_versions", cfg),
+    )
     dim_creator = _table(versions, "dim_creator", cfg)
 
     run = cfg.run_id or fact.run_id(cfg.loaded_at)
-    # Staged without keys first: numbering reads the ids once to count and once to number,
-    # and must not repeat the lookups for that.
-    rows = fact.fact_rows(final, dim_creator, dim_music, run, cfg.loaded_at)
-    rows = _stage(rows.drop("video_sk"), "fact_rows", cfg)
-    keyed = schemas.conform(
-        fact.assign_keys(rows, ["video_id"], "video_sk"), schemas.FACT
+    keyed = fact.fact_table(
+        final, dim_creator, dim_music, run, cfg.loaded_at,
+        lambda d: _stage(d, "fact_rows", cfg),
     )
     facts = _table(keyed, "fact", cfg, partition_by=("post_year", "post_month"))
     pairs = read_optional(

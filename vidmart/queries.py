@@ -255,9 +255,10 @@ def _features(s: SparkSession, d: str) -> DataFrame:
 
 def videos_with_creator(s: SparkSession, d: str) -> DataFrame:
     raw = proxies.videos(s, d)
-    names = raw.select(text.normal_key(F.col("authorMeta_name")).alias("authorMeta_name"))
     rows = clean.videos(raw).select("video_id", "authorMeta_name", "playCount")
-    return enrich.with_creators(rows, clean.creators(proxies.creators(s, d)), names)
+    return enrich.with_creators(
+        rows, clean.creators(proxies.creators(s, d)), enrich.author_names(raw)
+    )
 
 
 def sentiment_by_video(s: SparkSession, d: str) -> DataFrame:
@@ -285,6 +286,7 @@ def videos_final(s: SparkSession, d: str) -> DataFrame:
         clean.creators(proxies.creators(s, d)),
         clean.comments(proxies.comments(s, d)),
         clean.taxonomy(proxies.taxonomy(s, d)),
+        enrich.author_names(proxies.videos(s, d)),
     )
 
 
