@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from vidmart import schemas
+from vidmart.sources.readers import spread
 
 AS_OF_FIRST = date(2001, 8, 1)
 AS_OF = date(2001, 8, 2)
@@ -152,6 +153,8 @@ _TABLES = ("lineitem", "orders", "customer", "part", "nation", "supplier", "even
 def _frame(spark: SparkSession, sf_dir: str, sql: str, ddl: str) -> DataFrame:
     used = [t for t in _TABLES if "{" + t + "}" in sql]
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    if "lineitem" in frames:
+        frames["lineitem"] = spread(frames["lineitem"])
     return schemas.conform(spark.sql(sql, **frames), ddl)
 
 

@@ -183,7 +183,7 @@ def optional_input(s: SparkSession, d: str) -> DataFrame:
 
 
 def scrub_documents(s: SparkSession, d: str) -> DataFrame:
-    docs = s.read.parquet(f"{d}/documents.parquet")
+    docs = readers.spread(s.read.parquet(f"{d}/documents.parquet"))
     ascii_only, any_script = text.scrub(F.col("text")), text.scrub(F.col("text"), True)
     return docs.select(
         "doc_id",
@@ -194,7 +194,7 @@ def scrub_documents(s: SparkSession, d: str) -> DataFrame:
 
 
 def document_hashtags(s: SparkSession, d: str) -> DataFrame:
-    docs = s.read.parquet(f"{d}/documents.parquet")
+    docs = readers.spread(s.read.parquet(f"{d}/documents.parquet"))
     tags = text.hashtags(F.col("text"))
     return docs.select(
         "doc_id", F.size(tags).alias("hashtag_count"), F.concat_ws(" ", tags).alias("hashtags")

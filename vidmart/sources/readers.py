@@ -16,6 +16,17 @@ def flatten_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(".", "_") for c in df.columns])
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a plain scan out to all cores if it has fewer splits than cores.
+
+    A file that cannot be split, or has one row group, is read by one task, which would then
+    also do all that follows up to the next shuffle. A scan with enough splits, as any large
+    table has, is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_json(
     spark: SparkSession, path: str, ddl: str | None, multi_line: bool = True
 ) -> DataFrame:
@@ -25,7 +36,7 @@ def read_json(
     should arrive as many files or as JSON Lines, which split by byte range.
     """
     reader = spark.read.option("multiLine", multi_line)
-    return (reader.schema(ddl) if ddl else reader).json(path)
+    return spread((reader.schema(ddl) if ddl else reader).json(path))
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str | None) -> DataFrame:
