@@ -3,7 +3,7 @@ import json
 import pytest
 from frames import creators, rows, taxonomy, videos
 
-from vidmart import schemas
+from vidmart import schemas, session
 from vidmart.sources import readers, sinks, staging
 
 POST = {
@@ -150,3 +150,15 @@ def test_conform(spark):
     df = spark.createDataFrame([(1, "300000", 123.456)], "b int, a string, extra double")
     got = schemas.conform(df, "a smallint, b bigint, c string, extra decimal(4,2)", {"c": "x"})
     assert rows(got) == [(None, 1, "x", None)]
+
+
+def test_session_zone(spark):
+    session.require_utc(spark)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+    try:
+        with pytest.raises(ValueError):
+            session.require_utc(spark)
+    finally:
+        session.pin_utc(spark)
+    session.require_utc(spark)
+    assert session.create_session(app_name="again") is not None

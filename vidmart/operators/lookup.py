@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys travel by broadcast. Any other key holds less than 1/HOT_KEYS of the
-# rows, since that many keys are at least as frequent.
-HOT_KEYS = 1_000
+# At most this many keys and their dim rows, a few MB, travel by broadcast. Any other key holds
+# less than 1/HOT_KEYS of the rows, since that many keys are at least as frequent.
+HOT_KEYS = 10_000
 
 
 def fits_broadcast(df: DataFrame) -> bool:

@@ -17,6 +17,7 @@ from vidmart.operators import (
     clean, dimensions, enrich, fact, features, marts, quality, scd2,
 )
 from vidmart.plans import reports
+from vidmart.session import require_utc
 from vidmart.sources import sinks
 from vidmart.sources.staging import exists, read_optional, read_staged, stage
 
@@ -200,6 +201,7 @@ def run_batch(
     """Run the stages from ``start`` to ``stop``; earlier ones are taken from staging. Returns
     the row count of everything written.
     """
+    require_utc(spark)
     first, last = STAGES.index(start), STAGES.index(stop)
     if first == 0:
         if sources is None:

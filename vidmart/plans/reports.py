@@ -1,9 +1,9 @@
 """The eight reports and their documented variants.
 
-Each is a function of warehouse tables. The fact is never joined row by row to a dimension
-that grows: it is first summed per surrogate key, which combines in the map tasks and takes
-the sting out of a creator or a sound that holds a large part of all videos, and the sums are
-joined and summed again. Sums and counts are exact; rounding comes last.
+Each is a function of warehouse tables. The fact is first summed per surrogate key, which
+combines in the map tasks and takes the sting out of a day, a creator or a sound that holds a
+large part of all videos; the sums are joined to the dimension and summed again. Sums and
+counts are exact; rounding comes last.
 """
 
 from __future__ import annotations
@@ -69,17 +69,18 @@ def _avg_rate(name: str) -> Column:
     return _avg("rate", 4, 100).alias(name)
 
 
-def _on_date(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return fact.join(dim_date, "date_id")
+def _by_date(fact: DataFrame, dim_date: DataFrame, measures: tuple, *keys) -> DataFrame:
+    """Sums per day and ``keys`` with the calendar attributes of the day; rows without a
+    known date drop out. Days are few, so little is left to join.
+    """
+    fact = fact.where(F.col("date_id").isNotNull())
+    return fact.groupBy("date_id", *keys).agg(*_sums(*measures)).join(dim_date, "date_id")
 
 
 # Monthly engagement
 
 
-def _daily(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Sums per day with the calendar attributes; a few thousand rows from here on."""
-    daily = fact.groupBy("date_id").agg(*_sums("play", "like", "rate"))
-    return _on_date(daily, dim_date)
+_MONTHLY = ("play", "like", "rate")
 
 
 def _monthly_measures() -> list[Column]:
@@ -94,8 +95,7 @@ def _monthly_measures() -> list[Column]:
 
 def monthly_engagement(t: Tables) -> DataFrame:
     keys = ["year", "month", "month_name"]
-    rows = _daily(t["fact"], t["dim_date"]).groupBy(*keys)
-    rows = rows.agg(*_resums("play", "like", "rate"))
+    rows = _by_date(t["fact"], t["dim_date"], _MONTHLY).groupBy(*keys).agg(*_resums(*_MONTHLY))
     return rows.select(*keys, *_monthly_measures()).orderBy("year", "month")
 
 
@@ -103,8 +103,8 @@ def engagement_rollup(t: Tables, keys: tuple[str, ...] = ("year", "month", "mont
     """Subtotals along ``keys``; ``grouping_level`` tells a subtotal from a NULL key. The
     roll-up multiplies daily sums, not fact rows.
     """
-    rows = _daily(t["fact"], t["dim_date"]).rollup(*keys)
-    rows = rows.agg(*_resums("play", "like", "rate"), F.grouping_id().alias("grouping_level"))
+    rows = _by_date(t["fact"], t["dim_date"], _MONTHLY).rollup(*keys)
+    rows = rows.agg(*_resums(*_MONTHLY), F.grouping_id().alias("grouping_level"))
     return rows.select(
         *keys, F.col("grouping_level").cast("bigint"), *_monthly_measures()
     ).orderBy(*keys, "grouping_level")
@@ -127,9 +127,13 @@ def monthly_series(t: Tables) -> DataFrame:
 
 def viral_patterns(t: Tables) -> DataFrame:
     keys = ["is_viral", "primary_category", "day_name", "duration_bucket"]
+    measures = ("play", "rate", "tags")
     bucket = labels.duration_bucket(F.col("video_duration_sec"), report=True)
-    rows = _on_date(t["fact"], t["dim_date"]).withColumn("duration_bucket", bucket)
-    rows = rows.groupBy(*keys).agg(*_sums("play", "rate", "tags"))
+    rows = t["fact"].withColumn("duration_bucket", bucket)
+    rows = _by_date(
+        rows, t["dim_date"], measures, "is_viral", "primary_category", "duration_bucket"
+    )
+    rows = rows.groupBy(*keys).agg(*_resums(*measures))
     return rows.select(
         *keys,
         F.col("videos").alias("video_count"),
@@ -289,8 +293,15 @@ def _quartile_rank(p: Decimal) -> Column:
 # Categories
 
 
-def _category_measures(rows: DataFrame, keys: list[str]) -> DataFrame:
-    rows = rows.groupBy(*keys).agg(*_sums("play", "rate", "tags"))
+def _category_measures(t: Tables, min_year: int, keys: list[str]) -> DataFrame:
+    """The slice from ``min_year`` on. The year is also tested on the fact's own partition
+    column, so earlier partitions are never read.
+    """
+    measures = ("play", "rate", "tags")
+    recent = t["fact"].where(F.col("post_year") >= min_year)
+    recent = recent.withColumn("is_brand_safe", F.col("primary_brand_safe") == 1)
+    years = t["dim_date"].where(F.col("year") >= min_year)
+    rows = _by_date(recent, years, measures, *keys).groupBy(*keys).agg(*_resums(*measures))
     return rows.select(
         *keys,
         F.col("videos").alias("total_videos"),
@@ -301,24 +312,15 @@ def _category_measures(rows: DataFrame, keys: list[str]) -> DataFrame:
     ).orderBy(F.desc_nulls_first("avg_play_count"), *keys)
 
 
-def _since(t: Tables, min_year: int) -> DataFrame:
-    """Fact rows from ``min_year`` on. The year is also tested on the fact's own partition
-    column, so earlier partitions are never read.
-    """
-    recent = t["fact"].where(F.col("post_year") >= min_year)
-    return _on_date(recent, t["dim_date"].where(F.col("year") >= min_year))
-
-
 def category_trend(t: Tables, min_year: int = MIN_YEAR) -> DataFrame:
-    return _category_measures(_since(t, min_year), ["primary_category"])
+    return _category_measures(t, min_year, ["primary_category"])
 
 
 def category_trend_by_safety(t: Tables, min_year: int = MIN_YEAR) -> DataFrame:
     """Split by the safety of the video's own primary tag; a join to the hashtag table on the
     category would count each video once per hashtag of that category.
     """
-    rows = _since(t, min_year).withColumn("is_brand_safe", F.col("primary_brand_safe") == 1)
-    return _category_measures(rows, ["primary_category", "is_brand_safe"])
+    return _category_measures(t, min_year, ["primary_category", "is_brand_safe"])
 
 
 def category_share(t: Tables, min_year: int = MIN_YEAR) -> DataFrame:
@@ -363,8 +365,11 @@ def sentiment_viral_heatmap(t: Tables) -> DataFrame:
 # Posting time
 
 
-def _posting(t: Tables, keys: list[str]) -> DataFrame:
-    rows = _on_date(t["fact"], t["dim_date"]).groupBy(*keys).agg(*_sums("play", "rate"))
+def _posting(t: Tables, keys: list[str], own: tuple = ()) -> DataFrame:
+    """By ``keys`` of the day and ``own`` columns of the fact."""
+    keys = [*keys, *own]
+    rows = _by_date(t["fact"], t["dim_date"], ("play", "rate"), *own)
+    rows = rows.groupBy(*keys).agg(*_resums("play", "rate"))
     return rows.select(
         *keys,
         F.col("videos").alias("video_count"),
@@ -386,8 +391,9 @@ def weekday_chart(t: Tables) -> DataFrame:
 
 def day_hour_pattern(t: Tables) -> DataFrame:
     """By weekday, holiday and the hour of posting."""
-    keys = ["day_name", "is_weekend", "is_holiday", "post_hour"]
-    return _posting(t, keys).orderBy(F.desc_nulls_first("avg_play_count"), *keys)
+    keys = ["day_name", "is_weekend", "is_holiday"]
+    rows = _posting(t, keys, ("post_hour",))
+    return rows.orderBy(F.desc_nulls_first("avg_play_count"), *keys, "post_hour")
 
 
 def posting_heatmap(t: Tables) -> DataFrame:
@@ -405,9 +411,9 @@ def posting_heatmap(t: Tables) -> DataFrame:
 
 
 def holiday_comparison(t: Tables) -> DataFrame:
-    rows = _on_date(t["fact"], t["dim_date"])
+    rows = _by_date(t["fact"], t["dim_date"], ("play", "rate"))
     kind = labels.holiday_kind(F.col("is_holiday"))
-    rows = rows.groupBy(kind.alias("day_type")).agg(*_sums("play", "rate"))
+    rows = rows.groupBy(kind.alias("day_type")).agg(*_resums("play", "rate"))
     return rows.select(
         "day_type",
         F.col("videos").alias("total_videos"),

@@ -20,6 +20,7 @@ from vidmart.operators import (
     clean, dimensions, enrich, features, keys, marts, quality, scd2,
 )
 from vidmart.plans import batch, reports
+from vidmart.session import pin_utc
 from vidmart.sources import readers, sinks
 from vidmart.sources.staging import new_folder, read_optional, read_staged, stage
 
@@ -52,6 +53,7 @@ def plain(df: DataFrame) -> DataFrame:
 def run(spark: SparkSession, sf_dir: str) -> batch.BatchConfig:
     """The finished batch run for these tables: first profiles, then a full run a day later."""
     key = (spark.sparkContext.applicationId, sf_dir)
+    pin_utc(spark)
     with _lock:
         if key not in _built:
             first = new_folder(spark, "first")
@@ -519,7 +521,7 @@ def registered() -> dict[str, Query]:
 
     def wrap(query: Query) -> Query:
         def call(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            pin_utc(spark)
             return plain(query(spark, sf_dir))
 
         return call

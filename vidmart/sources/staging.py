@@ -8,22 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
 
-    On a local master with no such setting a temporary folder is made and set, so later calls
-    find it; on a cluster a missing setting is an error, as executors share no local disk.
+    On a local master with no such setting a temporary folder stands in, one per application;
+    on a cluster a missing setting is an error, as executors share no local disk.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="vidmart-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="vidmart-")
+    return _local[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
