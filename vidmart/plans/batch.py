@@ -4,12 +4,14 @@ stage can be run again on its own from what the one before it wrote.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from vidmart import schemas
 from vidmart.functions import measures
@@ -55,6 +57,13 @@ class BatchConfig:
         return f"{self.out}/marts/{name}"
 
 
+def _together(spark: SparkSession, works: Mapping[str, Callable[[], DataFrame]]) -> dict:
+    """Submit independent jobs at once, so small ones do not wait for large ones."""
+    with ThreadPoolExecutor(len(works)) as pool:
+        jobs = {n: pool.submit(inheritable_thread_target(spark)(w)) for n, w in works.items()}
+        return {n: job.result() for n, job in jobs.items()}
+
+
 def _counted(df: DataFrame, name: str, cfg: BatchConfig, write) -> None:
     """Write ``df`` and note its row count, counted while the rows go by."""
     seen = Observation(name)
@@ -74,12 +83,19 @@ def _table(df: DataFrame, name: str, cfg: BatchConfig, partition_by=()) -> DataF
     return read_staged(df.sparkSession, path)
 
 
+def _mart(df: DataFrame, name: str, cfg: BatchConfig) -> None:
+    _counted(df, name, cfg, lambda d: sinks.write_table(d, cfg.mart(name)))
+
+
 def run_extract(cfg: BatchConfig, sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage the four sources as they are and return the staged copies."""
     missing = clean.missing_video_columns(sources["videos"])
     if missing:
         raise ValueError(f"videos lack {missing}")
-    return {name: _stage(sources[name], f"raw_{name}", cfg) for name in SOURCES}
+    return _together(
+        sources["videos"].sparkSession,
+        {n: lambda n=n: _stage(sources[n], f"raw_{n}", cfg) for n in SOURCES},
+    )
 
 
 def staged_sources(spark: SparkSession, cfg: BatchConfig) -> dict[str, DataFrame]:
@@ -97,26 +113,34 @@ def clean_sources(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def run_transform(cfg: BatchConfig, raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Clean, derive, join; stage the joined videos and the hashtag pairs; write the marts."""
+    spark = raw["videos"].sparkSession
     tidy = clean_sources(raw)
-    creators = _stage(tidy["creators"], "creators", cfg)
-    taxonomy = _stage(tidy["taxonomy"], "taxonomy", cfg)
-    featured = features.video_features(tidy["videos"], cfg.viral_threshold)
-
+    small = _together(
+        spark,
+        {n: lambda n=n: _stage(tidy[n], n, cfg) for n in ("creators", "taxonomy")},
+    )
     final = enrich.videos_final(
-        featured, creators, tidy["comments"], taxonomy, enrich.author_names(raw["videos"])
+        features.video_features(tidy["videos"], cfg.viral_threshold),
+        small["creators"],
+        tidy["comments"],
+        small["taxonomy"],
+        enrich.author_names(raw["videos"]),
     )
     final = _stage(final, "transformed_final", cfg)
-    pairs = enrich.bridge_pairs(enrich.video_tags(final), taxonomy)
-    _stage(pairs, "bridge_hashtag", cfg)
 
-    for name, mart in (
-        ("creator_stats", marts.creator_stats),
-        ("category_stats", marts.category_stats),
-        ("time_stats", marts.time_stats),
-        ("validation", quality.validate),
-    ):
-        _counted(mart(final), name, cfg, lambda d, n=name: sinks.write_table(d, cfg.mart(n)))
-    return {"final": final, "creators": creators, "taxonomy": taxonomy}
+    def pairs() -> DataFrame:
+        tags = enrich.video_tags(final)
+        return _stage(enrich.bridge_pairs(tags, small["taxonomy"]), "bridge_hashtag", cfg)
+
+    summaries = {
+        "creator_stats": marts.creator_stats,
+        "category_stats": marts.category_stats,
+        "time_stats": marts.time_stats,
+        "validation": quality.validate,
+    }
+    works = {n: lambda n=n, m=m: _mart(m(final), n, cfg) for n, m in summaries.items()}
+    _together(spark, {"pairs": pairs, **works})
+    return {"final": final, **small}
 
 
 def staged_transform(spark: SparkSession, cfg: BatchConfig) -> dict[str, DataFrame]:
@@ -130,34 +154,49 @@ def staged_transform(spark: SparkSession, cfg: BatchConfig) -> dict[str, DataFra
 def run_load(
     cfg: BatchConfig, raw_videos: DataFrame, done: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """Build the tables in foreign-key order. Everything is written anew in this run's folder;
-    only the creator history continues from the previous run's.
+    """Build the dimensions, then the fact, then the bridge. Everything is written anew in this
+    run's folder; only the creator history continues from the previous run's.
     """
     spark = raw_videos.sparkSession
     final = done["final"]
-    if cfg.date_range is None:
-        days = dimensions.date_table_for(final, F.col("createTimeISO"), cfg.holidays)
-    else:
-        days = dimensions.date_table(spark, *cfg.date_range, cfg.holidays)
-    dim_date = _table(days, "dim_date", cfg)
-    music = dimensions.music_table(raw_videos, lambda d: _stage(d, "music_rows", cfg))
-    dim_music = _table(music, "dim_music", cfg)
-    dim_hashtag = _table(dimensions.hashtag_table(done["taxonomy"]), "dim_hashtag", cfg)
-
-    old = scd2.empty_dimension(spark)
-    if cfg.previous:
-        old = read_optional(
-            spark, f"{cfg.previous}/warehouse/dim_creator", schemas.DIM_CREATOR
+
+    def dim_date() -> DataFrame:
+        if cfg.date_range is None:
+            days = dimensions.date_table_for(final, F.col("createTimeISO"), cfg.holidays)
+        else:
+            days = dimensions.date_table(spark, *cfg.date_range, cfg.holidays)
+        return _table(days, "dim_date", cfg)
+
+    def dim_music() -> DataFrame:
+        music = dimensions.music_table(raw_videos, lambda d: _stage(d, "music_rows", cfg))
+        return _table(music, "dim_music", cfg)
+
+    def dim_hashtag() -> DataFrame:
+        return _table(dimensions.hashtag_table(done["taxonomy"]), "dim_hashtag", cfg)
+
+    def dim_creator() -> DataFrame:
+        old = scd2.empty_dimension(spark)
+        if cfg.previous:
+            path = f"{cfg.previous}/warehouse/dim_creator"
+            old = read_optional(spark, path, schemas.DIM_CREATOR)
+        versions = scd2.scd2(
+            old, done["creators"], cfg.as_of, cfg.change_threshold,
+            lambda d: _stage(d, "creator_versions", cfg),
         )
-    versions = scd2.scd2(
-        old, done["creators"], cfg.as_of, cfg.change_threshold,
-        lambda d: _stage(d, "creator_versions", cfg),
+        return _table(versions, "dim_creator", cfg)
+
+    dims = _together(
+        spark,
+        {
+            "dim_date": dim_date,
+            "dim_music": dim_music,
+            "dim_hashtag": dim_hashtag,
+            "dim_creator": dim_creator,
+        },
     )
-    dim_creator = _table(versions, "dim_creator", cfg)
-
     run = cfg.run_id or fact.run_id(cfg.loaded_at)
     keyed = fact.fact_table(
-        final, dim_creator, dim_music, run, cfg.loaded_at,
+        final, dims["dim_creator"], dims["dim_music"], run, cfg.loaded_at,
         lambda d: _stage(d, "fact_rows", cfg),
     )
     facts = _table(keyed, "fact", cfg, partition_by=("post_year", "post_month"))
@@ -165,14 +204,7 @@ def run_load(
         spark, cfg.staged("bridge_hashtag"), "video_id string, hashtag_id string"
     )
     bridge = _table(fact.bridge_table(facts, pairs), "bridge", cfg)
-    return {
-        "dim_date": dim_date,
-        "dim_music": dim_music,
-        "dim_hashtag": dim_hashtag,
-        "dim_creator": dim_creator,
-        "fact": facts,
-        "bridge": bridge,
-    }
+    return {**dims, "fact": facts, "bridge": bridge}
 
 
 def warehouse(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -183,12 +215,17 @@ def warehouse(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 def run_reports(cfg: BatchConfig, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All reports as DataFrames, and written below ``out/reports``."""
-    done = {}
-    for name, report in reports.run_all_reports(tables, cfg.min_year).items():
+    spark = tables["fact"].sparkSession
+
+    def written(name: str, report: DataFrame) -> DataFrame:
         path = f"{cfg.out}/reports/{name}"
-        _counted(report, f"report_{name}", cfg, lambda d, p=path: sinks.write_report(d, p))
-        done[name] = read_staged(report.sparkSession, path)
-    return done
+        _counted(report, f"report_{name}", cfg, lambda d: sinks.write_report(d, path))
+        return read_staged(spark, path)
+
+    all_reports = reports.run_all_reports(tables, cfg.min_year)
+    return _together(
+        spark, {n: lambda n=n, r=r: written(n, r) for n, r in all_reports.items()}
+    )
 
 
 def run_batch(
