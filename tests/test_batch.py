@@ -5,7 +5,10 @@ from datetime import date, datetime
 
 import pytest
 from frames import rows
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from vidmart.__main__ import main
 from vidmart.plans import batch
 from vidmart.sources import readers
 
@@ -105,3 +108,57 @@ def test_wrong_sources_fail_early(spark, tmp_path):
         batch.run_batch(spark, cfg)
     with pytest.raises(ValueError, match="videos lack"):
         batch.run_extract(cfg, {"videos": spark.range(1)})
+
+
+def test_command_line(spark, tmp_path, capsys):
+    sources(spark, tmp_path, 100)
+    done = main([
+        "--out", str(tmp_path / "cli"), "--as-of", "2026-05-03", "--show",
+        "--videos", str(tmp_path / "videos.json"), "--creators", str(tmp_path / "creators.csv"),
+        "--comments", str(tmp_path / "comments.json"),
+        "--taxonomy", str(tmp_path / "taxonomy.csv"),
+        "--comments-store", "mongodb://localhost:1", "d", "c",
+    ])
+    assert done["read_from"] == {"comments": "fallback", "taxonomy": "files"}
+    assert done["rows"]["fact"] == 2 and done["rows"]["rejected_videos"] == 1
+    printed = capsys.readouterr().out
+    assert "tier_paradox" in printed and '"seconds"' in printed
+
+
+def test_failed_validation_only_warns(spark, tmp_path, caplog):
+    cfg = config(tmp_path, 3)
+    given = sources(spark, tmp_path, 100)
+    given["videos"] = given["videos"].withColumn("diggCount", -F.col("diggCount"))
+    batch.run_batch(spark, cfg, given, stop="transform")
+    assert "failed validation" in caplog.text
+
+
+def test_repeated_tag_ids_still_give_distinct_pairs(spark, tmp_path):
+    given = sources(spark, tmp_path, 100)
+    other = given["taxonomy"].withColumn("hashtag", F.lit("other"))
+    given["taxonomy"] = given["taxonomy"].unionByName(other)
+    cfg = config(tmp_path, 3)
+    assert batch.run_batch(spark, cfg, given, stop="load")["bridge"] == 1
+
+
+def test_previous_history_must_exist(spark, tmp_path):
+    cfg = config(tmp_path, 3, previous=str(tmp_path / "nowhere"))
+    with pytest.raises(AnalysisException):
+        batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="load")
+
+
+def test_reports_in_sql_over_the_views(spark, tmp_path):
+    cfg = config(tmp_path, 3)
+    batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="load")
+    tables = batch.warehouse(spark, cfg.out)
+    batch.register_views(tables)
+    got = spark.sql("""
+        select d.day_name, d.day_of_week, d.is_weekend, count(f.video_sk) as video_count,
+          cast(round(avg(f.play_count), 0) as double) as avg_play_count,
+          cast(round(avg(f.engagement_rate) * 100, 4) as double) as avg_engagement_pct,
+          sum(case when f.is_viral then 1 else 0 end) as viral_count
+        from fact_video_performance f join dim_date d on f.date_id = d.date_id
+        group by d.day_name, d.day_of_week, d.is_weekend
+    """)
+    assert rows(got) == rows(batch.reports.weekday_pattern(tables))
+    assert spark.table("bridge_video_hashtag").count() == 1

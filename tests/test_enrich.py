@@ -79,9 +79,13 @@ def test_sentiment_shares_add_up(spark, pairs):
 
 
 def test_bridge_pairs_are_distinct_and_known(spark):
-    tags = enrich.video_tags(featured(spark, "#safe #SAFE #other #!", "#unsafe #safe"))
-    got = rows(enrich.bridge_pairs(tags, taxonomy(spark, *TAGS)))
-    assert got == [("1", "HT1"), ("2", "HT1"), ("2", "HT2")]
+    df = featured(spark, "#safe #SAFE #other #!", "#unsafe #safe")
+    want = [("1", "HT1"), ("2", "HT1"), ("2", "HT2")]
+    entries = taxonomy(spark, *TAGS)
+    assert rows(enrich.bridge_pairs(df, entries)) == want
+    assert rows(enrich.bridge_pairs(df, entries, known_unique=True)) == want
+    twice = entries.withColumn("hashtag_id", F.lit("HT9"))
+    assert rows(enrich.bridge_pairs(df, twice)) == [("1", "HT9"), ("2", "HT9")]
 
 
 def skewed(spark, n=3000):

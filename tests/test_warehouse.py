@@ -210,7 +210,7 @@ def test_rate_too_large_for_its_column(spark):
 def test_bridge(spark):
     posts = [{"text": "#fun #Fun #other"}, {"text": "#none", "webVideoUrl": "https://v/video/2"}]
     final, facts = build(spark, posts)
-    pairs = enrich.bridge_pairs(enrich.video_tags(final), taxonomy(spark, {}))
+    pairs = enrich.bridge_pairs(final, taxonomy(spark, {}))
     extra = spark.createDataFrame([("404", "HT1")], "video_id string, hashtag_id string")
     got = rows(fact.bridge_table(facts, pairs.unionByName(extra)))
     sk = facts.where("video_id = '1'").first().video_sk

@@ -82,11 +82,22 @@ def primary_category(tags: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
 
 
-def bridge_pairs(tags: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Distinct (video_id, hashtag_id) of the tags the taxonomy knows."""
+def bridge_pairs(
+    videos: DataFrame, taxonomy: DataFrame, known_unique: bool = False
+) -> DataFrame:
+    """Distinct (video_id, hashtag_id) of the tags the taxonomy knows.
+
+    Repeats inside a caption go before the tags are exploded. With one row per video and one
+    hashtag per id nothing else can repeat; a caller who knows that says so with
+    ``known_unique`` and saves the shuffle of all pairs.
+    """
+    tags = videos.select(
+        "video_id", F.explode_outer(F.array_distinct("hashtag_list")).alias("tag")
+    ).where(F.col("tag") != "")
     entries = taxonomy.select("hashtag", "hashtag_id")
-    pairs = lookup(tags, entries, {"tag": "hashtag"}, ["video_id", "tag_position"], "inner")
-    return pairs.select("video_id", "hashtag_id").distinct()
+    pairs = lookup(tags, entries, {"tag": "hashtag"}, ["video_id", "tag"], "inner")
+    pairs = pairs.select("video_id", "hashtag_id")
+    return pairs if known_unique else pairs.distinct()
 
 
 def author_names(raw_videos: DataFrame) -> DataFrame:

@@ -62,6 +62,19 @@ def violation_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return _unpivot(counts, "rule", "violations")
 
 
+def unfit_values(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """(column_name, unfit_rows): values a load would lose because they do not fit the declared
+    type of their table column; one pass, zero included.
+    """
+    counts = df.agg(
+        *[
+            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"{c} as {t}")
+            for c, t in types.items()
+        ]
+    )
+    return _unpivot(counts, "column_name", "unfit_rows")
+
+
 def _unpivot(row: DataFrame, name: str, value: str) -> DataFrame:
     return row.unpivot([], [F.col(f"`{c}`") for c in row.columns], name, value)
 

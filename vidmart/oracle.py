@@ -571,6 +571,22 @@ FROM final""",
             for name, bad in _rules().items()
         ),
         "length_violations": _lengths(),
+        "unfit_values": """
+SELECT 'engagement_rate as decimal(8,6)' AS column_name,
+  count(*) FILTER (engagement_rate >= 99.9999995) AS unfit_rows FROM final
+UNION ALL SELECT 'commentCount as int', count(*) FILTER (commentCount > 2147483647) FROM final
+UNION ALL SELECT 'shareCount as int', count(*) FILTER (shareCount > 2147483647) FROM final
+UNION ALL SELECT 'videoMeta_duration as int',
+  count(*) FILTER (videoMeta_duration > 2147483647) FROM final
+UNION ALL SELECT 'total_comments_scraped as int',
+  count(*) FILTER (total_comments_scraped > 2147483647) FROM final
+UNION ALL SELECT 'hashtag_count as smallint', count(*) FILTER (hashtag_count > 32767)
+  FROM final""",
+        "quarantined_videos": """
+SELECT *, CASE WHEN coalesce(playCount <= 0, true) THEN 'no plays' ELSE 'no video id' END
+    AS reject_reason
+FROM videos_raw
+WHERE coalesce(playCount <= 0, true) OR NOT regexp_matches(webVideoUrl, '/video/\\d+')""",
         "quarantined_taxonomy": "SELECT hashtag_id, hashtag, violations FROM ("
         "SELECT hashtag_id, hashtag, concat_ws('|', "
         + ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in _rules().items())
@@ -649,6 +665,8 @@ UNION ALL
 SELECT nk, (SELECT count(*) FROM supplier) + {_KEY_NAMES}
 FROM (SELECT c_name AS nk FROM customer)""",
         "olap1_monthly": f"SELECT year, month, month_name, {_MONTHLY} FROM dated GROUP BY ALL",
+        "olap1_monthly_sql": f"""
+SELECT year, month, month_name, {_MONTHLY} FROM dated GROUP BY ALL""",
         "olap1_rollup": _rollup("year, month, month_name"),
         "olap1_weekly": _rollup("year, month, week_of_year"),
         "olap1_series": f"""

@@ -4,6 +4,7 @@ stage can be run again on its own from what the one before it wrote.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -23,6 +24,8 @@ from vidmart.session import require_utc
 from vidmart.sources import sinks
 from vidmart.sources.staging import exists, read_optional, read_staged, stage
 
+log = logging.getLogger(__name__)
+
 STAGES = ("extract", "transform", "load", "reports")
 SOURCES = ("videos", "creators", "comments", "taxonomy")
 
@@ -80,11 +83,12 @@ def _stage(df: DataFrame, name: str, cfg: BatchConfig) -> DataFrame:
 def _table(df: DataFrame, name: str, cfg: BatchConfig, partition_by=()) -> DataFrame:
     path = cfg.table(name)
     _counted(df, name, cfg, lambda d: sinks.write_table(d, path, partition_by=partition_by))
-    return read_staged(df.sparkSession, path)
+    return read_staged(df.sparkSession, path, schemas.TABLES[name][1])
 
 
-def _mart(df: DataFrame, name: str, cfg: BatchConfig) -> None:
+def _mart(df: DataFrame, name: str, cfg: BatchConfig) -> DataFrame:
     _counted(df, name, cfg, lambda d: sinks.write_table(d, cfg.mart(name)))
+    return read_staged(df.sparkSession, cfg.mart(name))
 
 
 def run_extract(cfg: BatchConfig, sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -129,17 +133,26 @@ def run_transform(cfg: BatchConfig, raw: Mapping[str, DataFrame]) -> dict[str, D
     final = _stage(final, "transformed_final", cfg)
 
     def pairs() -> DataFrame:
-        tags = enrich.video_tags(final)
-        return _stage(enrich.bridge_pairs(tags, small["taxonomy"]), "bridge_hashtag", cfg)
+        # Videos are unique by now; whether tag ids are is quickly seen in the small taxonomy.
+        unique = quality.duplicate_keys(small["taxonomy"], ["hashtag_id"]).isEmpty()
+        rows = enrich.bridge_pairs(final, small["taxonomy"], known_unique=unique)
+        return _stage(rows, "bridge_hashtag", cfg)
 
     summaries = {
         "creator_stats": marts.creator_stats,
         "category_stats": marts.category_stats,
         "time_stats": marts.time_stats,
         "validation": quality.validate,
+        "unfit_values": lambda df: quality.unfit_values(df, schemas.NARROWED),
     }
     works = {n: lambda n=n, m=m: _mart(m(final), n, cfg) for n, m in summaries.items()}
-    _together(spark, {"pairs": pairs, **works})
+    works["pairs"] = pairs
+    works["rejected"] = lambda: _stage(
+        clean.rejected_videos(raw["videos"]), "rejected_videos", cfg
+    )
+    checked = _together(spark, works)["validation"].first()
+    if not checked.passed:
+        log.warning("joined videos failed validation, loading anyway: %s", checked.asDict())
     return {"final": final, **small}
 
 
@@ -178,7 +191,7 @@ def run_load(
         old = scd2.empty_dimension(spark)
         if cfg.previous:
             path = f"{cfg.previous}/warehouse/dim_creator"
-            old = read_optional(spark, path, schemas.DIM_CREATOR)
+            old = read_staged(spark, path, schemas.DIM_CREATOR)
         versions = scd2.scd2(
             old, done["creators"], cfg.as_of, cfg.change_threshold,
             lambda d: _stage(d, "creator_versions", cfg),
@@ -209,8 +222,16 @@ def run_load(
 
 def warehouse(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The tables a run wrote."""
-    names = ("dim_date", "dim_music", "dim_hashtag", "dim_creator", "fact", "bridge")
-    return {n: read_staged(spark, f"{out}/warehouse/{n}") for n in names}
+    return {
+        name: read_staged(spark, f"{out}/warehouse/{name}", ddl)
+        for name, (_, ddl) in schemas.TABLES.items()
+    }
+
+
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Temporary views under the tables' SQL names, for reports written in SQL."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(schemas.TABLES[name][0])
 
 
 def run_reports(cfg: BatchConfig, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

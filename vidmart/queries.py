@@ -313,6 +313,10 @@ def length_violations(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def unfit_values(s: SparkSession, d: str) -> DataFrame:
+    return quality.unfit_values(_staged("transformed_final")(s, d), schemas.NARROWED)
+
+
 def quarantined_taxonomy(s: SparkSession, d: str) -> DataFrame:
     _, bad = quality.split_by_constraints(proxies.taxonomy(s, d), quality.taxonomy_rules())
     return bad.select("hashtag_id", "hashtag", "violations")
@@ -428,6 +432,22 @@ def surrogate_keys(s: SparkSession, d: str) -> DataFrame:
     return old.unionByName(keys.assign_keys(customers, ["nk"], "sk", old))
 
 
+def monthly_in_sql(s: SparkSession, d: str) -> DataFrame:
+    """The monthly report as SQL text over the table views."""
+    batch.register_views(batch.warehouse(s, run(s, d).out))
+    return s.sql(
+        """
+        select year, month, month_name, count(*) as total_videos,
+          cast(round(avg(cast(play_count as decimal(20,0)))) as double) as avg_play_count,
+          cast(round(avg(cast(like_count as decimal(20,0)))) as double) as avg_like_count,
+          cast(round(avg(engagement_rate) * 100, 4) as double) as avg_engagement_rate_pct,
+          count_if(is_viral) as viral_count
+        from fact_video_performance join dim_date using (date_id)
+        group by all
+        """
+    )
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "source_videos_json": videos_json,
@@ -460,7 +480,7 @@ QUERIES: dict[str, Query] = {
     "primary_category": primary_category,
     "videos_final": videos_final,
     "bridge_pairs": lambda s, d: enrich.bridge_pairs(
-        enrich.video_tags(_features(s, d)), clean.taxonomy(proxies.taxonomy(s, d))
+        _features(s, d), clean.taxonomy(proxies.taxonomy(s, d))
     ),
     # marts
     "creator_stats": lambda s, d: marts.creator_stats(_staged("transformed_final")(s, d)),
@@ -471,7 +491,9 @@ QUERIES: dict[str, Query] = {
     "validate_videos": lambda s, d: quality.validate(_staged("transformed_final")(s, d)),
     "constraint_violations": constraint_violations,
     "length_violations": length_violations,
+    "unfit_values": unfit_values,
     "quarantined_taxonomy": quarantined_taxonomy,
+    "quarantined_videos": _staged("rejected_videos"),
     "fk_violations": fk_violations,
     "unique_violations": unique_violations,
     "source_profile": source_profile,
@@ -489,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "surrogate_keys": surrogate_keys,
     # reports
     "olap1_monthly": _report(reports.monthly_engagement),
+    "olap1_monthly_sql": monthly_in_sql,
     "olap1_rollup": _report(reports.engagement_rollup),
     "olap1_weekly": _report(reports.engagement_rollup_weekly),
     "olap1_series": _report(reports.monthly_series),

@@ -73,6 +73,21 @@ FACT = (
 )
 BRIDGE = "video_sk bigint, hashtag_id string"
 
+# Warehouse tables by the name the code uses, the SQL name, and the layout.
+TABLES = {
+    "dim_date": ("dim_date", DIM_DATE),
+    "dim_music": ("dim_music", DIM_MUSIC),
+    "dim_hashtag": ("dim_hashtag", DIM_HASHTAG),
+    "dim_creator": ("dim_creator", DIM_CREATOR),
+    "fact": ("fact_video_performance", FACT),
+    "bridge": ("bridge_video_hashtag", BRIDGE),
+}
+# Columns of the joined videos that the fact stores in a narrower type.
+NARROWED = {
+    "engagement_rate": "decimal(8,6)", "commentCount": "int", "shareCount": "int",
+    "videoMeta_duration": "int", "total_comments_scraped": "int", "hashtag_count": "smallint",
+}
+
 # VARCHAR lengths of the warehouse and taxonomy tables, checked as quality rules.
 LENGTHS = {
     "dim_date": {"month_name": 15, "day_name": 10, "holiday_name": 100},
