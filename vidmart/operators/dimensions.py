@@ -94,7 +94,8 @@ def music_table(raw_videos: DataFrame, cut: Cut = no_cut) -> DataFrame:
 
 def hashtag_table(taxonomy: DataFrame) -> DataFrame:
     """The clean taxonomy with the safety flag as a boolean, one row per id."""
-    rows = taxonomy.withColumn("is_brand_safe", F.coalesce(F.col("is_brand_safe") == 1, F.lit(False)))
+    safe = F.coalesce(F.col("is_brand_safe") == 1, F.lit(False))
+    rows = taxonomy.withColumn("is_brand_safe", safe)
     columns = [f.name for f in schemas.struct(schemas.DIM_HASHTAG).fields]
     first = F.min(F.struct(*columns[1:])).alias("r")
     return rows.groupBy("hashtag_id").agg(first).select("hashtag_id", "r.*")

@@ -80,9 +80,9 @@ def _stage(df: DataFrame, name: str, cfg: BatchConfig) -> DataFrame:
     return read_staged(df.sparkSession, path)
 
 
-def _table(df: DataFrame, name: str, cfg: BatchConfig, partition_by=()) -> DataFrame:
+def _table(df: DataFrame, name: str, cfg: BatchConfig, **layout) -> DataFrame:
     path = cfg.table(name)
-    _counted(df, name, cfg, lambda d: sinks.write_table(d, path, partition_by=partition_by))
+    _counted(df, name, cfg, lambda d: sinks.write_table(d, path, **layout))
     return read_staged(df.sparkSession, path, schemas.TABLES[name][1])
 
 
@@ -212,7 +212,9 @@ def run_load(
         final, dims["dim_creator"], dims["dim_music"], run, cfg.loaded_at,
         lambda d: _stage(d, "fact_rows", cfg),
     )
-    facts = _table(keyed, "fact", cfg, partition_by=("post_year", "post_month"))
+    facts = _table(
+        keyed, "fact", cfg, partition_by=("post_year", "post_month"), sort_by=("date_id",)
+    )
     pairs = read_optional(
         spark, cfg.staged("bridge_hashtag"), "video_id string, hashtag_id string"
     )

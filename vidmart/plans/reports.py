@@ -225,7 +225,7 @@ def tier_distribution(t: Tables) -> DataFrame:
     ranks are then found in two steps that never line up a whole tier in one task: running
     counts over coarse bins pick the bin of each rank, and only those bins are opened.
     """
-    rated = t["fact"].where(F.col("creator_sk").isNotNull() & F.col("engagement_rate").isNotNull())
+    rated = t["fact"].dropna(subset=["creator_sk", "engagement_rate"])
     tier = labels.influencer_tier(F.col("follower_count"), numbered=True)
     current = t["dim_creator"].where("is_current").select(
         F.col("creator_sk").alias("sk"), tier.alias("influencer_tier")
@@ -267,8 +267,9 @@ def tier_distribution(t: Tables) -> DataFrame:
     )
     by_value = Window.partitionBy("influencer_tier", "bin").orderBy("engagement_rate")
     opened = opened.withColumn("end", F.col("bin_start") + F.sum("n").over(by_value))
+    sought = hit.select("influencer_tier", "bin", "side", "rank")
     at_rank = (
-        opened.join(hit.select("influencer_tier", "bin", "side", "rank"), ["influencer_tier", "bin"])
+        opened.join(sought, ["influencer_tier", "bin"])
         .where((F.col("end") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("end")))
         .groupBy("influencer_tier")
         .pivot("side", [f"{s}_{i}" for i in range(len(QUARTILES)) for s in ("lo", "hi")])

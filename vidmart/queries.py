@@ -22,7 +22,7 @@ from vidmart.operators import (
 from vidmart.plans import batch, reports
 from vidmart.session import pin_utc
 from vidmart.sources import readers, sinks
-from vidmart.sources.staging import new_folder, read_optional, read_staged, stage
+from vidmart.sources.staging import new_folder, read_optional, read_staged
 
 LOADED_AT = datetime(2001, 8, 2, 19, 0, 0)
 
@@ -75,10 +75,6 @@ def run(spark: SparkSession, sf_dir: str) -> batch.BatchConfig:
         return _built[key]
 
 
-def _raw(frame: str) -> Callable[[SparkSession, str], DataFrame]:
-    return getattr(proxies, frame)
-
-
 def _table(name: str) -> Query:
     return lambda s, d: read_staged(s, run(s, d).table(name))
 
@@ -251,10 +247,6 @@ def rejected_videos(s: SparkSession, d: str) -> DataFrame:
 # Joins
 
 
-def _features(s: SparkSession, d: str) -> DataFrame:
-    return features.video_features(clean.videos(proxies.videos(s, d)))
-
-
 def videos_with_creator(s: SparkSession, d: str) -> DataFrame:
     raw = proxies.videos(s, d)
     rows = clean.videos(raw).select("video_id", "authorMeta_name", "playCount")
@@ -278,17 +270,18 @@ def tag_categories(s: SparkSession, d: str) -> DataFrame:
 
 
 def primary_category(s: SparkSession, d: str) -> DataFrame:
-    tags = enrich.video_tags(_features(s, d))
+    tags = enrich.video_tags(video_features(s, d))
     return enrich.primary_category(tags, clean.taxonomy(proxies.taxonomy(s, d)))
 
 
 def videos_final(s: SparkSession, d: str) -> DataFrame:
+    raw = proxies.videos(s, d)
     return enrich.videos_final(
-        _features(s, d),
+        features.video_features(clean.videos(raw)),
         clean.creators(proxies.creators(s, d)),
         clean.comments(proxies.comments(s, d)),
         clean.taxonomy(proxies.taxonomy(s, d)),
-        enrich.author_names(proxies.videos(s, d)),
+        enrich.author_names(raw),
     )
 
 
@@ -480,7 +473,7 @@ QUERIES: dict[str, Query] = {
     "primary_category": primary_category,
     "videos_final": videos_final,
     "bridge_pairs": lambda s, d: enrich.bridge_pairs(
-        _features(s, d), clean.taxonomy(proxies.taxonomy(s, d))
+        video_features(s, d), clean.taxonomy(proxies.taxonomy(s, d))
     ),
     # marts
     "creator_stats": lambda s, d: marts.creator_stats(_staged("transformed_final")(s, d)),

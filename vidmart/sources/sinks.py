@@ -10,13 +10,20 @@ from vidmart.sources.staging import exists, read_staged
 
 
 def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: tuple[str, ...] = (),
+    sort_by: tuple[str, ...] = (),
 ) -> None:
     """Parquet table. With partition columns, rows are first gathered by partition value so
     each task writes few files; AQE splits a partition value that is too large for one task.
+    ``sort_by`` orders rows inside the files, so that their statistics let readers skip.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
