@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidmart.llm import bpe, secretscan, sharding, topk
+from vidmart.llm import bpe, linededup, quality, secretscan, sharding, topk, toxicity
 from vidmart.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -22,6 +22,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digests(secretscan.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.decided(scored, 0.7)
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,16 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, tokens))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text after the deletion, with the number of lines that went."""
+    return linededup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "removed", "text")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.decided(scored, 0.5)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: f for name, f in globals().items() if name.startswith("op") and callable(f)
