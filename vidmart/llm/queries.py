@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidmart.llm import bpe, linededup, quality, secretscan, sharding, topk, toxicity
+from vidmart.llm import bpe, decontaminate, linededup, quality, secretscan, sharding, topk, toxicity
 from vidmart.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
