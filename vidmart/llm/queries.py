@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidmart.llm import bpe, decontaminate, linededup, quality, secretscan, sharding, topk, toxicity
+from vidmart.llm import bpe, decontaminate, jaccard, linededup, quality, secretscan, sharding, topk, toxicity
 from vidmart.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -46,6 +46,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "removed", "text")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality.decided(scored, 0.5)
