@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidmart.llm import bpe, decontaminate, jaccard, linededup, quality, secretscan, sharding, topk, toxicity
+from vidmart.llm import bpe, decontaminate, jaccard, kneserney, linededup, quality, secretscan, sharding, topk, toxicity
 from vidmart.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -55,6 +55,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.decided(scored, 0.5)
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.score(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: f for name, f in globals().items() if name.startswith("op") and callable(f)
