@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,28 +207,31 @@ def _matches(data: np.ndarray, offsets: np.ndarray, v: Views, share: float):
         yield r, i, edits, s, e
 
 
+def _blocks(benchmark: DataFrame):
+    """Broadcast (ids, views) of the items, BLOCK or so at a time."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(
+        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")
+    ).where(F.col("item_id").isNotNull() & F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))).distinct()
+    blocks = -(-items.count() // BLOCK)
+    for b in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
+        if own:
+            ids = [r["item_id"] for r in own]
+            yield spark.sparkContext.broadcast((ids, views([r["text"].encode() for r in own])))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, edits, start and stop: items that occur in a document with at most
     ``share`` edits for each byte of the item, at the best place (code points, stop exclusive).
 
-    Items without an id or without words are in no document, nor are any in null or empty texts. A null
-    doc_id is kept; rows that repeat an id are searched each. Items are taken in blocks, each of
-    which is broadcast.
+    Items without an id or without words are in no document, nor are any in null or empty
+    texts. A null doc_id is kept; rows that repeat an id are searched each. Items are taken in
+    blocks, each of which is broadcast.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")
-    ).where(F.col("item_id").isNotNull() & F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))).distinct()
-    blocks = max(1, -(-items.count() // BLOCK))
     schema = "doc_id bigint, item_id bigint, edits int, start bigint, stop bigint"
-    out = None
-    rows = id_and_text(docs)
-    for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        if not own:
-            continue
-        ids = [r["item_id"] for r in own]
-        shared = spark.sparkContext.broadcast((ids, views([r["text"].encode() for r in own])))
+    rows, out = id_and_text(docs), None
+    for shared in _blocks(benchmark):
 
         def run(batches, shared=shared):
             ids, v = shared.value
@@ -248,11 +252,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
 
         part = rows.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """The documents without any leaked item, with their columns; rows without an id stay unless
-    they hold an item themselves."""
-    found = leaks(docs, benchmark, share).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    """The rows of ``docs`` in which ``leaks`` finds no item, with all their columns. Texts are
+    judged where they are read, so none is shuffled."""
+    at = docs.columns.index("text")
+    for shared in _blocks(benchmark):
+
+        def run(batches, shared=shared):
+            _, v = shared.value
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                column = pc.fill_null(batch.column(at), "")
+                for first, data, offsets in text_slices(column):
+                    for r, *_ in _matches(data, offsets, v, share):
+                        keep[first + r] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

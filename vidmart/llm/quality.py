@@ -154,14 +154,23 @@ def isotonic(weight: np.ndarray, mean: np.ndarray) -> np.ndarray:
     return np.repeat([b[0] for b in blocks], [int(b[2]) for b in blocks])
 
 
-def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """doc_id, held_out and score, the probability of label 1, of every whole text.
+class Model:
+    """Scores by statistics: the ridge model of the random features, then the calibration."""
 
-    Labels of the fold with crc32(doc_id) mod 3 = 1 are not read. One row for each row; null and
-    empty texts are scored like other texts, null and repeated ids are kept. Without training
-    rows every score is 0.5, with one class only that class's.
-    """
-    rows = cut(described(docs), "quality-statistics")
+    def __init__(self, features: Fourier, weights: np.ndarray, at: np.ndarray, level: np.ndarray):
+        self.features, self.weights, self.at, self.level = features, weights, at, level
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        s = self.features(x) @ self.weights
+        p = np.interp(s, self.at, self.level)
+        if len(self.at) > 1:  # so that rows of one step keep their order
+            p = 0.999 * p + 0.001 * np.clip((s + 1) / 3, 0, 1)
+        return p
+
+
+def fit(rows: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
+    """The model for described rows. Labels of the fold with crc32(doc_id) mod 3 = 1 are not read.
+    Without training rows every score is 0.5, with one class only that class's."""
     known = rows.join(training_labels(labels, label), "doc_id")
     train = cut(known.select("x", "y", (remainder(6) % 2).cast("int").alias("half")), "quality-train")
     features = Fourier(*_moments(rows))
@@ -184,27 +193,48 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFra
 
     counts = train.select("x", "y", "half").mapInArrow(binned, "step bigint, n double, y double")
     table = counts.groupBy("step").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).toPandas().sort_values("step")
-    if len(table):
-        at = (table["step"].to_numpy() + 0.5) / STEPS * 3 - 1
-        weight, hits = table["n"].to_numpy().copy(), table["y"].to_numpy().copy()
-        rate = hits.sum() / weight.sum()
-        weight[[0, -1]] += PRIOR
-        hits[[0, -1]] += PRIOR * rate
-        level = isotonic(weight, hits / weight)
-    else:
-        at, level = np.array([0.0]), np.array([0.5])
+    if not len(table):
+        return Model(features, both, np.array([0.0]), np.array([0.5]))
+    weight, hits = table["n"].to_numpy().copy(), table["y"].to_numpy().copy()
+    rate = hits.sum() / weight.sum()
+    weight[[0, -1]] += PRIOR
+    hits[[0, -1]] += PRIOR * rate
+    at = (table["step"].to_numpy() + 0.5) / STEPS * 3 - 1
+    return Model(features, both, at, isotonic(weight, hits / weight))
+
+
+def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """doc_id, held_out and score, the probability of label 1, of every whole text.
+
+    One row for each row; null and empty texts are scored like other texts, null and repeated ids
+    are kept. See ``fit`` for the labels used.
+    """
+    rows = cut(described(docs), "quality-statistics")
+    model = fit(rows, labels, label)
 
     def run(batches):
         for batch in batches:
-            s = features(_matrix(batch.column(1))) @ both
-            p = np.interp(s, at, level)
-            if len(at) > 1:  # so that rows of one step keep their order
-                p = 0.999 * p + 0.001 * np.clip((s + 1) / 3, 0, 1)
+            p = model.scores(_matrix(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["doc_id", "score"])
 
     scored = rows.select("doc_id", "x").mapInArrow(run, "doc_id bigint, score double")
     return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score")
 
 
+def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5, label: str = "quality") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, with all their columns. Texts are
+    described a second time where they are read, so none is shuffled."""
+    model = fit(cut(described(docs), "quality-statistics"), labels, label)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            x = np.array([statistics(t) for t in texts], np.float64).reshape(-1, N_STATISTICS)
+            yield batch.filter(pa.array(model.scores(x) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def decided(scored: DataFrame, least: float) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= least).cast("int"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,12 +60,62 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneserney.score(table(spark, sf_dir, "documents"))
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), i AS (SELECT vec_id, list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS e FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.e, c.e), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0)))::BIGINT AS score
+  FROM i q JOIN i c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def _secrets_sql() -> str:
+    """Spans from matches and the pieces between them, rule by rule."""
+    parts = []
+    for number, r in enumerate(secretscan.BASE + secretscan.MORE):
+        pattern = r.java.replace("'", "''")
+        parts.append(f"""
+  SELECT doc_id, {number} AS number, '{r.kind}' AS kind,
+    unnest(regexp_extract_all(t, '{pattern}')) AS m, unnest(regexp_extract_all(t, '{pattern}', {r.part})) AS g,
+    unnest(string_split_regex(t, '{pattern}')) AS gap, generate_subscripts(string_split_regex(t, '{pattern}'), 1) AS k,
+    {r.least} AS least
+  FROM d""")
+    union = " UNION ALL ".join(parts)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), p AS ({union}),
+s AS (
+  SELECT *, sum(length(gap) + coalesce(length(m), 0)) OVER (PARTITION BY doc_id, number ORDER BY k) AS stop FROM p
+), h AS (
+  SELECT doc_id, number, kind, (stop - length(m))::BIGINT AS a, stop::BIGINT AS b FROM s WHERE length(g) >= least
+), c AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, number) FILTER (number < {len(secretscan.BASE)}) AS base,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, number) AS spans
+  FROM h GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+
+SECRETS_SQL = _secrets_sql()
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        name: f for name, f in globals().items() if name.startswith("op") and callable(f)
-    }
+    own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return own | {"pipeline": corpus_pipeline.run}
 
 
 def sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express on whole tables."""
-    return {}
+    own = {"op2_exact_topk": TOPK_SQL, "op3_secret_scan": SECRETS_SQL}
+    return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
