@@ -175,7 +175,8 @@ def train_machine(toxic: list[str], weight: np.ndarray, clean: list[str], landma
 
 def _loosened(words: list[str]) -> list[str]:
     """Each word with one character inserted, at its middle, third and two thirds, marks kept."""
-    return [w[:i] + c + w[i:] for w in words for i, c in ((len(w) // 2, "x"), (len(w) // 3, "0"), (len(w) * 2 // 3, "q"))]
+    places = ((1 / 2, "x"), (1 / 3, "0"), (2 / 3, "q"))
+    return [w[: int(len(w) * p)] + c + w[int(len(w) * p) :] for w in words if len(w) < LONGEST for p, c in places]
 
 
 def _words(texts: DataFrame) -> DataFrame:
@@ -218,7 +219,8 @@ def fit(texts: DataFrame) -> Machine | None:
     clean += [r["word"] for r in usual.orderBy(F.xxhash64("word"), "word").limit(WITNESSES).collect()]
     clean = list(dict.fromkeys(clean))
     more = _loosened(toxic)
-    more_weight = np.concatenate([weight, np.repeat(weight, 3) / 6])
+    short = np.array([len(w) < LONGEST for w in toxic])
+    more_weight = np.concatenate([weight, np.repeat(weight[short], 3) / 6])
     for _ in range(2):  # then with the clean words that look most like toxic ones
         machine = train_machine(toxic + more, more_weight, clean)
 
