@@ -100,11 +100,11 @@ def _length(code: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def vectors(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Sparse unit vectors of words: codes and values. For training sets."""
     out = []
-    code, weight = triples(codes(words))
-    for c, w in zip(code, weight, strict=True):
-        at, inverse = np.unique(c[w > 0], return_inverse=True)
-        v = np.bincount(inverse, weights=w[w > 0], minlength=len(at))
-        out.append((at, v / max(np.sqrt((v**2).sum()), 1e-12)))
+    for k in range(0, len(words), 1024):
+        for c, w in zip(*triples(codes(words[k : k + 1024])), strict=True):
+            at, inverse = np.unique(c[w > 0], return_inverse=True)
+            v = np.bincount(inverse, weights=w[w > 0], minlength=len(at))
+            out.append((at, v / max(np.sqrt((v**2).sum()), 1e-12)))
     return out
 
 
@@ -131,11 +131,12 @@ class Machine:
 def _chosen(own: list, many: int) -> list[int]:
     """Words that the others are least like: greedy pivots of their kernel matrix."""
     left, rows, picks = np.ones(len(own)), [], []
+    dense = np.zeros(LETTERS**3)
     while len(picks) < min(many, len(own)) and left.max() > 1e-3:
         k = int(left.argmax())
-        dense = np.zeros(LETTERS**3)
         dense[own[k][0]] = own[k][1]
         row = np.array([dense[at] @ v for at, v in own])
+        dense[own[k][0]] = 0
         for r in rows:
             row -= r[k] * r
         row /= np.sqrt(max(left[k], 1e-12))
@@ -153,10 +154,15 @@ def train_machine(toxic: list[str], weight: np.ndarray, clean: list[str], landma
     cost = np.concatenate([weight / weight.mean(), np.ones(len(clean))])
     marks = _chosen(own[: len(toxic)], landmarks * 2 // 3)
     marks += [len(toxic) + k for k in _chosen(own[len(toxic) :][: 4 * landmarks], landmarks - len(marks))]
-    dense = np.zeros((LETTERS**3, len(marks)), np.float32)
+    used = np.unique(np.concatenate([own[m][0] for m in marks]))  # triples of the landmarks
+    dense = np.zeros((len(used), len(marks)), np.float32)
     for k, m in enumerate(marks):
-        dense[own[m][0], k] = own[m][1]
-    kernel = np.array([v @ dense[at] for at, v in own], np.float64)
+        dense[np.searchsorted(used, own[m][0]), k] = own[m][1]
+    kernel = np.zeros((len(own), len(marks)))
+    for row, (at, v) in zip(kernel, own, strict=True):
+        place = np.minimum(np.searchsorted(used, at), len(used) - 1)
+        hit = used[place] == at
+        row[:] = v[hit] @ dense[place[hit]]
     values, basis = np.linalg.eigh((kernel[marks] + kernel[marks].T) / 2)
     keep = values > 1e-6
     root = basis[:, keep] / np.sqrt(values[keep])
@@ -170,7 +176,9 @@ def train_machine(toxic: list[str], weight: np.ndarray, clean: list[str], landma
         if np.abs(new - w).max() < 1e-8:
             break
         w = (w + new) / 2 if _ > 10 else new
-    return Machine(dense @ (root @ w[:-1]), float(w[-1]))
+    weights = np.zeros(LETTERS**3)
+    weights[used] = dense @ (root @ w[:-1])
+    return Machine(weights, float(w[-1]))
 
 
 def _loosened(words: list[str]) -> list[str]:
