@@ -153,12 +153,54 @@ def test_reports_in_sql_over_the_views(spark, tmp_path):
     tables = batch.warehouse(spark, cfg.out)
     batch.register_views(tables)
     got = spark.sql("""
-        select d.day_name, d.day_of_week, d.is_weekend, count(f.video_sk) as video_count,
-          cast(round(avg(f.play_count), 0) as double) as avg_play_count,
-          cast(round(avg(f.engagement_rate) * 100, 4) as double) as avg_engagement_pct,
-          sum(case when f.is_viral then 1 else 0 end) as viral_count
-        from fact_video_performance f join dim_date d on f.date_id = d.date_id
-        group by d.day_name, d.day_of_week, d.is_weekend
+        with posts as (
+          select date_id, play_count, engagement_rate, is_viral from fact_video_performance
+        )
+        select day_name, day_of_week, is_weekend, count(*) as video_count,
+          count_if(is_viral) as viral_count,
+          round(mean(100 * engagement_rate), 4)::double as avg_engagement_pct,
+          round(mean(play_count))::double as avg_play_count
+        from dim_date natural join posts
+        group by all
     """)
-    assert rows(got) == rows(batch.reports.weekday_pattern(tables))
+    report = batch.reports.weekday_pattern(tables)
+    assert rows(got.select(*report.columns)) == rows(report)
     assert spark.table("bridge_video_hashtag").count() == 1
+
+
+def test_calendar_covers_every_post(spark, tmp_path):
+    """Posts outside the configured years reach the reports."""
+    given = sources(spark, tmp_path, 100)
+    videos = given["videos"]
+    years = videos.sparkSession.createDataFrame([(2018,), (2026,), (2028,)], "y int")
+    one = videos.where("playCount > 0").limit(1)
+    posts = one.crossJoin(years).withColumn(
+        "webVideoUrl", F.concat(F.lit("https://x/@a/video/77"), F.col("y"))
+    ).withColumn("createTimeISO", F.concat(F.col("y"), F.lit("-03-04T05:06:07.000Z")))
+    cfg = config(tmp_path, 3)
+    given["videos"] = posts.select(*videos.columns)
+    batch.run_batch(spark, cfg, given, stop="load")
+    tables = batch.warehouse(spark, cfg.out)
+    dated = tables["fact"].where("date_id is not null").count()
+    monthly = batch.reports.monthly_engagement(tables)
+    assert dated == 3 and monthly.agg(F.sum("total_videos")).first()[0] == 3
+    missing = spark.read.parquet(cfg.mart("fk_violations"))
+    assert missing.where("constraint_name = 'fact to date'").first()["orphan_rows"] == 0
+
+
+def test_stage_control(spark, tmp_path):
+    cfg = config(tmp_path, 3)
+    with pytest.raises(ValueError, match="comes after"):
+        batch.run_batch(spark, cfg, start="load", stop="extract")
+    batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="extract")
+    with pytest.raises(FileNotFoundError, match="transformed_final"):
+        batch.run_batch(spark, cfg, start="load")
+
+
+def test_back_dated_load_is_refused(spark, tmp_path):
+    first = config(tmp_path, 3)
+    batch.run_batch(spark, first, sources(spark, tmp_path, 100), stop="load")
+    late = config(tmp_path, 1)
+    late.previous = first.out
+    with pytest.raises(ValueError, match="newest version"):
+        batch.run_batch(spark, late, sources(spark, tmp_path, 100))

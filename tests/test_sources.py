@@ -162,3 +162,18 @@ def test_session_zone(spark):
         session.pin_utc(spark)
     session.require_utc(spark)
     assert session.create_session(app_name="again") is not None
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("extra,b,a\nx,1200.0,k\ny,1.5,l\nz,no,m\n")
+    got = readers.read_csv(spark, str(path), "a string, b bigint").orderBy("a").collect()
+    assert [tuple(r) for r in got] == [("k", 1200), ("l", None), ("m", None)]
+    with pytest.raises(ValueError, match="lacks"):
+        readers.read_csv(spark, str(path), "a string, c bigint")
+
+
+def test_load_once_on_an_empty_folder(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    assert sinks.load_once(spark.range(3), str(tmp_path / "t"))
+    assert not sinks.load_once(spark.range(3), str(tmp_path / "t"))

@@ -31,6 +31,11 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("--comments-store", nargs=3, metavar=("URI", "DATABASE", "COLLECTION"))
     p.add_argument("--taxonomy-table", nargs=2, metavar=("JDBC_URL", "TABLE"))
     p.add_argument("--taxonomy-user", help="its password is taken from VIDMART_DB_PASSWORD")
+    p.add_argument(
+        "--date-range", nargs=2, type=date.fromisoformat, metavar=("START", "END"),
+        default=batch.dimensions.DATE_RANGE, help="days the calendar has at least",
+    )
+    p.add_argument("--holidays", help="CSV files with full_date and holiday_name")
     p.add_argument("--min-year", type=int, default=batch.reports.MIN_YEAR)
     p.add_argument("--viral-plays", type=int, default=batch.measures.VIRAL_PLAYS)
     p.add_argument("--show", action="store_true", help="print the first rows of each report")
@@ -81,6 +86,8 @@ def main(argv: list[str] | None = None) -> dict:
         as_of=args.as_of,
         loaded_at=args.loaded_at or datetime.combine(args.as_of, datetime.min.time()),
         min_year=args.min_year,
+        date_range=tuple(args.date_range),
+        holidays=readers.holidays_csv(spark, args.holidays) if args.holidays else None,
         viral_threshold=args.viral_plays,
     )
     given, read_from = sources(spark, args) if args.start == "extract" else (None, {})

@@ -48,6 +48,27 @@ def date_table_for(
     return _calendar(days, holidays)
 
 
+def date_table_covering(
+    rows: DataFrame,
+    posted: Column,
+    start: date = DATE_RANGE[0],
+    end: date = DATE_RANGE[1],
+    holidays: DataFrame | None = None,
+) -> DataFrame:
+    """One row per day from ``start`` to ``end`` and of every other calendar year up to the
+    first and the last that the data touches, so that no dated row lacks its day."""
+    span = rows.agg(F.min(posted).alias("lo"), F.max(posted).alias("hi"))
+    days = span.select(
+        F.explode(
+            F.sequence(
+                F.least(F.lit(start), F.make_date(F.year("lo"), F.lit(1), F.lit(1))),
+                F.greatest(F.lit(end), F.make_date(F.year("hi"), F.lit(12), F.lit(31))),
+            )
+        ).alias("full_date")
+    )
+    return _calendar(days, holidays)
+
+
 def _calendar(days: DataFrame, holidays: DataFrame | None) -> DataFrame:
     """Week numbers are ISO; ``day_of_week`` counts from 1 = Monday to 7 = Sunday."""
     if holidays is None:

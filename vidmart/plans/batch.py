@@ -5,10 +5,11 @@ stage can be run again on its own from what the one before it wrote.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -177,7 +178,9 @@ def run_load(
         if cfg.date_range is None:
             days = dimensions.date_table_for(final, F.col("createTimeISO"), cfg.holidays)
         else:
-            days = dimensions.date_table(spark, *cfg.date_range, cfg.holidays)
+            days = dimensions.date_table_covering(
+                final, F.col("createTimeISO"), *cfg.date_range, cfg.holidays
+            )
         return _table(days, "dim_date", cfg)
 
     def dim_music() -> DataFrame:
@@ -219,7 +222,65 @@ def run_load(
         spark, cfg.staged("bridge_hashtag"), "video_id string, hashtag_id string"
     )
     bridge = _table(fact.bridge_table(facts, pairs), "bridge", cfg)
-    return {**dims, "fact": facts, "bridge": bridge}
+    tables = {**dims, "fact": facts, "bridge": bridge}
+    _check_load(cfg, tables)
+    return tables
+
+
+def load_references(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Values and rows of the loaded tables that lack their dimension row, by constraint."""
+    checks = [
+        ("fact", "creator_sk", "dim_creator", "creator_sk", "fact to creator"),
+        ("fact", "date_id", "dim_date", "date_id", "fact to date"),
+        ("fact", "music_sk", "dim_music", "music_sk", "fact to music"),
+        ("bridge", "video_sk", "fact", "video_sk", "bridge to fact"),
+        ("bridge", "hashtag_id", "dim_hashtag", "hashtag_id", "bridge to hashtag"),
+    ]
+    return _all(quality.reference_check(tables[c], k, tables[p], q, n) for c, k, p, q, n in checks)
+
+
+def load_uniqueness(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Keys of the loaded tables that occur twice or are NULL, by constraint."""
+    current = tables["dim_creator"].where("is_current")
+    checks = [
+        ("dim_date", tables["dim_date"], ["date_id"]),
+        ("dim_creator", tables["dim_creator"], ["creator_sk"]),
+        ("current dim_creator", current, ["creator_nk"]),
+        ("dim_hashtag", tables["dim_hashtag"], ["hashtag_id"]),
+        ("dim_music", tables["dim_music"], ["music_sk"]),
+        ("fact", tables["fact"], ["video_sk"]),
+        ("fact", tables["fact"], ["video_id"]),
+        ("bridge", tables["bridge"], ["video_sk", "hashtag_id"]),
+    ]
+    return _all(quality.unique_check(*c) for c in checks)
+
+
+def _all(rows: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _check_load(cfg: BatchConfig, tables: Mapping[str, DataFrame]) -> None:
+    """Write what the loaded tables violate, one row for a constraint, and warn of it."""
+    marts_ = {"fk_violations": load_references, "unique_violations": load_uniqueness}
+    written = _together(
+        tables["fact"].sparkSession,
+        {n: lambda n=n, f=f: _mart(f(tables), n, cfg) for n, f in marts_.items()},
+    )
+    for name, rows in written.items():  # one row for each of the constraints above
+        counts = [c for c in rows.columns if c != "constraint_name"]
+        for row in rows.where(" or ".join(f"{c} > 0" for c in counts)).collect():
+            log.warning("%s: %s", name, row.asDict())
+
+
+def refuse_back_dated(spark: SparkSession, cfg: BatchConfig) -> None:
+    """A load dated before the newest version it would close is an error, raised before
+    anything is written. A second load of one day goes on from the first."""
+    if not cfg.previous:
+        return
+    old = read_staged(spark, f"{cfg.previous}/warehouse/dim_creator", schemas.DIM_CREATOR)
+    newest = old.agg(F.max("valid_from")).first()[0]
+    if newest is not None and cfg.as_of < newest:
+        raise ValueError(f"as_of {cfg.as_of} is before {newest}, the newest version in {cfg.previous}")
 
 
 def warehouse(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -263,6 +324,13 @@ def run_batch(
     """
     require_utc(spark)
     first, last = STAGES.index(start), STAGES.index(stop)
+    if first > last:
+        raise ValueError(f"start {start} comes after stop {stop}")
+    if first <= 2 <= last:
+        refuse_back_dated(spark, cfg)
+    for stage_, needed in ((1, cfg.staged("raw_videos")), (2, cfg.staged("transformed_final")), (3, cfg.table("fact"))):
+        if first >= stage_ and not exists(spark, needed):
+            raise FileNotFoundError(f"{start} needs {needed}, which no earlier stage has written")
     if first == 0:
         if sources is None:
             raise ValueError("extract needs sources")
@@ -271,9 +339,9 @@ def run_batch(
         raw = staged_sources(spark, cfg)
     if first <= 1 <= last:
         done = run_transform(cfg, raw)
-    elif exists(spark, cfg.staged("transformed_final")):
-        done = staged_transform(spark, cfg)
     if first <= 2 <= last:
+        if first == 2:
+            done = staged_transform(spark, cfg)
         tables = run_load(cfg, raw["videos"], done)
     if last == 3:
         if first == 3:

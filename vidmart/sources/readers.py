@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType, StringType, StructType
 from py4j.protocol import Py4JJavaError
 
 from vidmart import schemas
 
+log = logging.getLogger(__name__)
+
 
 def flatten_columns(df: DataFrame) -> DataFrame:
     """Replace literal dots in column names by underscores."""
@@ -40,9 +45,30 @@ def read_json(
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str | None) -> DataFrame:
+    """CSV with a header. With a layout, columns are found by their names in the header, in any
+    order; a missing one is an error, others are left out. Values that are not of the column's
+    type become NULL, whole numbers may be written with a decimal point.
+    """
     reader = spark.read.option("header", True)
-    reader = reader.schema(ddl) if ddl else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if not ddl:
+        return reader.option("inferSchema", True).csv(path)
+    text = reader.csv(path)
+    names = {c.strip().lstrip("\ufeff"): c for c in text.columns}
+    wanted = StructType.fromDDL(ddl).fields
+    if missing := [f.name for f in wanted if f.name not in names]:
+        raise ValueError(f"{path} lacks the columns {missing}; it has {list(names)}")
+    return text.select(*[_typed(F.col(f"`{names[f.name]}`"), f.dataType).alias(f.name) for f in wanted])
+
+
+def _typed(c: Column, kind: DataType) -> Column:
+    if isinstance(kind, IntegralType):
+        number = F.trim(c).try_cast("decimal(38, 6)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return c if isinstance(kind, StringType) else F.trim(c).try_cast(kind)
+
+
+def holidays_csv(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, "full_date date, holiday_name string")
 
 
 def videos_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -120,5 +146,6 @@ def read_with_fallback(
         df = primary()
         df.limit(1).count()
         return df, "primary"
-    except (PySparkException, Py4JJavaError):
+    except (PySparkException, Py4JJavaError) as why:
+        log.warning("falling back, as the primary source failed: %s", str(why).split("\n")[0])
         return fallback(), "fallback"

@@ -33,8 +33,9 @@ def write_table(
 def write_jdbc(
     df: DataFrame, options: dict[str, str], mode: str = "append", connections: int = 16
 ) -> None:
-    """Batched inserts from at most ``connections`` tasks, so the database is not swamped."""
-    df.coalesce(connections).write.format("jdbc").mode(mode).options(
+    """Batched inserts from ``connections`` tasks, so the database is not swamped. The rows are
+    dealt out anew for that; what comes before keeps its own width."""
+    df.repartition(connections).write.format("jdbc").mode(mode).options(
         **{"batchsize": "10000", "truncate": "true", **options}
     ).save()
 
@@ -62,7 +63,7 @@ def insert_if_absent(df: DataFrame, path: str, keys: list[str]) -> None:
 def load_once(df: DataFrame, path: str) -> bool:
     """Write only if the table is missing or empty; say whether anything was written."""
     spark = df.sparkSession
-    if exists(spark, path) and not read_staged(spark, path).isEmpty():
+    if exists(spark, path) and not spark.read.schema(df.schema).parquet(path).isEmpty():
         return False
     write_table(df, path)
     return True
