@@ -6,14 +6,15 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from vidmart import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = queries.registered()
+SQL = oracle.sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no benchmark tables")
 
@@ -40,6 +41,8 @@ def comparable(columns, records):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert SQL.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

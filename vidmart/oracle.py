@@ -494,6 +494,7 @@ def _selects() -> dict[str, str]:
     return {
         "source_videos_json": "SELECT * FROM videos_raw",
         "source_creators_csv": "SELECT * FROM creators_raw",
+        "source_creators_csv_reordered": "SELECT * FROM creators_raw",
         "source_comments_fallback": "SELECT *, 'fallback' AS source_used FROM comments_raw",
         "source_taxonomy_fallback": "SELECT *, 'fallback' AS source_used FROM taxonomy_raw",
         "staged_videos": "SELECT * FROM videos_raw",
@@ -591,6 +592,31 @@ WHERE coalesce(playCount <= 0, true) OR NOT regexp_matches(webVideoUrl, '/video/
         "SELECT hashtag_id, hashtag, concat_ws('|', "
         + ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in _rules().items())
         + ") AS violations FROM taxonomy_raw) WHERE violations <> ''",
+        "calendar_coverage": """
+SELECT date_id // 10000 AS year, count(*) AS dated_rows, count(*) AS reported_rows
+FROM fact WHERE date_id IS NOT NULL GROUP BY 1""",
+        "mart_fk_violations": " UNION ALL ".join(
+            [
+                _fk("fact", "creator_sk", "dim_creator", "creator_sk", "fact to creator"),
+                _fk("fact", "date_id", "dim_date", "date_id", "fact to date"),
+                _fk("fact", "music_sk", "dim_music", "music_sk", "fact to music"),
+                _fk("bridge", "video_sk", "fact", "video_sk", "bridge to fact"),
+                _fk("bridge", "hashtag_id", "dim_hashtag", "hashtag_id", "bridge to hashtag"),
+            ]
+        ),
+        "mart_unique_violations": " UNION ALL ".join(
+            [
+                _unique("dim_date", "dim_date", "date_id"),
+                _unique("dim_creator", "dim_creator", "creator_sk"),
+                _unique("current dim_creator", "(SELECT * FROM dim_creator WHERE is_current)",
+                        "creator_nk"),
+                _unique("dim_hashtag", "dim_hashtag", "hashtag_id"),
+                _unique("dim_music", "dim_music", "music_sk"),
+                _unique("fact", "fact", "video_sk"),
+                _unique("fact", "fact", "video_id"),
+                _unique("bridge", "bridge", "video_sk, hashtag_id"),
+            ]
+        ),
         "fk_violations": " UNION ALL ".join(
             [
                 _fk("fact", "creator_sk", "dim_creator", "creator_sk", "fact to creator"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -362,6 +362,32 @@ def unique_violations(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def calendar_coverage(s: SparkSession, d: str) -> DataFrame:
+    """Dated fact rows of each year, and those that reach the monthly report, with a calendar
+    configured for a single year that no post is in."""
+    t = batch.warehouse(s, run(s, d).out)
+    posted = F.to_date(F.col("date_id").cast("string"), "yyyyMMdd")
+    narrow = dimensions.date_table_covering(t["fact"], posted, date(2000, 1, 1), date(2000, 12, 31))
+    days = schemas.conform(narrow, schemas.TABLES["dim_date"][1])
+    monthly = reports.monthly_engagement({**t, "dim_date": days})
+    reported = monthly.groupBy("year").agg(F.sum("total_videos").alias("reported_rows"))
+    dated = (
+        t["fact"].where("date_id is not null")
+        .groupBy(F.floor(F.col("date_id") / 10000).cast("int").alias("year"))
+        .agg(F.count(F.lit(1)).alias("dated_rows"))
+    )
+    return plain(dated.join(reported, "year", "left"))
+
+
+def source_creators_csv_reordered(s: SparkSession, d: str) -> DataFrame:
+    """The profiles through a CSV file whose columns come in another order."""
+    profiles = proxies.creators(s, d)
+    path = new_folder(s, "creators-reordered")
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    profiles.select(*reversed(profiles.columns)).write.options(header=True, **keep).csv(path)
+    return plain(readers.creators_csv(s, path))
+
+
 def source_profile(s: SparkSession, d: str) -> DataFrame:
     parsed = proxies.videos(s, d).withColumn("posted", F.try_to_timestamp("createTimeISO"))
     return quality.profile(
@@ -489,6 +515,10 @@ QUERIES: dict[str, Query] = {
     "quarantined_videos": _staged("rejected_videos"),
     "fk_violations": fk_violations,
     "unique_violations": unique_violations,
+    "mart_fk_violations": _mart("fk_violations"),
+    "mart_unique_violations": _mart("unique_violations"),
+    "calendar_coverage": calendar_coverage,
+    "source_creators_csv_reordered": source_creators_csv_reordered,
     "source_profile": source_profile,
     "source_value_shares": source_value_shares,
     # warehouse
