@@ -217,6 +217,25 @@ def test_jaccard_join_equals_all_pairs(spark):
     assert got == linked(docs)
 
 
+def test_jaccard_join_keeps_links_beside_near_misses(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    texts = []
+    for i in range(120):  # copies, near copies and near misses that share their odd passages
+        words = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            words[rng.randrange(90)] = f"x{rng.randrange(12)}"
+        if i % 3 == 0:
+            at, odd = rng.randrange(60), rng.randrange(3)
+            words[at : at + 14] = [f"odd{odd}_{j}" for j in range(14 + rng.randrange(8))]
+        texts.append(" ".join(words))
+    docs = list(enumerate(texts))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(table).collect()}
+    assert 10 < len({c for _, c in got.values()}) < 110
+    assert got == linked(docs)
+
+
 def test_jaccard_join_of_odd_rows(odd, none):
     assert sorted(r["doc_id"] for r in jaccard.join(odd).collect()) == [1, 2, 3, 4, 5]
     assert jaccard.join(none).count() == 0

@@ -11,8 +11,11 @@
    adds and the more it asks to be shared (the smaller k of a pair holds).
 4. In each list the documents are first held against one of them, the least, then one chosen by
    a hash: each document is verified against the one it shares most lists with. Most groups
-   become one component by that, whatever their size. Then all pairs of a list that are still
-   in different components, and share enough lists, are verified.
+   become one component by that, whatever their size.
+5. All pairs of a list that are still in different components are met once, at the first list
+   they share, unless a bound on what they can share refutes them: their places in both sets,
+   or what each shares with the document of step 4, where that is the same one. Pairs with
+   enough shared lists are verified.
 
 Verification compares whole sets in integers, so no link is lost and none is added.
 """
@@ -22,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidmart.llm.bytewords import mix, shingles, text_slices, words
@@ -32,6 +35,7 @@ from vidmart.llm.tables import cut, width
 WORDS = 5
 THRESHOLD = 75  # per cent
 SLICE = 4 << 20  # bytes of text packed together
+BEFORE = 16  # earlier lists that a posting remembers; a pair met at one of them is not met again
 PACKED = "bucket bigint, batch bigint, sizes binary, tokens binary, many binary, docs binary"
 
 
@@ -181,7 +185,8 @@ def token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """tok, rep, n and k: the lists that each set's prefix is in, and how many it asks to share."""
+    """tok, rep, n, k, place and m: the lists that each set's prefix is in, how many it asks to
+    share, where in the set's order the list is, and how many shingles others have too."""
     flat = sets.select("rep", "n", F.explode("tokens").alias("tok"))
     often = cut(flat.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "join-df")
     lists = (
@@ -191,12 +196,13 @@ def postings(sets: DataFrame) -> DataFrame:
     )
     least = F.floor((F.col("n") * THRESHOLD + 99) / 100).cast("int")
     base = (F.size("own") - least + 1).alias("base")  # shingles of one set alone come first
-    short = lists.select("rep", "n", "own", base, least.alias("least")).where("base > 0")
+    short = lists.select("rep", "n", "own", F.size("own").alias("m"), base, least.alias("least")).where("base > 0")
     first = F.greatest(F.col("base"), F.lit(0))  # also where a filter above runs later
     cost = F.aggregate(F.slice("own", 1, first), F.lit(0).cast("bigint"), lambda a, x: a + x["df"] - 1)
     k = F.least(F.col("least"), 1 + F.floor(F.log2(1 + cost / F.greatest(F.col("base"), F.lit(1)))).cast("int"))
     chosen = short.withColumn("k", k).withColumn("own", F.slice("own", 1, F.greatest(F.col("base") + F.col("k") - 1, F.lit(0))))
-    return cut(chosen.select(F.explode("own.tok").alias("tok"), "rep", "n", "k"), "join-postings")
+    flat = chosen.select(F.posexplode("own.tok").alias("place", "tok"), "rep", "n", "k", "m")
+    return cut(flat.select("tok", "rep", "n", "k", "place", "m"), "join-postings")
 
 
 def _near(n: Column, m: Column) -> Column:
@@ -204,16 +210,19 @@ def _near(n: Column, m: Column) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * THRESHOLD
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) with the number of shingles in both, and whether that makes a link."""
     a = sets.select(F.col("rep").alias("u"), F.col("tokens").alias("a"))
     b = sets.select(F.col("rep").alias("v"), F.col("tokens").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return (
-        pairs.select("u", "v").join(a, "u").join(b, "v")
-        .where(both * 100 >= (F.size("a") + F.size("b") - both) * THRESHOLD)
-        .select("u", "v")
-    )
+    linked = F.col("both") * 100 >= (F.size("a") + F.size("b") - F.col("both")) * THRESHOLD
+    met = pairs.select("u", "v").join(a, "u").join(b, "v").withColumn("both", both)
+    return met.select("u", "v", "both", linked.alias("linked"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sets are similar enough."""
+    return compared(pairs, sets).where("linked").select("u", "v")
 
 
 def _labelled(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -244,27 +253,56 @@ def _against_one(lists: DataFrame, by: Column, name: str) -> DataFrame:
     return cut(best.select(F.col("rep").alias("u"), F.col("b.v").alias("v")), f"join-pairs-{name}")
 
 
-def _all_left(lists: DataFrame) -> DataFrame:
-    """Pairs of different components that share enough lists."""
-    a = lists.select("tok", *[F.col(c).alias(f"a_{c}") for c in ("rep", "comp", "n", "k")])
-    b = lists.select("tok", *[F.col(c).alias(f"b_{c}") for c in ("rep", "comp", "n", "k")])
-    met = a.join(b, "tok").where(
-        (F.col("a_comp") < F.col("b_comp")) & _near(F.col("a_n"), F.col("b_n"))
+def _possible() -> Column:
+    """False for pairs a, b of one list that cannot be linked.
+
+    What two sets share is at most what both have before this list and from it on; and, for the
+    document both were held against, what both share with it and what both have besides.
+    """
+    def bound(x: str, rest: Column, other: Column) -> Column:
+        return F.least(f"a_{x}", f"b_{x}") + F.least(rest, other)
+
+    ask = (F.col("a_n") + F.col("b_n")) * THRESHOLD  # of a link: shared * (100 + THRESHOLD) at least
+    here = bound("place", F.col("a_m") - F.col("a_place"), F.col("b_m") - F.col("b_place"))
+    by_head = bound("both", F.col("a_m") - F.col("a_both"), F.col("b_m") - F.col("b_both"))
+    refuted = (F.col("a_v") == F.col("b_v")) & (by_head * (100 + THRESHOLD) < ask)
+    return (here * (100 + THRESHOLD) >= ask) & ~F.coalesce(refuted, F.lit(False))
+
+
+def _all_left(lists: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs of different components that share enough lists and that no bound refutes.
+
+    ``heads`` has what a document u shares (both) with the one it was held against (v). A row of
+    the join goes if the two meet in one of the BEFORE lists before it, so the first list that
+    they share always stays.
+    """
+    earlier = Window.partitionBy("rep").orderBy("place").rowsBetween(-BEFORE, -1)
+    rows = cut(
+        lists.join(heads.select(F.col("u").alias("rep"), "v", "both"), "rep", "left")
+        .withColumn("earlier", F.collect_list("tok").over(earlier)),
+        "join-open-rows",
     )
-    return (
-        met.groupBy(F.col("a_rep").alias("u"), F.col("b_rep").alias("v"))
-        .agg(F.count(F.lit(1)).alias("votes"), F.min(F.least("a_k", "b_k")).alias("k"))
-        .where("votes >= k")
+    names = ("rep", "comp", "n", "m", "place", "v", "both", "earlier")
+    a, b = (rows.select("tok", *[F.col(c).alias(f"{side}_{c}") for c in names]) for side in "ab")
+    new = ~F.arrays_overlap("a_earlier", "b_earlier")
+    met = a.join(b, "tok").where(
+        (F.col("a_comp") < F.col("b_comp")) & _near(F.col("a_n"), F.col("b_n")) & _possible() & new
     )
+    pairs = met.select(F.col("a_rep").alias("u"), F.col("b_rep").alias("v")).distinct()
+    own = lists.groupBy("rep").agg(F.collect_list("tok").alias("own"), F.min("k").alias("k"))
+    u, v = (own.select(F.col("rep").alias(s), F.col("own").alias(f"{s}_own"), F.col("k").alias(f"{s}_k")) for s in "uv")
+    votes = F.size(F.array_intersect("u_own", "v_own"))
+    return pairs.join(u, "u").join(v, "v").where(votes >= F.least("u_k", "v_k")).select("u", "v")
 
 
 def links(sets: DataFrame) -> DataFrame:
     """Links (u, v) between sets that leave no two linked sets in different components."""
     lists = postings(sets)
-    found = cut(verified(_against_one(lists.withColumn("comp", F.col("rep")), F.col("rep"), "least"), sets), "join-links-1")
+    heads = cut(compared(_against_one(lists.withColumn("comp", F.col("rep")), F.col("rep"), "least"), sets), "join-links-1")
+    found = heads.where("linked").select("u", "v")
     more = _against_one(_labelled(lists, found), F.xxhash64("rep", "tok"), "hash")
     found = found.unionByName(cut(verified(more, sets), "join-links-2"))
-    rest = cut(_all_left(_labelled(lists, found)), "join-rest")
+    rest = cut(_all_left(_labelled(lists, found), heads), "join-rest")
     return found.unionByName(cut(verified(rest, sets), "join-links-3"))
 
 
