@@ -5,7 +5,7 @@ from frames import comments, creators, taxonomy, videos
 from pyspark.sql import functions as F
 
 from vidmart import queries
-from vidmart.operators import clean, enrich, features
+from vidmart.operators import clean, enrich, fact, features
 from vidmart.plans import batch, reports
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -116,3 +116,16 @@ def test_results_do_not_depend_on_shuffle_width(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert want == again
     assert t["fact"].agg(F.count("*")).first()[0] > 0
+
+
+def test_fact_counts_frequent_music_before_the_creator_lookup(spark, tmp_path, no_broadcast):
+    ddl = "video_id long, authorMeta_name string, musicMeta_musicName string, musicMeta_musicAuthor string"
+    final = files(spark, tmp_path, spark.createDataFrame([(1, "a", "m", "n"), (2, "b", None, "")], ddl), "f")
+    creator = files(spark, tmp_path, spark.createDataFrame(
+        [("a", 7, True)], "creator_nk string, creator_sk long, is_current boolean"), "c")
+    music = files(spark, tmp_path, spark.createDataFrame(
+        [("m", "n", 1), (None, None, 2)], "music_name string, music_author string, music_sk long"), "m")
+    met = fact.with_music_key(fact.with_creator_key(final, creator), music, keys_from=final)
+    assert plan(met).count("SortMergeJoin") == 2
+    got = {r["video_id"]: (r["creator_sk"], r["music_sk"]) for r in met.collect()}
+    assert got == {1: (7, 1), 2: (None, 2)}

@@ -90,6 +90,16 @@ def test_jdbc_options():
         readers.jdbc_options("u", "t", partition_column="id")
 
 
+@pytest.mark.parametrize("cuts", [[], ["m"], ["b", "it's", "t"], ["t", "b"], ["b", "b"]])
+def test_range_predicates_part_a_table(spark, cuts):
+    keys = [None, "", "a", "b", "it's", "iz", "t", "zz"]
+    table = spark.createDataFrame([(k,) for k in keys], "k string")
+    parts = readers.range_predicates("k", cuts)
+    assert len(parts) == len(cuts) + 1
+    got = [r["k"] for p in parts for r in table.where(p).collect()]
+    assert sorted(got, key=str) == sorted(keys, key=str)
+
+
 def test_spread(spark, tmp_path):
     path = str(tmp_path / "one")
     spark.range(100).coalesce(1).write.parquet(path)

@@ -23,21 +23,29 @@ def with_creator_key(videos: DataFrame, dim_creator: DataFrame) -> DataFrame:
     return lookup(videos, current, {"authorMeta_name": "creator_nk"}, ["video_id"])
 
 
-def with_music_key(videos: DataFrame, dim_music: DataFrame) -> DataFrame:
-    """Add ``music_sk`` of (name, author), NULL and empty counting as equal."""
-    keyed = videos.withColumns(
+def _music_names(videos: DataFrame) -> DataFrame:
+    return videos.withColumns(
         {
             "_name": F.coalesce("musicMeta_musicName", F.lit("")),
             "_author": F.coalesce("musicMeta_musicAuthor", F.lit("")),
         }
     )
+
+
+def with_music_key(
+    videos: DataFrame, dim_music: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Add ``music_sk`` of (name, author), NULL and empty counting as equal. ``keys_from`` may
+    be the videos before other joins, so that counting frequent names does not repeat those."""
+    keyed = _music_names(videos)
+    counted = None if keys_from is None else _music_names(keys_from)
     music = dim_music.select(
         F.coalesce("music_name", F.lit("")).alias("name"),
         F.coalesce("music_author", F.lit("")).alias("author"),
         "music_sk",
     )
     on = {"_name": "name", "_author": "author"}
-    return lookup(keyed, music, on, ["video_id"]).drop("_name", "_author")
+    return lookup(keyed, music, on, ["video_id"], keys_from=counted).drop("_name", "_author")
 
 
 def fact_rows(
@@ -49,7 +57,7 @@ def fact_rows(
     the bridge holds those.
     """
     zero = measures.zero_if_null
-    rows = with_music_key(with_creator_key(final, dim_creator), dim_music).withColumns(
+    rows = with_music_key(with_creator_key(final, dim_creator), dim_music, keys_from=final).withColumns(
         {
             "date_id": measures.date_key(F.col("createTimeISO")),
             "play_count": zero(F.col("playCount")),

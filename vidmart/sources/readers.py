@@ -134,6 +134,27 @@ def jdbc_options(
     return out
 
 
+def range_predicates(column: str, cuts: list[str]) -> list[str]:
+    """Conditions that deal a table with a text key to ``len(cuts) + 1`` tasks.
+
+    Each row meets exactly one of them, NULL keys the last, in whatever order the database
+    sorts: a row goes to the first cut that it is less than.
+    """
+    quoted = ["'" + c.replace("'", "''") + "'" for c in cuts]
+    passed = [f"{column} >= {c}" for c in quoted]
+    parts = [" AND ".join([*passed[:i], f"{column} < {c}"]) for i, c in enumerate(quoted)]
+    rest = " AND ".join(passed) or f"{column} IS NOT NULL"
+    return [*parts, f"({rest}) OR {column} IS NULL"]
+
+
+def jdbc_by_predicates(
+    spark: SparkSession, options: dict[str, str], predicates: list[str]
+) -> DataFrame:
+    """A table read by one task for each condition, for keys that are not numbers or dates."""
+    rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=rest)
+
+
 def read_with_fallback(
     primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame]
 ) -> tuple[DataFrame, str]:
