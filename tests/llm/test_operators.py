@@ -236,6 +236,18 @@ def test_jaccard_join_keeps_links_beside_near_misses(spark):
     assert got == linked(docs)
 
 
+def test_jaccard_join_of_a_table_united_with_itself(spark):
+    rng = random.Random(7)
+    base = [" ".join(rng.choice("abcdefghij") for _ in range(30)) for _ in range(12)]
+    docs = [(i, base[i % 12] + " z" * (i % 5)) for i in range(40)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3, "doc_id")
+    one = spark.createDataFrame([(77, "seven words that only one row has")], "doc_id long, text string").coalesce(1)
+    got = jaccard.join(table.union(table).union(one).union(one).union(one)).collect()
+    want = linked([*docs, (77, "seven words that only one row has")])
+    assert len(got) == 41
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 def test_jaccard_join_of_odd_rows(odd, none):
     assert sorted(r["doc_id"] for r in jaccard.join(odd).collect()) == [1, 2, 3, 4, 5]
     assert jaccard.join(none).count() == 0

@@ -25,6 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,6 +76,7 @@ def described(docs: DataFrame) -> DataFrame:
     buckets = 4 * width(spark)
 
     def pack(batches):
+        task, nth = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for first, bounds, keys in _sets(batch.column(1)):
@@ -89,9 +91,8 @@ def described(docs: DataFrame) -> DataFrame:
                 shared[order[1:][same]] = True
                 shared[order[:-1][same]] = True
                 local = np.bincount(of[shared], minlength=n_rows)
-                with np.errstate(over="ignore"):
-                    name = mix(own.astype(np.uint64) * np.uint64(31) + np.arange(n_rows, dtype=np.uint64)).sum(dtype=np.uint64)
-                batch_id = int(name.view(np.int64))
+                batch_id = task << 32 | nth  # slices with the same ids and texts stay apart
+                nth += 1
                 table = np.stack([own, sizes, d1, d2, local], 1).astype(np.int64)
                 out = [(-1 - batch_id % buckets, batch_id, b"", b"", b"", table.tobytes())]
                 bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
@@ -117,12 +118,13 @@ def described(docs: DataFrame) -> DataFrame:
                 )
 
     def count(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        columns = ["batch", "row", "doc_id", "n", "d1", "d2", "common"]
+        columns = ["batch", "row", "own", "doc_id", "n", "d1", "d2", "common"]
         if key[0] < 0:
             parts = []
             for batch, packed in zip(group["batch"], group["docs"]):
                 t = np.frombuffer(packed, np.int64).reshape(-1, 5)
-                parts.append(np.concatenate([np.full((len(t), 1), batch), np.arange(len(t))[:, None], t], 1))
+                one = np.ones((len(t), 1), np.int64)
+                parts.append(np.concatenate([one * batch, np.arange(len(t))[:, None], one, t], 1))
             return pd.DataFrame(np.concatenate(parts), columns=columns)
         tokens = [np.frombuffer(x, np.uint32) for x in group["tokens"]]
         many = [np.frombuffer(x, np.uint32) for x in group["many"]]
@@ -141,15 +143,16 @@ def described(docs: DataFrame) -> DataFrame:
             row = np.flatnonzero(hits)
             if len(row):
                 none = np.zeros(len(row), np.int64)
-                out.append(np.stack([np.full(len(row), batch), row, none, none, none, none, hits[row].astype(np.int64)], 1))
-        table = np.concatenate(out) if out else np.zeros((0, 7), np.int64)
+                out.append(np.stack([np.full(len(row), batch), row, none, none, none, none, none, hits[row].astype(np.int64)], 1))
+        table = np.concatenate(out) if out else np.zeros((0, 8), np.int64)
         return pd.DataFrame(table, columns=columns)
 
     packed = _rows(docs).mapInArrow(pack, PACKED)
-    schema = "batch bigint, row bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, common bigint"
+    schema = "batch bigint, row bigint, own bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, common bigint"
     counted = packed.groupBy("bucket").applyInPandas(count, schema)
     rows = counted.groupBy("batch", "row").agg(
-        *[F.sum(c).alias(c) for c in ("doc_id", "n", "d1", "d2", "common")]
+        *[F.max(F.when(F.col("own") == 1, F.col(c))).alias(c) for c in ("doc_id", "n", "d1", "d2")],
+        F.sum("common").alias("common"),
     )
     # of rows that repeat an id one counts; the same whatever their order
     best = F.min(F.struct("n", "d1", "d2", (-F.col("common")).alias("common"))).alias("s")
