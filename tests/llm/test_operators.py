@@ -300,6 +300,39 @@ def test_leaks_are_found_and_clean_texts_left(spark, odd, none):
     assert decontaminate.leaks(table, bench.where("false")).count() == 0
 
 
+def edited(rng, text, edits):
+    out = list(text)
+    for _ in range(edits):
+        at, c = rng.randrange(len(out)), rng.choice("abcdefghijklmnopqrstuvwxyz ")
+        out[at : at + rng.choice([0, 1, 1])] = rng.choice([[c], [c], []])
+    return "".join(out)
+
+
+def test_leaks_reach_the_target_recall(spark):
+    rng = random.Random(12)
+    voc = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    sizes = {66: 40, 100: 40, 240: 30}
+    items, docs = [], []
+    for size, many in sizes.items():
+        for _ in range(many):
+            items.append((len(items), " ".join(rng.choices(voc, k=size))[:size]))
+            for percent in (5, 10, 15, 20):
+                copy = edited(rng, items[-1][1], size * percent // 100)
+                docs.append((len(items) * 100 + percent, f"Some {rng.choice(voc)} before {copy} {rng.choice(voc)} after."))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.leaks(table, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    texts = dict(docs)
+    for size in sizes:
+        for percent in (5, 10, 15, 20):
+            own = [(i, d) for i, t in items if len(t) == size for d in [(i + 1) * 100 + percent]]
+            near = [
+                (d, i) for i, d in own
+                if semi_global(items[i][1].encode(), texts[d].lower().encode()) <= int(decontaminate.SHARE * size)
+            ]
+            assert near and sum(pair in got for pair in near) >= decontaminate.TARGET * len(near), (size, percent)
+
+
 # language model
 
 

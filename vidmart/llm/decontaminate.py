@@ -3,10 +3,11 @@
 The CGK walk reads a string from its start, writes the byte it is at, and goes on or stays by a
 random bit for that step and byte: strings a few edits apart give outputs a few places apart, so
 edit distance becomes Hamming distance. Bit sampling then hashes some of the places: equal keys
-make a candidate. Windows of an item's size begin at every word of a document; items are
-looked up from each of their words on, so that edits before it do no harm, and with several
-walks and samples. Of a window only the sampled places are worked out, and a window leaves as
-soon as no item has its first places. Every candidate is then aligned with its item, exactly.
+make a candidate. Windows begin at every word of a document; items are looked up from each of
+their words on, so that edits before it do no harm. The reach of the walks, their number and the
+places sampled go by the item's size (PLANS), so that TARGET of the items with SHARE edits are
+found. Of a candidate the piece of the item around the key is compared first, by bit vectors,
+with room for more edits than SHARE; if it is near, item and text are aligned, exactly.
 
 Edit distances count bytes of UTF-8, with A-Z as a-z and white space as one space each.
 """
@@ -25,13 +26,15 @@ from vidmart.llm.bytewords import folding, mix, spaces, text_slices, word_spans
 from vidmart.llm.tables import id_and_text
 
 SHARE = 0.2  # edits by length of the item, at most
-WALKS = 2
-TABLES = 1  # samples of each walk
-EARLY, LATE = 10, 6  # places sampled among the first and the later ones of a walk
-EARLY_STEPS, STEPS = 20, 72  # steps of a walk the samples come from
+TARGET = 0.95  # items found of those with SHARE random edits, at least
+WORD = 64  # bytes of a piece that is compared by bit vectors
+PLANS = ((1, 4, 16, 11), (128, 3, 20, 13), (256, 3, 26, 16))  # bytes of an item, from; walks, steps, places
+ROOM = 0.1  # edits by length that a piece may have beyond those of its item
+LANES = 2048  # comparisons side by side
+STARTS = 16384  # windows walked together
 BLOCK = 4096  # items looked up together; their tables are broadcast
-SHORTEST = 24  # bytes a view of an item must have to be looked up by itself
 PREFIX_BITS = 18
+NO_BYTE = 255  # in no UTF-8 text
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -42,109 +45,135 @@ def fold(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Views:
-    """Keys of the items from each of their words on, for every walk and table."""
+    """Keys of the items of one size from each of their words on, for every walk."""
 
     bits: np.ndarray  # walk, step, byte -> 0 or 1
-    samples: np.ndarray  # walk, table, place -> step
-    prefixes: list  # walk, table -> hashed early keys that occur
-    keys: list  # walk, table -> sorted keys
-    views: list  # walk, table -> view of each key
+    samples: np.ndarray  # walk, place -> step
+    prefixes: list  # walk -> first bits of keys that occur
+    keys: list  # walk -> sorted keys
+    views: list  # walk -> view of each key
     item: np.ndarray  # view -> item
     offset: np.ndarray  # view -> byte of the item
+    piece: np.ndarray  # view -> piece that it begins in
+
+
+@dataclass
+class Items:
+    """What is looked up of a block of items."""
+
     items: list  # folded bytes
+    plans: list  # Views
+    owner: np.ndarray  # piece -> item
+    begin: np.ndarray  # piece -> its first byte in the item
+    size: np.ndarray  # piece -> bytes, WORD at most
 
 
-def _plan(seed: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    bits = rng.integers(0, 2, (WALKS, STEPS, 256)).astype(np.int32)
-    samples = np.zeros((WALKS, TABLES, EARLY + LATE), np.int64)
-    for w in range(WALKS):
-        for t in range(TABLES):
-            early = np.sort(rng.choice(EARLY_STEPS, EARLY, replace=False))
-            late = np.sort(rng.choice(np.arange(EARLY_STEPS, STEPS), LATE, replace=False))
-            samples[w, t] = np.concatenate([early, late])
-    return bits, samples
-
-
-def _walk(data: np.ndarray, at: np.ndarray, bits: np.ndarray, steps: range):
-    """Go on from positions ``at``; the bytes written at each of ``steps``. ``data`` reaches
-    ``steps`` bytes beyond every position."""
-    written = {}
-    at = at.astype(np.int32)
-    for s in steps:
+def _walk(data: np.ndarray, at: np.ndarray, bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hash of the bytes that the walks from positions ``at`` write at ``places``. ``data`` reaches
+    as many bytes beyond every position as there are steps."""
+    at, key, wanted = at.astype(np.int32), np.zeros(len(at), np.uint64), set(places.tolist())
+    for s in range(int(places[-1]) + 1):
         c = data.take(at)
-        written[s] = c
+        if s in wanted:
+            key = key * np.uint64(0x9E3779B97F4A7C15) + c
         at += bits[s].take(c)
-    return written, at
-
-
-def _key(written: dict, places: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
-    key = start if start is not None else np.zeros(len(written[int(places[0])]), np.uint64)
-    for p in places:
-        key = key * np.uint64(0x9E3779B97F4A7C15) + written[int(p)]
     return mix(key)
 
 
-def views(items: list[bytes], seed: int = 11) -> Views:
-    bits, samples = _plan(seed)
-    folded = [fold(np.frombuffer(x, np.uint8)) if x else np.zeros(0, np.uint8) for x in items]
-    item, offset, starts, parts, at = [], [], [], [], 0
-    for i, x in enumerate(folded):
+def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray, plan: tuple, seed: int) -> Views:
+    _, walks, steps, places = plan
+    rng = np.random.default_rng([seed, steps])
+    bits = rng.integers(0, 2, (walks, steps, 256)).astype(np.int32)
+    samples = np.stack([np.sort(rng.choice(steps, places, replace=False)) for _ in range(walks)])
+    item, offset, piece, starts, parts, at = [], [], [], [], [], 0
+    for i in chosen:
+        x = folded[i]
         begins, _, _ = word_spans(x, np.array([0, len(x)]))
-        own = [b for b in begins if len(x) - b >= SHORTEST] or list(begins[:1])
+        own = [b for b in begins if len(x) - b >= steps] or list(begins[:1])
         item += [i] * len(own)
         offset += own
+        lo, hi = first_piece[i]
+        piece += (lo + np.searchsorted(begin[lo:hi], own, "right") - 1).tolist()
         starts += [at + b for b in own]
-        parts += [x, np.zeros(STEPS, np.uint8)]
-        at += len(x) + STEPS
-    data = np.concatenate(parts) if parts else np.zeros(1, np.uint8)
-    v = Views(bits, samples, [], [], [], np.array(item, np.int64), np.array(offset, np.int64), folded)
-    for w in range(WALKS):
-        written, _ = _walk(data, np.array(starts, np.int64), bits[w], range(STEPS))
-        v.prefixes.append([])
-        v.keys.append([])
-        v.views.append([])
-        for t in range(TABLES):
-            early = _key(written, samples[w, t, :EARLY])
-            there = np.zeros(1 << PREFIX_BITS, bool)
-            there[(early >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)] = True
-            key = _key(written, samples[w, t, EARLY:], early)
-            order = np.argsort(key, kind="stable")
-            v.prefixes[w].append(there)
-            v.keys[w].append(key[order])
-            v.views[w].append(order)
+        parts += [x, np.zeros(steps, np.uint8)]
+        at += len(x) + steps
+    data = np.concatenate(parts)
+    v = Views(bits, samples, [], [], [], *(np.array(c, np.int64) for c in (item, offset, piece)))
+    for w in range(walks):
+        key = _walk(data, np.array(starts, np.int64), bits[w], samples[w])
+        there = np.zeros(1 << PREFIX_BITS, bool)
+        there[(key >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)] = True
+        order = np.argsort(key, kind="stable")
+        v.prefixes.append(there)
+        v.keys.append(key[order])
+        v.views.append(order)
     return v
 
 
+def views(items: list[bytes], seed: int = 11) -> Items:
+    folded = [fold(np.frombuffer(x, np.uint8)) if x else np.zeros(0, np.uint8) for x in items]
+    owner, begin, size, pieces = [], [], [], {}
+    for i, x in enumerate(folded):
+        edges = np.linspace(0, len(x), -(-len(x) // WORD) + 1).astype(np.int64)
+        pieces[i] = (len(owner), len(owner) + len(edges) - 1)
+        owner += [i] * (len(edges) - 1)
+        begin += edges[:-1].tolist()
+        size += np.diff(edges).tolist()
+    out = Items(folded, [], *(np.array(c, np.int64) for c in (owner, begin, size)))
+    for plan, after in zip(PLANS, [*[p[0] for p in PLANS[1:]], 1 << 62], strict=True):
+        chosen = [i for i, x in enumerate(folded) if plan[0] <= len(x) < after]
+        if chosen:
+            out.plans.append(_views(folded, chosen, pieces, out.begin, plan, seed))
+    return out
+
+
 def candidates(data: np.ndarray, starts: np.ndarray, v: Views) -> tuple[np.ndarray, np.ndarray]:
-    """Window starts and views with equal keys in some table. ``data`` ends in STEPS zeros."""
-    found_at, found_view = [], []
-    for w in range(WALKS):
-        written, at = _walk(data, starts, v.bits[w], range(EARLY_STEPS))
-        early, alive = [], np.zeros(len(starts), bool)
-        for t in range(TABLES):
-            key = _key(written, v.samples[w, t, :EARLY])
-            hit = v.prefixes[w][t][(key >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)]
-            early.append((key, hit))
-            alive |= hit
-        left = np.flatnonzero(alive)
-        if not len(left):
-            continue
-        written, _ = _walk(data, at[left], v.bits[w], range(EARLY_STEPS, STEPS))
-        for t, (key, hit) in enumerate(early):
-            own = np.flatnonzero(hit[left])
-            late = _key({s: c[own] for s, c in written.items()}, v.samples[w, t, EARLY:], key[left[own]])
-            keys = v.keys[w][t]
-            low, high = np.searchsorted(keys, late, "left"), np.searchsorted(keys, late, "right")
-            many = high - low
-            rows = np.repeat(own, many)
-            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            found_at.append(starts[left[rows]])
-            found_view.append(v.views[w][t][np.repeat(low, many) + nth])
-    if not found_at:
-        none = np.zeros(0, np.int64)
-        return none, none
-    return np.concatenate(found_at), np.concatenate(found_view)
+    """Numbers of window starts, and views, with equal keys in some walk."""
+    found, found_view = [], []
+    for w in range(len(v.keys)):
+        parts = [starts[k : k + STARTS] for k in range(0, len(starts), STARTS)]
+        key = np.concatenate([_walk(data, part, v.bits[w], v.samples[w]) for part in parts])
+        left = np.flatnonzero(v.prefixes[w][(key >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)])
+        low, high = (np.searchsorted(v.keys[w], key[left], side) for side in ("left", "right"))
+        many = high - low
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        found.append(np.repeat(left, many))
+        found_view.append(v.views[w][np.repeat(low, many) + nth])
+    return np.concatenate(found), np.concatenate(found_view)
+
+
+def _masks(items: Items, pieces: np.ndarray) -> np.ndarray:
+    """For every piece and byte the places of the piece that hold it, as bits."""
+    out = np.zeros((len(pieces), 256), np.uint64)
+    for k, p in enumerate(pieces):
+        x = items.items[items.owner[p]][items.begin[p] : items.begin[p] + items.size[p]]
+        np.bitwise_or.at(out[k], x, np.uint64(1) << np.arange(len(x), dtype=np.uint64))
+    return out
+
+
+def least_edits(data: np.ndarray, low: np.ndarray, high: np.ndarray, masks: np.ndarray, which: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Least edits between a piece and any part of data[low:high], for many side by side: Myers'
+    bit vectors. ``masks`` has a row for each piece, ``which`` and ``size`` its number and bytes."""
+    out = np.zeros(len(low), np.int64)
+    one = np.uint64(1)
+    for k in range(0, len(low), LANES):
+        lo, hi, row, m = (x[k : k + LANES] for x in (low, high, which * 256, size))
+        top = (m - 1).astype(np.uint64)
+        pv, mv = np.full(len(lo), ~np.uint64(0)), np.zeros(len(lo), np.uint64)
+        cost, best, flat = m.copy(), m.copy(), masks.ravel()
+        for t in range(int((hi - lo).max())):
+            at = lo + t
+            c = np.where(at < hi, data.take(at, mode="clip"), NO_BYTE)
+            eq = flat.take(row + c)
+            xv = eq | mv
+            xh = (((eq & pv) + pv) ^ pv) | eq
+            ph, mh = mv | ~(xh | pv), pv & xh
+            cost += ((ph >> top) & one).astype(np.int64) - ((mh >> top) & one).astype(np.int64)
+            np.minimum(best, cost, out=best)
+            ph, mh = ph << one, mh << one
+            pv, mv = mh | ~(xv | ph), ph & xv
+        out[k : k + LANES] = best
+    return out
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -171,19 +200,32 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(start[end]), end
 
 
-def _matches(data: np.ndarray, offsets: np.ndarray, v: Views, share: float):
+def _matches(data: np.ndarray, offsets: np.ndarray, v: Items, share: float):
     """(row, item, edits, start, end) of the best match of every item in every row."""
     folded = fold(data)
     starts, _, rows = word_spans(folded, offsets)
-    padded = np.concatenate([folded, np.zeros(STEPS + 1, np.uint8)])
-    at, view = candidates(padded, starts, v)
-    if not len(at):
+    if not len(starts) or not v.plans:
         return
-    row = rows[np.searchsorted(starts, at)]
-    item = v.item[view]
-    begin = at - v.offset[view]  # where the item would begin without edits
+    # zeros after every row, so that no window reads the next one
+    gap = max(p.bits.shape[1] for p in v.plans)
+    n_rows = len(offsets) - 1
+    spaced = np.zeros(len(folded) + n_rows * gap, np.uint8)
+    spaced[np.arange(len(folded)) + np.repeat(np.arange(n_rows) * gap, np.diff(offsets))] = folded
+    masks, found = _masks(v, np.arange(len(v.owner))), []
+    for plan in v.plans:
+        at, view = candidates(spaced, starts + rows * gap, plan)
+        row, item, piece = rows[at], plan.item[view], plan.piece[view]
+        begin = starts[at] - plan.offset[view]  # where the item would begin without edits
+        near = (row * len(v.owner) + piece) * (len(folded) // 8 + 64) + (begin + v.begin[piece]) // 8
+        _, once = np.unique(near, return_index=True)
+        row, item, piece, begin = row[once], item[once], piece[once], begin[once]
+        most = ((share + ROOM) * v.size[piece]).astype(np.int64)
+        low = np.maximum(begin + v.begin[piece] - most - 8, offsets[row])
+        high = np.minimum(begin + v.begin[piece] + v.size[piece] + most + 8, offsets[row + 1])
+        near = np.flatnonzero(least_edits(folded, low, high, masks, piece, v.size[piece]) <= most)
+        found.append(np.stack([row[near], item[near], begin[near]], 1))
     seen: dict[tuple[int, int], list] = {}
-    triples = np.unique(np.stack([row, item, begin], 1), axis=0)
+    triples = np.unique(np.concatenate(found), axis=0)
     done: dict[tuple[int, int], int] = {}
     for r, i, b in triples.tolist():
         x = v.items[i]
