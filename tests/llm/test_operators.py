@@ -333,6 +333,23 @@ def test_leaks_reach_the_target_recall(spark):
             assert near and sum(pair in got for pair in near) >= decontaminate.TARGET * len(near), (size, percent)
 
 
+def test_short_items_are_found_wherever_they_are(spark):
+    rng = random.Random(13)
+    items = [(n, "".join(rng.choice("abcdefghijklmnop") for _ in range(n))) for n in range(10, 71, 3)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = []
+    for n, x in items:
+        docs += [(n, f"ZZ YY {x} XX WW"), (100 + n, f"{'QRS TUV ' * 60}{x}"), (200 + n, x), (300 + n, f"ZZ {edited(rng, x, n // 5)} WW")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    for parts in (1, 3):
+        got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(table.repartition(parts), bench).collect()}
+        for n, _ in items:
+            assert [got[d, n]["edits"] for d in (n, 100 + n, 200 + n)] == [0, 0, 0]
+            assert (got[100 + n, n]["start"], got[100 + n, n]["stop"]) == (480, 480 + n)
+            assert n > decontaminate.WORD or (300 + n, n) in got
+    assert decontaminate.clean(table, bench).where("doc_id < 300").count() == 0
+
+
 # language model
 
 

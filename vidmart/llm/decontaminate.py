@@ -7,7 +7,8 @@ make a candidate. Windows begin at every word of a document; items are looked up
 their words on, so that edits before it do no harm. The reach of the walks, their number and the
 places sampled go by the item's size (PLANS), so that TARGET of the items with SHARE edits are
 found. Of a candidate the piece of the item around the key is compared first, by bit vectors,
-with room for more edits than SHARE; if it is near, item and text are aligned, exactly.
+with room for more edits than SHARE; if it is near, item and text are aligned, exactly. Items of
+up to WORD bytes are compared with all of every text, so none is lost.
 
 Edit distances count bytes of UTF-8, with A-Z as a-z and white space as one space each.
 """
@@ -28,8 +29,9 @@ from vidmart.llm.tables import id_and_text
 SHARE = 0.2  # edits by length of the item, at most
 TARGET = 0.95  # items found of those with SHARE random edits, at least
 WORD = 64  # bytes of a piece that is compared by bit vectors
-PLANS = ((1, 4, 16, 11), (128, 3, 20, 13), (256, 3, 26, 16))  # bytes of an item, from; walks, steps, places
+PLANS = ((65, 4, 16, 11), (128, 3, 20, 13), (256, 3, 26, 16))  # bytes of an item, from; walks, steps, places
 ROOM = 0.1  # edits by length that a piece may have beyond those of its item
+LANE = 256  # bytes of text compared with a short item at once
 LANES = 2048  # comparisons side by side
 STARTS = 16384  # windows walked together
 BLOCK = 4096  # items looked up together; their tables are broadcast
@@ -62,6 +64,7 @@ class Items:
     """What is looked up of a block of items."""
 
     items: list  # folded bytes
+    short: list  # pieces that are a whole item
     plans: list  # Views
     owner: np.ndarray  # piece -> item
     begin: np.ndarray  # piece -> its first byte in the item
@@ -119,7 +122,8 @@ def views(items: list[bytes], seed: int = 11) -> Items:
         owner += [i] * (len(edges) - 1)
         begin += edges[:-1].tolist()
         size += np.diff(edges).tolist()
-    out = Items(folded, [], *(np.array(c, np.int64) for c in (owner, begin, size)))
+    out = Items(folded, [], [], *(np.array(c, np.int64) for c in (owner, begin, size)))
+    out.short = [pieces[i][0] for i, x in enumerate(folded) if 0 < len(x) <= WORD]
     for plan, after in zip(PLANS, [*[p[0] for p in PLANS[1:]], 1 << 62], strict=True):
         chosen = [i for i, x in enumerate(folded) if plan[0] <= len(x) < after]
         if chosen:
@@ -200,9 +204,29 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(start[end]), end
 
 
+def _short(folded: np.ndarray, offsets: np.ndarray, v: Items, share: float):
+    """(row, item, edits, start, end) of the best match of every short item in every row."""
+    sizes = np.diff(offsets)
+    lanes = -(-sizes // LANE)
+    rows = np.repeat(np.arange(len(sizes)), lanes)
+    low = offsets[rows] + (np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)) * LANE
+    for p in v.short if len(low) else []:
+        i, m = int(v.owner[p]), int(v.size[p])
+        most = int(share * m)
+        high = np.minimum(offsets[rows + 1], low + LANE + m + most)
+        none = np.zeros(len(low), np.int64)
+        cost = least_edits(folded, low, high, _masks(v, np.array([p])), none, none + m)
+        near = np.flatnonzero(cost <= most)
+        near = near[np.lexsort((low[near], cost[near], rows[near]))]
+        for k in near[np.unique(rows[near], return_index=True)[1]].tolist():
+            edits, s, e = align(v.items[i], folded[low[k] : high[k]])
+            yield int(rows[k]), i, edits, int(low[k]) + s, int(low[k]) + e
+
+
 def _matches(data: np.ndarray, offsets: np.ndarray, v: Items, share: float):
     """(row, item, edits, start, end) of the best match of every item in every row."""
     folded = fold(data)
+    yield from _short(folded, offsets, v, share)
     starts, _, rows = word_spans(folded, offsets)
     if not len(starts) or not v.plans:
         return
