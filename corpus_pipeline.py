@@ -24,7 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the line runs that an earlier one has; n_chars follows the text. A
     document all of whose words went is a copy of earlier ones and goes."""
-    out = linededup.dedup(docs)
+    out = linededup.dedup(docs, over_blank=True)
     left = F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
     out = out.where((F.col("removed") == 0) | left)
     if "n_chars" in docs.columns:

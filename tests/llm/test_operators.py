@@ -6,13 +6,14 @@ import re
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
 
 from vidmart.llm import (
-    bpe, decontaminate, jaccard, kneserney, linededup, quality, secretscan, sharding, topk, toxicity,
+    bpe, decontaminate, jaccard, kneserney, linededup, quality, queries, secretscan, sharding, topk, toxicity,
 )
 
 TOKENS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -179,6 +180,55 @@ def test_line_dedup_of_odd_rows(odd, none):
     assert linededup.dedup(none).count() == 0
 
 
+def kept_over_blank(docs, least):
+    """The definition on lines with words only; blank lines inside a run go with it."""
+    out = {}
+    own = {d: [(i, x) for i, x in enumerate(t.split("\n")) if words(x)] for d, t in docs}
+    places = [(d, i) for d in sorted(own) for i in range(len(own[d]))]
+    for d, t in docs:
+        gone, x = set(), own[d]
+        for i in range(len(x)):
+            best = 0
+            for e, j in places:
+                if (e, j) >= (d, i):
+                    break
+                n = 0
+                while i + n < len(x) and j + n < len(own[e]) and x[i + n][1] == own[e][j + n][1]:
+                    n += 1
+                best = max(best, n)
+            if best and sum(len(words(y)) for _, y in x[i : i + best]) >= least:
+                gone |= set(range(x[i][0], x[i + best - 1][0] + 1))
+        out[d] = "\n".join(y for i, y in enumerate(t.split("\n")) if i not in gone)
+    return out
+
+
+def test_line_dedup_over_blank_lines(spark):
+    rng = random.Random(4)
+    lines = ["a b c", "d e", "f", "g h i j", "k l m n o", "", " \t", "x"]
+    docs = []
+    for d in range(40):
+        text = [rng.choice(lines) for _ in range(rng.randrange(0, 12))]
+        if docs and rng.random() < 0.4:
+            text += rng.choice(docs)[1].split("\n")
+        docs.append((d, "\n".join(text)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup(table, 6, over_blank=True).collect()}
+    assert got == kept_over_blank(docs, 6)
+
+
+def test_op7_removes_a_passage_of_paragraphs(spark, tmp_path):
+    rows = [[" ".join(f"p{k}w{i}" for i in range(30)), ""] for k in range(3)]
+    passage = "\n".join(x for row in rows for x in row)  # 90 words, none of its lines has 50
+    docs = [(d, f"first of {d}\n\n{passage}\nlast of {d}") for d in range(20)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["removed"], r["text"]) for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert got.pop(0) == (0, docs[0][1])
+    assert got == {d: (5, f"first of {d}\n\n\nlast of {d}") for d in range(1, 20)}
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n_chars", F.char_length("text"))
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, table, "").collect()}
+    assert "p0w0" in texts[0] and not any("p0w0" in texts[d] for d in range(1, 20))
+
+
 # Jaccard join
 
 

@@ -34,25 +34,31 @@ def _keyed(docs: DataFrame) -> DataFrame:
     ).withColumn("k", F.xxhash64(text))
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """One row for each line: its place, two hashes, and the words before and after it."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = _keyed(docs).select("did", "k", F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+def lines(docs: DataFrame, over_blank: bool = False) -> DataFrame:
+    """One row for each line with words: its place, its number (at) among the lines of the text,
+    two hashes and its words. With ``over_blank`` places count lines with words only."""
+    own = F.transform(
+        F.split(F.coalesce(F.col("text"), F.lit("")), "\n"),
+        lambda x, i: F.struct(i.cast("int").alias("at"), x.alias("line")),
+    )
+    if over_blank:
+        own = F.filter(own, lambda x: F.rlike(x["line"], F.lit(r"[^\x20\x09-\x0D]")))
+    rows = _keyed(docs).select("did", "k", F.posexplode(own).alias("pos", "own")).select("did", "k", "pos", "own.*")
     words = F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     return rows.select(
-        "did", "k", F.col("pos").cast("int").alias("pos"),
+        "did", "k", F.col("pos").cast("int").alias("pos"), "at",
         F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"),
         words.alias("words"),
     ).where("words > 0")
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, over_blank: bool = False) -> DataFrame:
     """Places of lines with words that occur more than once, with rank r and their words.
 
     Ranks are places in the order of the lines' hashes: lines are counted in buckets of the
     first hash, and the buckets' totals, at most 65,536, say where each begins.
     """
-    rows = lines(docs)
+    rows = lines(docs, over_blank)
     counted = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counted = cut(counted.withColumn("bucket", F.shiftrightunsigned("a", 64 - BUCKET_BITS)), "lines-counted")
     totals = counted.groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -64,7 +70,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         .join(F.broadcast(starts), "bucket")
         .select("a", "b", (F.col("start") + F.col("lower")).alias("r"))
     )
-    return rows.join(ranks, ["a", "b"]).select(*PLACE, "words", "r").dropDuplicates(PLACE)
+    return rows.join(ranks, ["a", "b"]).select(*PLACE, "at", "words", "r").dropDuplicates(PLACE)
 
 
 def _ahead(rows: DataFrame, other: DataFrame, by, names: dict[str, str]) -> DataFrame:
@@ -139,9 +145,10 @@ def seen_before(first: DataFrame) -> DataFrame:
     return cut(state.where("seek and length > 0").select(*PLACE, "length"), "lines-seen")
 
 
-def runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """did, k, pos, length and words of the maximal runs to delete."""
-    first = cut(repeated_lines(docs), "lines-repeated")
+def runs(docs: DataFrame, least_words: int = LEAST_WORDS, over_blank: bool = False) -> DataFrame:
+    """did, k, pos, length and words of the maximal runs to delete, and the numbers of the lines
+    that they begin with (start) and end before (stop)."""
+    first = cut(repeated_lines(docs, over_blank), "lines-repeated")
     seen = seen_before(first)
     behind = seen.select("did", "k", (F.col("pos") + 1).alias("pos"), F.col("length").alias("longer"))
     most = (
@@ -151,22 +158,28 @@ def runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     )
     # the words up to each place of a text; the texts' own lines bound the window
     upto = Window.partitionBy("did", "k").orderBy("pos")
-    sums = first.select(*PLACE, F.sum("words").over(upto).alias("total"), "words")
-    begin = most.join(sums.select(*PLACE, (F.col("total") - F.col("words")).alias("start")), PLACE)
-    whole = _ahead(begin, sums, F.col("length") - 1, {"total": "total"})
-    return whole.withColumn("words", F.col("total") - F.col("start")).where(F.col("words") >= least_words)
+    sums = first.select(*PLACE, "at", F.sum("words").over(upto).alias("total"), "words")
+    begin = most.join(
+        sums.select(*PLACE, F.col("at").alias("start"), (F.col("total") - F.col("words")).alias("before")), PLACE
+    )
+    whole = _ahead(begin, sums, F.col("length") - 1, {"total": "total", "at": "last"})
+    return (
+        whole.withColumn("words", F.col("total") - F.col("before")).where(F.col("words") >= least_words)
+        .withColumn("stop", F.col("last") + 1).drop("last")
+    )
 
 
-def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, least_words: int = LEAST_WORDS, over_blank: bool = False) -> DataFrame:
     """``docs`` with removed (lines deleted) and text without the lines of runs of at least
     ``least_words`` words that begin earlier in the order of doc_id and place as well.
 
-    Lines are parts between line feeds. Lines without words belong to no run. Every row stays, also
+    Lines are parts between line feeds. Lines without words end a run; with ``over_blank`` runs go
+    on over them, whatever their number, and those inside a run go with it. Every row stays, also
     one whose text becomes empty; a null text stays null. Rows that repeat an id and a text count
     as one text and are treated alike; a null id comes before all others. Other columns stay.
     """
-    found = runs(docs, least_words).groupBy("did", "k").agg(
-        F.collect_list(F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("length")).alias("stop"))).alias("gone")
+    found = runs(docs, least_words, over_blank).groupBy("did", "k").agg(
+        F.collect_list(F.struct("start", "stop")).alias("gone")
     )
     names = [c for c in docs.columns if c not in ("text", "removed")]
     rows = docs.select("text", *names)

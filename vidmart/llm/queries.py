@@ -44,7 +44,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text after the deletion, with the number of lines that went."""
-    return linededup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "removed", "text")
+    return linededup.dedup(table(spark, sf_dir, "documents"), over_blank=True).select("doc_id", "removed", "text")
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
