@@ -470,3 +470,22 @@ def test_toxicity_on_held_out_and_altered_words(spark, odd, none):
     assert toxicity.score(odd, known).count() == odd.count()
     assert toxicity.score(none, known).count() == 0
     assert {r["score"] for r in toxicity.score(docs, known.where("false")).collect()} == {0.0}
+
+
+def test_toxicity_ranks_by_few_labels(spark):
+    rng = random.Random(10)
+    voc = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeou") for _ in range(rng.randrange(2, 4))) for _ in range(60)]
+    rows, toxic = [], set()
+    for i in range(300):
+        w = rng.choices(voc, k=30)
+        if i % 9 == 0:
+            toxic.add(i)
+            w[rng.randrange(30)] = "vixible"
+        rows.append((i, " ".join(w)))
+    train = [i for i, _ in rows if not held(i, 3, 1)]
+    few = [i for i in train if i in toxic][:3] + [i for i in train if i not in toxic][:23]
+    known = spark.createDataFrame([(i, 1, int(i in toxic)) for i in few], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, known).collect() if r["doc_id"] not in few}
+    pairs = [(scores[a], scores[b]) for a in scores if a in toxic for b in scores if b not in toxic]
+    assert sum((a > b) + (a == b) / 2 for a, b in pairs) / len(pairs) > 0.8

@@ -8,9 +8,9 @@ trained on them. As the machine is linear, its landmarks fold into one weight fo
 and a text's words are scored by table lookups. A text is judged by its worst few words.
 
 Labels are given for whole texts, so the words that tell toxic sentences from clean ones are
-found first: those whose sentences occur in toxic texts far more often than chance allows. The
-sentences that hold one are the toxic training sentences, each represented by that word, also
-with characters inserted; all sentences of clean texts are clean.
+found first: those that occur in toxic texts more often than in others. Each weighs by its evidence,
+so that a few labels, which prove no word, still rank the texts. The machine is trained on these words,
+not on whole sentences: toxic ones, also with characters inserted, against words of clean texts.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ LONGEST = 26  # longer words are scored in overlapping pieces
 TRAINING_TEXTS = 20_000  # the classifier is fitted on at most so many labelled texts
 WITNESSES = 2_000  # toxic words, clean words of each choice, and hard clean words, at most
 LANDMARKS = 256
-EVIDENCE = 9.5  # log likelihood ratio that a word must have to count as toxic
+EVIDENCE = 9.5  # log likelihood ratio at which a word has half its full weight
+STEEP = 2  # of the curve from evidence to weight
 PENALTY = 0.01
 MEMO = 300_000
 NOTHING = -1.5  # the least value of a word, and that of none
@@ -151,8 +152,9 @@ def train_machine(toxic: list[str], weight: np.ndarray, clean: list[str], landma
     """A linear machine on Nystroem features: squared hinge loss, by Newton's method."""
     own = vectors(toxic + clean)
     y = np.array([1.0] * len(toxic) + [-1.0] * len(clean))
-    cost = np.concatenate([weight / weight.mean(), np.ones(len(clean))])
-    marks = _chosen(own[: len(toxic)], landmarks * 2 // 3)
+    cost = np.concatenate([weight * (weight.sum() / (weight**2).sum()), np.ones(len(clean))])
+    heavy = np.argsort(-weight, kind="stable")[: 4 * landmarks]
+    marks = [int(heavy[k]) for k in _chosen([own[k] for k in heavy], landmarks * 2 // 3)]
     marks += [len(toxic) + k for k in _chosen(own[len(toxic) :][: 4 * landmarks], landmarks - len(marks))]
     used = np.unique(np.concatenate([own[m][0] for m in marks]))  # triples of the landmarks
     dense = np.zeros((len(used), len(marks)), np.float32)
@@ -214,15 +216,17 @@ def fit(texts: DataFrame) -> Machine | None:
     words = cut(_words(texts), "toxicity-words")
     n, t = F.col("t") + F.col("c"), F.col("t")
     ratio = t * F.log(t / (n * rate)) + F.when(n > t, (n - t) * F.log((n - t) / (n * (1 - rate)))).otherwise(0.0)
+    bound = min(max(0.5, 2 * rate), (1 + rate) / 2)
     found = (
-        words.where((t > 0) & (t / n > 0.9)).withColumn("g", ratio).where(F.col("g") >= EVIDENCE)
-        .orderBy(F.desc("t"), "word").limit(WITNESSES).collect()
+        words.where((t > 0) & (t / n > bound)).withColumn("g", ratio)
+        .orderBy(F.desc("g"), "word").limit(WITNESSES).collect()
     )
     if not found:
         return None
     toxic = [r["word"] for r in found]
-    weight = np.sqrt([float(r["t"]) for r in found])
-    usual = words.where(t / n <= max(0.5, 2 * rate))
+    evidence = np.array([r["g"] for r in found])
+    weight = np.sqrt([float(r["t"]) for r in found]) / (1 + np.exp(np.clip(STEEP * (EVIDENCE - evidence), -30, 30)))
+    usual = words.where(t / n <= bound)
     clean = [r["word"] for r in usual.orderBy(F.desc("c"), "word").limit(WITNESSES).collect()]
     clean += [r["word"] for r in usual.orderBy(F.xxhash64("word"), "word").limit(WITNESSES).collect()]
     clean = list(dict.fromkeys(clean))
