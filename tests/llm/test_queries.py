@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, name):
 def test_all_are_registered():
     names = __spark_entry__.queries()
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
 
 

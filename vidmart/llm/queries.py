@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidmart.llm import bpe, decontaminate, jaccard, kneserney, linededup, quality, secretscan, sharding, topk, toxicity
+from vidmart.llm import (
+    bpe, decontaminate, fillmiddle, fingerprint, jaccard, kneserney, linededup, quality, secretscan, sharding, topk, toxicity,
+    whitening,
+)
 from vidmart.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -60,6 +63,33 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneserney.score(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text beside its edited form, whose last half is the beginning of the next document."""
+    rows = fingerprint.with_next(table(spark, sf_dir, "documents"))
+    rows = rows.withColumn("n_chars", F.char_length("text").cast("bigint"))
+    half = F.floor(F.col("n_chars") / 2)
+    edited = F.concat(F.substr("text", F.lit(1), F.col("n_chars") - half), F.substr("next_text", F.lit(1), half))
+    rows = rows.withColumn("edited", edited).withColumn("edited_sha256", F.sha2("edited", 256))
+    prints = fingerprint.fingerprints(
+        rows, {"text": "fingerprint", "edited": "edited_fingerprint", "next_text": "next_fingerprint"},
+        ["doc_id", "n_chars", "edited_sha256"],
+    )
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        fingerprint.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        fingerprint.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fillmiddle.digests(fillmiddle.transform(table(spark, sf_dir, "documents")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.by_component(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 TOPK_SQL = """
 WITH v AS (
   SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
