@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -35,7 +36,8 @@ WINDOW = 8  # bytes whose hash says whether a place is an anchor
 ANCHORS = 32  # of a fingerprint, at most
 STEPS = 16  # likewise
 RUN = 12  # bytes that a common span has at least to count
-BLOCK = 1 << 20  # bytes worked on together
+BLOCK = 1 << 16  # bytes worked on together
+CUT = 1 << 22  # bytes of the rows worked on together, if there is more than one
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -53,6 +55,14 @@ def powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[k]
 
 
+def inverses(k: int, at: np.ndarray) -> np.ndarray:
+    """The k-th base to the power of less ``at``: what brings a span from there to the start."""
+    far, near = np.divmod(at, BLOCK)
+    steps, which = np.unique(far, return_inverse=True)
+    lead = np.array([pow(BASES[k], -int(x) * BLOCK, PRIMES[k]) for x in steps], np.uint64)
+    return powers(k, BLOCK)[1][near] * lead[which] % np.uint64(PRIMES[k])
+
+
 class Prefix:
     """The prefix array of one text."""
 
@@ -98,32 +108,37 @@ class Prefix:
         return low
 
 
-def _blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
-    """For each block of bytes: its start, the level of each of its bytes (-1: too near the end of its
-    text), and for each prime the prefix hash before each byte and after the last."""
-    carry = [0] * len(PRIMES)
-    n = len(data)
-    last = np.repeat(offsets[1:], np.diff(offsets)) - WINDOW  # the last place of each text with a window
+def _blocks(data: np.ndarray, offsets: np.ndarray, least: np.ndarray) -> Iterator[tuple]:
+    """For each block of bytes: its start, which of its bytes are anchors of at least their text's level in
+    ``least``, their levels, and for each prime the prefix hash before each byte and after the last."""
+    carry, n = [0] * len(PRIMES), len(data)
     for s in range(0, n, BLOCK):
         size = min(BLOCK, n - s)
+        first, last = np.searchsorted(offsets, s, "right") - 1, np.searchsorted(offsets, s + size, "left")
+        within = np.diff(np.clip(offsets[first : last + 1], s, s + size))  # bytes of each text in the block
         c = data[s : s + size + WINDOW].astype(np.uint64) + np.uint64(1)
-        sums, level = [], None
+        full = max(0, min(size, len(c) - WINDOW + 1))
+        sums = []
         for k, p in enumerate(PRIMES):
             power, inverse = powers(k, BLOCK + WINDOW)
             local = np.zeros(len(c) + 1, np.uint64)
             np.cumsum(c * power[: len(c)], out=local[1:])  # below 2**60
-            if level is None:
-                full = max(0, min(size, len(c) - WINDOW + 1))
+            if k == 0:
                 window = (local[WINDOW : WINDOW + full] - local[:full]) % np.uint64(p) * inverse[:full] % np.uint64(p)
                 mixed = mix(window + np.uint64(1))
-                low = mixed & (~mixed + np.uint64(1))
-                level = np.full(size, -1, np.int64)
-                level[:full] = np.bitwise_count(low - np.uint64(1))
-                level[np.arange(s, s + size) > last[s : s + size]] = -1
+                level = np.bitwise_count((mixed & (~mixed + np.uint64(1))) - np.uint64(1)).astype(np.int64)
             at = local[: size + 1] % np.uint64(p) * np.uint64(pow(BASES[k], s, p)) + np.uint64(carry[k])
             sums.append(at % np.uint64(p))
             carry[k] = int(sums[k][size])
-        yield s, level, sums
+        high = np.flatnonzero(level >= np.repeat(least[first:last], within)[:full])
+        row = np.searchsorted(offsets, high + s, "right") - 1
+        inside = high + s + WINDOW <= offsets[row + 1]  # the bytes that follow are the text's own
+        yield s, size, high[inside], level[high[inside]], sums
+
+
+def _hex(values: np.ndarray) -> list[str]:
+    text = values.astype(">u8").tobytes().hex()
+    return [text[i : i + 16] for i in range(0, len(text), 16)]
 
 
 def prints(data: np.ndarray, offsets: np.ndarray) -> list[str]:
@@ -131,44 +146,49 @@ def prints(data: np.ndarray, offsets: np.ndarray) -> list[str]:
     sizes = np.diff(offsets)
     # levels below this would have too many anchors in most texts
     least = np.maximum(0, np.frexp(np.maximum(sizes, 1) / ANCHORS)[1] - 3)
-    least_at = np.repeat(least, sizes)
     step = np.maximum(0, np.frexp(sizes // STEPS)[1])  # a text has STEPS places 2**step apart, at most
     step += (sizes >> step) > STEPS
     evenly = sizes >> step
     first_step = np.concatenate([[0], np.cumsum(evenly)])
     nth = np.arange(first_step[-1]) - np.repeat(first_step[:-1], evenly) + 1
     wanted = np.concatenate([offsets, np.repeat(offsets[:-1], evenly) + (nth << np.repeat(step, evenly))])
-    found, at_wanted = [], [np.zeros(len(wanted), np.uint64) for _ in PRIMES]
-    for s, level, sums in _blocks(data, offsets):
-        at = np.flatnonzero(level >= least_at[s : s + len(level)])
-        found.append((at + s, level[at], *[x[at] for x in sums]))
-        here = np.flatnonzero((wanted >= s) & (wanted <= s + len(level)))
-        for k, x in enumerate(sums):
-            at_wanted[k][here] = x[wanted[here] - s]
-    if not found:
-        found = [(np.zeros(0, np.int64),) * (2 + len(PRIMES))]
+    none = np.zeros(0, np.int64)
+    found, at_wanted = [(none, none, *[none.astype(np.uint64)] * len(PRIMES))], [np.zeros(len(wanted), np.uint64) for _ in PRIMES]
+    for s, size, at, level, sums in _blocks(data, offsets, least):
+        found.append((at + s, level, *[x[at] for x in sums]))
+        here = np.flatnonzero((wanted >= s) & (wanted <= s + size))
+        for x, y in zip(at_wanted, sums, strict=True):
+            x[here] = y[wanted[here] - s]
     place, level, *sums = (np.concatenate(x) for x in zip(*found, strict=True))
     rows = np.searchsorted(offsets, place, "right") - 1
     bounds = np.searchsorted(rows, np.arange(len(sizes) + 1))
+    start = least.copy()
+    for r in np.flatnonzero(np.diff(bounds) > ANCHORS).tolist():
+        many = np.bincount(level[bounds[r] : bounds[r + 1]])[::-1].cumsum()[::-1]
+        while start[r] < len(many) and many[start[r]] > ANCHORS:
+            start[r] += 1
+    keep = np.flatnonzero(level >= start[rows])
+    place, level, rows = place[keep], level[keep], rows[keep]
+    bounds = np.searchsorted(rows, np.arange(len(sizes) + 1))
+
+    def hashed(values: list[np.ndarray], of: np.ndarray) -> list[str]:
+        """Prefix hashes of places in the texts ``of``, as if each text stood alone."""
+        own = []
+        for k, (x, before, p) in enumerate(zip(values, at_wanted, PRIMES, strict=True)):
+            begin = inverses(k, offsets[:-1])[of] if len(of) else np.zeros(0, np.uint64)
+            own.append((x + np.uint64(p) - before[of]) % np.uint64(p) * begin % np.uint64(p))
+        return _hex(own[0] << np.uint64(31) | own[1])
+
+    whole = hashed([x[1 : len(offsets)] for x in at_wanted], np.arange(len(sizes)))
+    steps = hashed([x[len(offsets) :] for x in at_wanted], np.repeat(np.arange(len(sizes)), evenly))
+    anchors = [
+        f"{p:x}.{v:x}.{h}"
+        for p, v, h in zip((place - offsets[rows]).tolist(), level.tolist(), hashed([x[keep] for x in sums], rows), strict=True)
+    ]
     out = []
-    for r, (a, n) in enumerate(zip(offsets[:-1].tolist(), sizes.tolist(), strict=True)):
-        own = slice(bounds[r], bounds[r + 1])
-        chosen, s = level[own], int(least[r])
-        many = np.bincount(chosen, minlength=1)[::-1].cumsum()[::-1] if len(chosen) else np.zeros(1, np.int64)
-        while s < len(many) and many[s] > ANCHORS:
-            s += 1
-        keep = np.flatnonzero(chosen >= s) + bounds[r]
-        inverse = [pow(BASES[k], -a, p) for k, p in enumerate(PRIMES)]
-        start = [int(e[r]) for e in at_wanted]
-
-        def hashed(arrays, i, inverse=inverse, start=start) -> str:
-            h = [(int(x[i]) - b) * v % p for x, b, v, p in zip(arrays, start, inverse, PRIMES, strict=True)]
-            return f"{h[0] << 31 | h[1]:016x}"
-
-        evens = range(len(offsets) + first_step[r], len(offsets) + first_step[r + 1])
-        head = f"{n:x}.{s:x}.{hashed(at_wanted, r + 1)}.{int(step[r]):x}.{''.join(hashed(at_wanted, i) for i in evens)}"
-        own = [f"{int(place[i]) - a:x}.{int(level[i]):x}.{hashed(sums, i)}" for i in keep.tolist()]
-        out.append(",".join([head, *own]))
+    for r, n in enumerate(sizes.tolist()):
+        head = f"{n:x}.{start[r]:x}.{whole[r]}.{step[r]:x}.{''.join(steps[first_step[r] : first_step[r + 1]])}"
+        out.append(",".join([head, *anchors[bounds[r] : bounds[r + 1]]]))
     return out
 
 
@@ -180,11 +200,12 @@ class Marks:
         size, level, whole, step, evenly = head.split(".")
         self.size, self.level, self.whole, self.step = int(size, 16), int(level, 16), int(whole, 16), int(step, 16)
         self.evenly = [evenly[i : i + 16] for i in range(0, len(evenly), 16)]
-        self.anchors = [tuple(int(x, 16) for x in a.split(".")) for a in rest]
+        self.anchors = [(int(p, 16), int(v, 16), int(h, 16)) for p, v, h in (a.split(".") for a in rest)]
 
-    def points(self, level: int) -> tuple[list[int], list[tuple[int, int]]]:
-        kept = [(0, 0), *[(p, h) for p, at, h in self.anchors if at >= level and p], (self.size, self.whole)]
-        return [p for p, _ in kept], [(h >> 31, h & 0x7FFFFFFF) for _, h in kept]
+    def points(self, level: int) -> tuple[list[int], list[int]]:
+        """Places and hashes of the start, the anchors from a level on, and the end."""
+        kept = [(p, h) for p, v, h in self.anchors if v >= level and p]
+        return [0, *[p for p, _ in kept], self.size], [0, *[h for _, h in kept], self.whole]
 
 
 def _beginning(one: Marks, other: Marks) -> int:
@@ -201,53 +222,79 @@ def _beginning(one: Marks, other: Marks) -> int:
     return low << step
 
 
-def _span(places: list, hashes: list, i: int, j: int) -> tuple[int, int, int]:
+def _span(t: tuple, i: int, j: int) -> tuple[int, int, int]:
     """Length and hashes of the span between two points, the same wherever it lies."""
-    return (
-        places[j] - places[i],
-        *[(b - a) * pow(BASES[k], -places[i], p) % p for k, (a, b, p) in enumerate(zip(hashes[i], hashes[j], PRIMES, strict=True))],
-    )
+    places, h, g, u, v, _ = t
+    return places[j] - places[i], (h[j] - h[i]) * u[i] % PRIMES[0], (g[j] - g[i]) * v[i] % PRIMES[1]
 
 
 def _covered(one: tuple, other: tuple, begin: int, least: int) -> int:
     """Bytes of ``one`` in spans that ``other`` has as well, each extended as far as it goes. The texts
-    share their first ``begin`` bytes."""
+    share their first ``begin`` bytes. A text is its points: places, hashes by prime, inverses by
+    prime, and what the spans from one to the next are known by."""
     starts: dict[tuple, list[int]] = {}
-    for j in range(len(other[0]) - 1):
-        starts.setdefault(_span(*other, j, j + 1), []).append(j)
-    total, i, last = begin, bisect.bisect_right(one[0], begin) - 1, len(one[0]) - 1
-    while i < last:
+    for j, name in enumerate(other[-1]):
+        starts.setdefault(name, []).append(j)
+    places, names, end = one[0], one[-1], len(one[0]) - 1
+    total, i = begin, bisect.bisect_right(places, begin) - 1
+    while i < end:
         best = 0
-        for j in starts.get(_span(*one, i, i + 1), []):
-            low, high = 1, min(last - i, len(other[0]) - 1 - j)
+        for j in starts.get(names[i], ()):
+            low, high = 1, min(end - i, len(other[0]) - 1 - j)
             while low < high:  # the longest common extension, counted in points
                 half = (low + high + 1) // 2
-                if _span(*one, i, i + half) == _span(*other, j, j + half):
+                if _span(one, i, i + half) == _span(other, j, j + half):
                     low = half
                 else:
                     high = half - 1
             best = max(best, low)
-        if best:
-            size = one[0][i + best] - one[0][i]
-            total += max(0, one[0][i + best] - max(begin, one[0][i])) if size >= least else 0
+        if best and places[i + best] - places[i] >= least:
+            total += max(0, places[i + best] - max(begin, places[i]))
         i += max(best, 1)
     return total
 
 
+def likenesses(pairs: list[tuple[str, str]]) -> list[float]:
+    """For pairs of fingerprints the share of both texts, from 0 to 1, that lies in spans that the other has
+    too, as far as the fingerprints tell."""
+    out, marks, flat = [1.0] * len(pairs), {}, ([], [])
+    todo = []
+    for at, (a, b) in enumerate(pairs):
+        if a == b:
+            continue
+        one, other = (marks[x] if x in marks else marks.setdefault(x, Marks(x)) for x in (a, b))
+        if not one.size or not other.size:
+            out[at] = 0.0
+            continue
+        level, bounds = max(one.level, other.level), []
+        for m in (one, other):
+            places, hashes = m.points(level)
+            bounds.append((len(flat[0]), len(flat[0]) + len(places)))
+            flat[0].extend(places)
+            flat[1].extend(hashes)
+        todo.append((at, one, other, bounds))
+    if not todo:
+        return out
+    places, hashes = np.array(flat[0], np.int64), np.array(flat[1], np.uint64)
+    columns, names = [flat[0]], [np.diff(places)]
+    for part, p in zip((hashes >> np.uint64(31), hashes & np.uint64(0x7FFFFFFF)), PRIMES, strict=True):
+        back = inverses(len(columns) - 1, places)
+        names.append((part[1:] + np.uint64(p) - part[:-1]) % np.uint64(p) * back[:-1] % np.uint64(p))
+        columns.append((part.tolist(), back.tolist()))
+    keys = list(zip(*[x.tolist() for x in names], strict=True))
+    (h, u), (g, v) = columns[1:]
+    for at, one, other, bounds in todo:
+        p, q = ((flat[0][i:j], h[i:j], g[i:j], u[i:j], v[i:j], keys[i : j - 1]) for i, j in bounds)
+        least = min(RUN, max(1, min(one.size, other.size) // 3))
+        begin = _beginning(one, other)
+        begin = begin if begin >= least else 0
+        both = _covered(p, q, begin, least) + _covered(q, p, begin, least)
+        out[at] = min(1.0, both / (one.size + other.size))
+    return out
+
+
 def likeness_of(a: str, b: str) -> float:
-    """Share of both texts, from 0 to 1, that lies in spans that the other has too, as far as their
-    fingerprints tell."""
-    if a == b:
-        return 1.0
-    one, other = Marks(a), Marks(b)
-    if not one.size or not other.size:
-        return 0.0
-    level = max(one.level, other.level)
-    least = min(RUN, max(1, min(one.size, other.size) // 3))
-    begin = _beginning(one, other)
-    begin = begin if begin >= least else 0
-    p, q = one.points(level), other.points(level)
-    return min(1.0, (_covered(p, q, begin, least) + _covered(q, p, begin, least)) / (one.size + other.size))
+    return likenesses([(a, b)])[0]
 
 
 def likeness(a: str, b: str) -> Column:
@@ -255,8 +302,13 @@ def likeness(a: str, b: str) -> Column:
 
     @F.arrow_udf("double")
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
-        pairs = zip(x.to_pylist(), y.to_pylist(), strict=True)
-        return pa.array([None if p is None or q is None else likeness_of(p, q) for p, q in pairs], pa.float64())
+        pairs = list(zip(x.to_pylist(), y.to_pylist(), strict=True))
+        there = [i for i, (p, q) in enumerate(pairs) if p is not None and q is not None]
+        out: list = [None] * len(pairs)
+        for i in range(0, len(there), 1024):
+            for at, value in zip(there[i : i + 1024], likenesses([pairs[k] for k in there[i : i + 1024]]), strict=True):
+                out[at] = value
+        return pa.array(out, pa.float64())
 
     return run(F.col(a), F.col(b))
 
@@ -267,14 +319,22 @@ def fingerprints(rows: DataFrame, columns: dict[str, str], keep: list[str]) -> D
     whichever column, are hashed once."""
     texts = [F.coalesce(F.col(c), F.lit("")).alias(f"t{i}") for i, c in enumerate(columns)]
 
+    def cut(batch):
+        """Runs of rows with about CUT bytes of text."""
+        sizes = sum(pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in range(len(columns)))
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(sizes) // CUT)) + 1, [len(sizes)]])
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if high > low:
+                yield batch.slice(low, high - low)
+
     def run(batches):
-        for batch in batches:
-            coded = pa.concat_arrays([batch.column(i).cast(pa.large_string()) for i in range(len(columns))]).dictionary_encode()
+        for part in (p for batch in batches for p in cut(batch)):
+            coded = pa.concat_arrays([part.column(i).cast(pa.large_string()) for i in range(len(columns))]).dictionary_encode()
             done = [x for _, data, offsets in text_slices(coded.dictionary) for x in prints(data, offsets)]
             out = pa.array(done, pa.string()).take(coded.indices)
-            n = batch.num_rows
+            n = part.num_rows
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[len(columns) :], *[out.slice(i * n, n) for i in range(len(columns))]],
+                [*part.columns[len(columns) :], *[out.slice(i * n, n) for i in range(len(columns))]],
                 names=[*keep, *columns.values()],
             )
 
