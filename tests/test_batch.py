@@ -147,25 +147,21 @@ def test_previous_history_must_exist(spark, tmp_path):
         batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="load")
 
 
-def test_reports_in_sql_over_the_views(spark, tmp_path):
+def test_views_hold_the_warehouse(spark, tmp_path):
+    """Every table under its SQL name, and a join that no report makes: tags of a song's posts."""
     cfg = config(tmp_path, 3)
     batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="load")
-    tables = batch.warehouse(spark, cfg.out)
-    batch.register_views(tables)
-    got = spark.sql("""
-        with posts as (
-          select date_id, play_count, engagement_rate, is_viral from fact_video_performance
-        )
-        select day_name, day_of_week, is_weekend, count(*) as video_count,
-          count_if(is_viral) as viral_count,
-          round(mean(100 * engagement_rate), 4)::double as avg_engagement_pct,
-          round(mean(play_count))::double as avg_play_count
-        from dim_date natural join posts
-        group by all
+    batch.register_views(batch.warehouse(spark, cfg.out))
+    counts = {"dim_date": 3287, "dim_music": 2, "dim_hashtag": 1, "dim_creator": 1,
+              "fact_video_performance": 2, "bridge_video_hashtag": 1}
+    assert {view: spark.table(view).count() for view in counts} == counts
+    tagged = spark.sql("""
+        select music_name, collect_set(hashtag) as tags
+        from bridge_video_hashtag b, dim_hashtag h, fact_video_performance f, dim_music m
+        where b.hashtag_id = h.hashtag_id and b.video_sk = f.video_sk and f.music_sk = m.music_sk
+        group by music_name
     """)
-    report = batch.reports.weekday_pattern(tables)
-    assert rows(got.select(*report.columns)) == rows(report)
-    assert spark.table("bridge_video_hashtag").count() == 1
+    assert rows(tagged) == [("s", ["fun"])]
 
 
 def test_calendar_covers_every_post(spark, tmp_path):
@@ -193,7 +189,7 @@ def test_stage_control(spark, tmp_path):
     with pytest.raises(ValueError, match="comes after"):
         batch.run_batch(spark, cfg, start="load", stop="extract")
     batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="extract")
-    with pytest.raises(FileNotFoundError, match="transformed_final"):
+    with pytest.raises(FileNotFoundError, match="transform, which has not finished"):
         batch.run_batch(spark, cfg, start="load")
 
 
@@ -204,3 +200,92 @@ def test_back_dated_load_is_refused(spark, tmp_path):
     late.previous = first.out
     with pytest.raises(ValueError, match="newest version"):
         batch.run_batch(spark, late, sources(spark, tmp_path, 100))
+
+
+def test_records_that_cannot_be_read_are_kept(spark, tmp_path):
+    given = sources(spark, tmp_path, 100)
+    (tmp_path / "comments.jsonl").write_text(
+        "\n".join([*map(json.dumps, REMARKS), "{broken", '{"_id": "9", "like_count": "lots"}'])
+    )
+    given["comments"] = readers.comments_json(
+        spark, str(tmp_path / "comments.jsonl"), multi_line=False, checked=True
+    )
+    cfg = config(tmp_path, 3)
+    counts = batch.run_batch(spark, cfg, given, stop="load")
+    assert (counts["raw_comments"], counts["raw_comments_rejected"]) == (3, 1)
+    assert rows(batch.unreadable_records(spark, cfg, "comments").select("raw_text")) == [("{broken",)]
+    assert rows(batch.unfit_cells(spark, cfg, "comments").drop("source_file")) == [("like_count", "lots", "int")]
+    aside = spark.read.parquet(cfg.staged("rejected_comments")).select("_id", "reject_reason")
+    assert rows(aside) == [("2", "unknown label"), ("9", "unknown label")]
+    again = config(tmp_path, 3)
+    assert batch.staged_sources(spark, again)["comments"].columns == given["comments"].columns[:-4]
+    assert batch.run_batch(spark, again, start="transform", stop="load")["fact"] == 2
+
+
+def test_rejects_of_every_source(spark, tmp_path):
+    given = sources(spark, tmp_path, 100)
+    none = given["creators"].withColumn("follower_count", F.lit(0).cast("bigint"))
+    nameless = given["creators"].withColumn("username", F.lit(None).cast("string"))
+    given["creators"] = given["creators"].unionByName(none).unionByName(nameless)
+    unknown = given["taxonomy"].withColumns({"search_volume_tier": F.lit("huge"), "hashtag": F.lit("other")})
+    given["taxonomy"] = given["taxonomy"].unionByName(unknown.withColumn("hashtag_id", F.lit("HT2")))
+    cfg = config(tmp_path, 3)
+    batch.run_batch(spark, cfg, given, stop="load")
+    read = lambda n: spark.read.parquet(cfg.staged(f"rejected_{n}"))
+    assert rows(read("creators").select("reject_reason")) == [("no followers",), ("no username",)]
+    assert rows(read("taxonomy").select("hashtag_id", "reject_reason")) == [("HT2", "search_volume_tier unknown")]
+    assert rows(batch.warehouse(spark, cfg.out)["dim_hashtag"].select("hashtag_id")) == [("HT1",)]
+
+
+def test_fact_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
+    given = sources(spark, tmp_path, 100)
+    liked = F.when(F.col("playCount") == 10, F.lit(10_000_000)).otherwise(F.col("diggCount"))
+    given["videos"] = given["videos"].withColumn("diggCount", liked.cast("bigint"))
+    cfg = config(tmp_path, 3)
+    counts = batch.run_batch(spark, cfg, given, stop="load")
+    assert (counts["fact"], counts["fact_rows"], counts["fact_rows_rejected"]) == (1, 1, 1)
+    aside = batch.rejected_fact_rows(spark, cfg).collect()
+    assert [(r.video_id, r.misfits) for r in aside] == [("2", ["engagement_rate=1000000.0 as decimal(8,6)"])]
+
+
+def test_a_stage_that_broke_off_is_not_taken(spark, tmp_path, monkeypatch):
+    """Its files are there, its manifest is not; run again, it is whole and the next one goes on."""
+    cfg = config(tmp_path, 3)
+    batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="extract")
+    monkeypatch.setattr(batch.enrich, "bridge_pairs", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        batch.run_batch(spark, cfg, start="transform")
+    assert spark.read.parquet(cfg.staged("transformed_final")).count() == 2
+    with pytest.raises(FileNotFoundError, match="transform, which has not finished"):
+        batch.run_batch(spark, cfg, start="load")
+    monkeypatch.undo()
+    batch.run_batch(spark, cfg, start="transform", stop="transform")
+    assert batch.run_batch(spark, cfg, start="load", stop="load")["bridge"] == 1
+
+
+def test_a_broken_second_run_of_a_stage_does_not_leave_the_first(spark, tmp_path, monkeypatch):
+    cfg = config(tmp_path, 3)
+    batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="load")
+    monkeypatch.setattr(batch.enrich, "videos_final", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        batch.run_batch(spark, cfg, start="transform")
+    with pytest.raises(FileNotFoundError, match="transform"):
+        batch.run_batch(spark, cfg, start="reports")
+
+
+def test_stages_of_other_settings_or_files_are_refused(spark, tmp_path):
+    cfg = config(tmp_path, 3)
+    batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="load")
+    other = config(tmp_path, 3)
+    other.viral_threshold = 5
+    with pytest.raises(ValueError, match="viral_threshold was 1000000, is 5"):
+        batch.run_batch(spark, other, start="load")
+    batch.run_batch(spark, config(tmp_path, 3), start="transform", stop="transform")
+    with pytest.raises(FileNotFoundError, match="load, which has not finished"):
+        batch.run_batch(spark, config(tmp_path, 3), start="reports")
+    batch.run_batch(spark, config(tmp_path, 3), start="load", stop="load")
+    found = batch.manifest.read(spark, cfg.out, "load")
+    assert found["rows"]["fact"] == 2 and found["folders"]["warehouse/fact"]["files"] >= 1
+    spark.range(1).write.mode("append").parquet(cfg.table("bridge"))
+    with pytest.raises(ValueError, match="other files in warehouse/bridge"):
+        batch.run_batch(spark, config(tmp_path, 3), start="reports")

@@ -208,8 +208,13 @@ def test_fact_lookups(spark):
 
 
 def test_rate_too_large_for_its_column(spark):
-    _, got = build(spark, [{"playCount": 1, "diggCount": 500}])
-    assert got.first().engagement_rate is None
+    """The row is set aside, with the value."""
+    posts = [{"playCount": 1, "diggCount": 500}, {"webVideoUrl": "https://v/video/2"}]
+    final, got = build(spark, posts)
+    assert [r.video_id for r in got.collect()] == ["2"]
+    dims = [spark.createDataFrame([], schemas.DIM_CREATOR), spark.createDataFrame([], schemas.DIM_MUSIC)]
+    aside = fact.rejected(fact.fact_rows(final, *dims, "R", LOADED)).collect()
+    assert [(r.video_id, r.misfits) for r in aside] == [("1", ["engagement_rate=500.0 as decimal(8,6)"])]
 
 
 def test_bridge(spark):

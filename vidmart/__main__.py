@@ -47,10 +47,10 @@ def sources(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, dict]:
     multi_line = not args.json_lines
 
     def comment_files() -> DataFrame:
-        return readers.comments_json(spark, args.comments, multi_line)
+        return readers.comments_json(spark, args.comments, multi_line, checked=True)
 
     def taxonomy_files() -> DataFrame:
-        return readers.taxonomy_csv(spark, args.taxonomy)
+        return readers.taxonomy_csv(spark, args.taxonomy, checked=True)
 
     if args.comments_store:
         options = readers.document_options(*args.comments_store)
@@ -68,8 +68,8 @@ def sources(spark: SparkSession, args: argparse.Namespace) -> tuple[dict, dict]:
     else:
         taxonomy, taxonomy_from = taxonomy_files(), "files"
     frames = {
-        "videos": readers.videos_json(spark, args.videos, multi_line),
-        "creators": readers.creators_csv(spark, args.creators),
+        "videos": readers.videos_json(spark, args.videos, multi_line, checked=True),
+        "creators": readers.creators_csv(spark, args.creators, checked=True),
         "comments": comments,
         "taxonomy": taxonomy,
     }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidmart.functions import measures, text
+from vidmart.operators import quality
 from vidmart.schemas import SENTIMENTS, VIDEO
 
 
@@ -65,9 +66,33 @@ def rejected_videos(df: DataFrame) -> DataFrame:
     reason = F.when(
         F.coalesce(F.col("playCount") <= 0, F.lit(True)), "no plays"
     ).when(text.video_id(F.col("webVideoUrl")).isNull(), "no video id")
+    return _set_aside(df, reason)
+
+
+def _set_aside(df: DataFrame, reason: Column) -> DataFrame:
     return df.withColumn("reject_reason", reason).where("reject_reason is not null")
 
 
+def rejected_creators(df: DataFrame) -> DataFrame:
+    """Profiles that cleaning sets aside, with the reason. Spare profiles of a name are no rejects."""
+    reason = F.when(F.coalesce(F.col("follower_count") <= 0, F.lit(True)), "no followers").when(
+        text.normal_key(F.col("username")).isNull(), "no username"
+    )
+    return _set_aside(df, reason)
+
+
+def rejected_comments(df: DataFrame) -> DataFrame:
+    """Comments that cleaning sets aside, with the reason."""
+    unknown = ~F.coalesce(F.col("sentiment_label").isin(*SENTIMENTS), F.lit(False))
+    return _set_aside(df, F.when(unknown, "unknown label").when(F.col("video_id").isNull(), "no video"))
+
+
+def rejected_taxonomy(df: DataFrame) -> DataFrame:
+    """Entries that break a declared constraint, with the names of all they break."""
+    _, bad = quality.split_by_constraints(df, quality.taxonomy_rules())
+    return bad.withColumn("reject_reason", F.concat_ws("; ", "violations")).drop("violations")
+
+
 def creators(df: DataFrame) -> DataFrame:
     """One profile per normalised username: the most followed with any followers."""
     rows = df.withColumn("username", text.normal_key(F.col("username"))).where(
@@ -84,8 +109,9 @@ def comments(df: DataFrame, unicode: bool = False) -> DataFrame:
 
 
 def taxonomy(df: DataFrame) -> DataFrame:
-    """One entry per normalised hashtag, the lowest id."""
-    rows = df.withColumn("hashtag", text.normal_key(F.col("hashtag")))
+    """One entry per normalised hashtag, the lowest id, of those that keep the declared constraints."""
+    valid, _ = quality.split_by_constraints(df, quality.taxonomy_rules())
+    rows = valid.withColumn("hashtag", text.normal_key(F.col("hashtag")))
     others = [c for c in rows.columns if c not in ("hashtag", "hashtag_id")]
     order = [F.col(c).asc_nulls_last() for c in ["hashtag_id", *others]]
     return keep_first(rows, ["hashtag"], order)

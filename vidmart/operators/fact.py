@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from vidmart import schemas
 from vidmart.functions import measures
-from vidmart.operators.keys import Cut, assign_keys, no_cut
+from vidmart.operators.keys import Cut, assign_keys
 from vidmart.operators.lookup import lookup
 
 
+FITS = "size(misfits) = 0"
+MISFITS = "misfits array<struct<column_name: string, text: string, wanted: string>>"
+
+
 def run_id(started: datetime) -> str:
     return started.strftime("RUN_%Y%m%d_%H%M%S")
 
@@ -51,7 +55,8 @@ def with_music_key(
 def fact_rows(
     final: DataFrame, dim_creator: DataFrame, dim_music: DataFrame, run: str, loaded_at: datetime
 ) -> DataFrame:
-    """One fact row per video, without its surrogate key yet.
+    """One fact row per video, without its surrogate key yet, with ``misfits``: the values that are no
+    value of their column. A row with any is to be set aside, see ``fitting``.
 
     Missing counts become 0; missing rates and shares stay NULL. Rows keep their tags out:
     the bridge holds those.
@@ -75,7 +80,19 @@ def fact_rows(
             "pipeline_run_id": F.lit(run),
         }
     )
-    return schemas.conform(rows, schemas.FACT).drop("video_sk")
+    layout = f"{schemas.FACT}, {MISFITS}"
+    return schemas.conform(schemas.misfits(rows, schemas.FACT), layout).drop("video_sk")
+
+
+def fitting(rows: DataFrame) -> DataFrame:
+    """The rows that can be loaded as they are."""
+    return rows.where(FITS).drop("misfits")
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """The rows that cannot, by video, with the values that do not fit."""
+    shown = F.transform("misfits", lambda m: F.concat(m["column_name"], F.lit("="), m["text"], F.lit(" as "), m["wanted"]))
+    return rows.where(f"not {FITS}").select("video_id", "pipeline_run_id", shown.alias("misfits"))
 
 
 def fact_table(
@@ -84,8 +101,9 @@ def fact_table(
     dim_music: DataFrame,
     run: str,
     loaded_at: datetime,
-    cut: Cut = no_cut,
+    cut: Cut = fitting,
 ) -> DataFrame:
+    """The fact with its keys. ``cut`` may write the rows, and gives back those that fit."""
     rows = cut(fact_rows(final, dim_creator, dim_music, run, loaded_at))
     return schemas.conform(assign_keys(rows, ["video_id"], "video_sk"), schemas.FACT)
 

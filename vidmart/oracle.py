@@ -129,6 +129,25 @@ SELECT * REPLACE (lower({strip('authorMeta_name')}) AS authorMeta_name,
 FROM {rows}"""
 
 
+def _rules() -> dict[str, str]:
+    lengths = {"hashtag_id": 10, "hashtag": 100, "category": 50, "subcategory": 60,
+               "content_rating": 10, "search_volume_tier": 10, "language_primary": 5}
+    rules = {f"{c} is null": f"{c} IS NULL" for c in ("hashtag_id", "hashtag", "category")}
+    rules["is_brand_safe not 0 or 1"] = "is_brand_safe NOT IN (0, 1)"
+    rules["search_volume_tier unknown"] = (
+        "search_volume_tier NOT IN ('low', 'medium', 'high', 'viral')"
+    )
+    rules |= {f"{c} longer than {n}": f"length({c}) > {n}" for c, n in lengths.items()}
+    return rules
+
+
+BROKEN_TAG = " OR ".join(f"coalesce({bad}, false)" for bad in _rules().values())
+# What the fact's columns cannot hold.
+TOO_LARGE = """coalesce(engagement_rate >= 99.9999995, false)
+  OR greatest(commentCount, shareCount, videoMeta_duration, total_comments_scraped) > 2147483647
+  OR hashtag_count > 32767 OR coalesce(abs(avg_sentiment_score) >= 9.99995, false)"""
+
+
 # In order: each expression may use the ones above it.
 CTES: dict[str, str] = {
     "videos_raw": """
@@ -225,7 +244,7 @@ SELECT * REPLACE (regexp_replace(comment_text, '[^\\w\\s\\x0B.,!?]', '', 'g') AS
 FROM comments_raw
 WHERE sentiment_label IN ('positive', 'negative', 'neutral') AND video_id IS NOT NULL""",
     "taxonomy": f"""
-SELECT * REPLACE (lower({strip('hashtag')}) AS hashtag) FROM taxonomy_raw
+SELECT * REPLACE (lower({strip('hashtag')}) AS hashtag) FROM taxonomy_raw WHERE NOT ({BROKEN_TAG})
 QUALIFY row_number() OVER (PARTITION BY lower({strip('hashtag')}) ORDER BY hashtag_id) = 1""",
     "features": f"""
 SELECT *, {printed('(diggCount + commentCount + shareCount) / playCount', 6)} AS engagement_rate,
@@ -315,13 +334,13 @@ SELECT {_NUMBER.format(k='video_id')} AS video_sk, video_id, creator_sk,
   music_sk, playCount AS play_count, coalesce(diggCount, 0) AS like_count,
   commentCount AS comment_count, shareCount AS share_count,
   coalesce(videoMeta_duration, 0) AS video_duration_sec,
-  CASE WHEN engagement_rate < 100 THEN engagement_rate END AS engagement_rate, is_viral,
+  engagement_rate, is_viral,
   coalesce(total_comments_scraped, 0) AS total_comments_scraped,
   positive_pct AS positive_comment_pct, negative_pct AS negative_comment_pct,
   neutral_pct AS neutral_comment_pct, avg_sentiment_score, primary_category, hashtag_count,
   '2001-08-02 19:00:00' AS loaded_at, 'RUN_20010802_190000' AS pipeline_run_id, post_hour,
   primary_brand_safe, post_year, post_month
-FROM final
+FROM (SELECT * FROM final WHERE NOT ({TOO_LARGE}))
 LEFT JOIN (SELECT creator_nk, creator_sk FROM dim_creator WHERE is_current)
   ON authorMeta_name = creator_nk
 LEFT JOIN dim_music ON coalesce(musicMeta_musicName, '') = coalesce(music_name, '')
@@ -406,18 +425,6 @@ def _stats(rate: str = "engagement_rate") -> str:
   {half_up(micros, 6)} AS avg_engagement_rate"""
 
 
-def _rules() -> str:
-    lengths = {"hashtag_id": 10, "hashtag": 100, "category": 50, "subcategory": 60,
-               "content_rating": 10, "search_volume_tier": 10, "language_primary": 5}
-    rules = {f"{c} is null": f"{c} IS NULL" for c in ("hashtag_id", "hashtag", "category")}
-    rules["is_brand_safe not 0 or 1"] = "is_brand_safe NOT IN (0, 1)"
-    rules["search_volume_tier unknown"] = (
-        "search_volume_tier NOT IN ('low', 'medium', 'high', 'viral')"
-    )
-    rules |= {f"{c} longer than {n}": f"length({c}) > {n}" for c, n in lengths.items()}
-    return rules
-
-
 def _lengths() -> str:
     tables = {
         ("dim_date", "dim_date"): {"month_name": 15, "day_name": 10, "holiday_name": 100},
@@ -498,8 +505,7 @@ def _selects() -> dict[str, str]:
         "source_comments_fallback": "SELECT *, 'fallback' AS source_used FROM comments_raw",
         "source_taxonomy_fallback": "SELECT *, 'fallback' AS source_used FROM taxonomy_raw",
         "staged_videos": "SELECT * FROM videos_raw",
-        "sink_insert_if_absent": "SELECT * FROM taxonomy_raw WHERE NOT ("
-        + " OR ".join(f"coalesce({bad}, false)" for bad in _rules().values()) + ")",
+        "sink_insert_if_absent": f"SELECT * FROM taxonomy_raw WHERE NOT ({BROKEN_TAG})",
         "sink_load_once": "SELECT * FROM creators_first_raw",
         "sink_append": """
 SELECT run AS pipeline_run_id, post_year, count(*) AS videos,
@@ -582,12 +588,50 @@ UNION ALL SELECT 'videoMeta_duration as int',
 UNION ALL SELECT 'total_comments_scraped as int',
   count(*) FILTER (total_comments_scraped > 2147483647) FROM final
 UNION ALL SELECT 'hashtag_count as smallint', count(*) FILTER (hashtag_count > 32767)
-  FROM final""",
+  FROM final
+UNION ALL SELECT c || '_pct as decimal(5,2)', 0 FROM (VALUES ('positive'), ('negative'), ('neutral')) s(c)
+UNION ALL SELECT 'avg_sentiment_score as decimal(5,4)',
+  count(*) FILTER (abs(avg_sentiment_score) >= 9.99995) FROM final""",
         "quarantined_videos": """
 SELECT *, CASE WHEN coalesce(playCount <= 0, true) THEN 'no plays' ELSE 'no video id' END
     AS reject_reason
 FROM videos_raw
 WHERE coalesce(playCount <= 0, true) OR NOT regexp_matches(webVideoUrl, '/video/\\d+')""",
+        "quarantined_creators": """
+SELECT *, 'no followers' AS reject_reason FROM creators_raw WHERE coalesce(follower_count, 0) <= 0""",
+        "quarantined_comments": """
+SELECT *, CASE WHEN sentiment_label IN ('positive', 'negative', 'neutral') THEN 'no video'
+    ELSE 'unknown label' END AS reject_reason
+FROM comments_raw WHERE video_id IS NULL
+  OR coalesce(sentiment_label NOT IN ('positive', 'negative', 'neutral'), true)""",
+        "quarantined_fact_rows": f"""
+SELECT video_id, 'RUN_20010802_190000' AS pipeline_run_id,
+  'engagement_rate=' || CAST(engagement_rate AS VARCHAR) || ' as decimal(8,6)' AS misfits
+FROM final WHERE {TOO_LARGE}""",
+        "unreadable_rows": """
+SELECT 'comments' AS feed, 'not a JSON object' AS reject_reason, '{"_id": "' || _id || '", "sentiment_label": "'
+    || sentiment_label || '", "like_count": ' || CAST(like_count AS VARCHAR) AS raw_text, 1 AS records
+FROM comments_raw WHERE like_count % 7 = 3
+UNION ALL SELECT 'comments', 'read', NULL, count(*) FROM comments_raw WHERE like_count % 7 <> 3
+UNION ALL SELECT 'taxonomy', 'wrong number of cells', concat_ws(',', hashtag_id, hashtag, category,
+    coalesce(subcategory, ''), coalesce(CAST(is_brand_safe AS VARCHAR), ''), content_rating,
+    search_volume_tier, 'en', 'xx', created_at, last_updated), 1
+FROM taxonomy_raw WHERE hashtag_id LIKE '%7'
+UNION ALL SELECT 'taxonomy', 'read', NULL, count(*) FROM taxonomy_raw WHERE hashtag_id NOT LIKE '%7'""",
+        "unfit_source_cells": """
+SELECT feed, column_name, text, wanted, count(*) AS cells FROM (
+  SELECT 'creators' AS feed, 'follower_count' AS column_name,
+    CAST(follower_count AS VARCHAR) || ' approx' AS text, 'bigint' AS wanted
+  FROM creators_raw WHERE influencer_id LIKE '%3'
+  UNION ALL SELECT 'creators', 'total_videos', '1.5', 'int' FROM creators_raw WHERE influencer_id LIKE '%5'
+  UNION ALL SELECT 'creators', 'joined_date', 'unknown', 'date' FROM creators_raw WHERE influencer_id LIKE '%7'
+  UNION ALL SELECT 'taxonomy', 'is_brand_safe', 'yes', 'smallint' FROM taxonomy_raw WHERE hashtag_id LIKE '%4'
+  UNION ALL SELECT 'taxonomy', 'created_at', '1995-13-01', 'date' FROM taxonomy_raw WHERE hashtag_id LIKE '%8'
+  UNION ALL SELECT 'holidays', 'full_date', strftime(full_date, '%Y-%m-%d') || '?', 'date'
+  FROM holidays WHERE holiday_name = 'New Year'
+  UNION ALL SELECT 'comments', 'like_count', 'many', 'int' FROM comments_raw WHERE _id LIKE '%1'
+  UNION ALL SELECT 'comments', 'sentiment_score', 'n/a', 'double' FROM comments_raw WHERE _id LIKE '%2'
+) GROUP BY ALL""",
         "quarantined_taxonomy": "SELECT hashtag_id, hashtag, violations FROM ("
         "SELECT hashtag_id, hashtag, concat_ws('|', "
         + ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in _rules().items())

@@ -20,10 +20,10 @@ from vidmart.functions import measures
 from vidmart.operators import (
     clean, dimensions, enrich, fact, features, marts, quality, scd2,
 )
-from vidmart.plans import reports
+from vidmart.plans import manifest, reports
 from vidmart.session import require_utc
-from vidmart.sources import sinks
-from vidmart.sources.staging import exists, read_optional, read_staged, stage
+from vidmart.sources import readers, sinks
+from vidmart.sources.staging import read_optional, read_staged, stage
 
 log = logging.getLogger(__name__)
 
@@ -50,6 +50,17 @@ class BatchConfig:
     min_year: int = reports.MIN_YEAR
     holidays: DataFrame | None = None
     metrics: dict[str, int] = field(default_factory=dict)
+    written: list[tuple[str, str]] = field(default_factory=list)  # name and folder, by the stage at work
+
+    def settings(self, stage_: str) -> dict[str, str]:
+        """What a stage's result depends on, besides what it reads."""
+        names = {
+            "transform": ("viral_threshold",),
+            "load": ("as_of", "loaded_at", "previous", "run_id", "change_threshold", "date_range"),
+            "reports": ("min_year",),
+        }
+        out = {n: str(getattr(self, n)) for n in names.get(stage_, ())}
+        return out | ({"holidays": str(self.holidays is not None)} if stage_ == "load" else {})
 
     def staged(self, name: str) -> str:
         return f"{self.out}/staging/{name}"
@@ -68,43 +79,84 @@ def _together(spark: SparkSession, works: Mapping[str, Callable[[], DataFrame]])
         return {n: job.result() for n, job in jobs.items()}
 
 
-def _counted(df: DataFrame, name: str, cfg: BatchConfig, write) -> None:
+def _counted(df: DataFrame, name: str, cfg: BatchConfig, path: str, write) -> None:
     """Write ``df`` and note its row count, counted while the rows go by."""
     seen = Observation(name)
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     cfg.metrics[name] = seen.get["rows"]
+    cfg.written.append((name, path))
 
 
 def _stage(df: DataFrame, name: str, cfg: BatchConfig) -> DataFrame:
     path = cfg.staged(name)
-    _counted(df, name, cfg, lambda d: stage(d, path))
+    _counted(df, name, cfg, path, lambda d: stage(d, path))
     return read_staged(df.sparkSession, path)
 
 
+def _routed(df: DataFrame, name: str, cfg: BatchConfig, good) -> DataFrame:
+    """Stage good rows and rejects in one pass; return the good ones."""
+    path, seen = cfg.staged(name), Observation(name)
+    rejects = F.count_if(~F.coalesce(good, F.lit(False)))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), rejects.alias("rejects"))
+    kept, _ = sinks.write_routed(counted, path, good)
+    cfg.metrics[name] = seen.get["rows"] - seen.get["rejects"]
+    cfg.metrics[f"{name}_rejected"] = seen.get["rejects"]
+    cfg.written.append((name, path))
+    return kept
+
+
 def _table(df: DataFrame, name: str, cfg: BatchConfig, **layout) -> DataFrame:
     path = cfg.table(name)
-    _counted(df, name, cfg, lambda d: sinks.write_table(d, path, **layout))
+    _counted(df, name, cfg, path, lambda d: sinks.write_table(d, path, **layout))
     return read_staged(df.sparkSession, path, schemas.TABLES[name][1])
 
 
 def _mart(df: DataFrame, name: str, cfg: BatchConfig) -> DataFrame:
-    _counted(df, name, cfg, lambda d: sinks.write_table(d, cfg.mart(name)))
+    _counted(df, name, cfg, cfg.mart(name), lambda d: sinks.write_table(d, cfg.mart(name)))
     return read_staged(df.sparkSession, cfg.mart(name))
 
 
 def run_extract(cfg: BatchConfig, sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Stage the four sources as they are and return the staged copies."""
+    """Stage the four sources as they are and return the staged copies. Of a checked read the
+    records that could not be read are set aside in the same pass."""
     missing = clean.missing_video_columns(sources["videos"])
     if missing:
         raise ValueError(f"videos lack {missing}")
+
+    def land(name: str) -> DataFrame:
+        df = sources[name]
+        if readers.RAW_TEXT not in df.columns:
+            return _stage(df, f"raw_{name}", cfg)
+        return _routed(df, f"raw_{name}", cfg, F.col(readers.RAW_TEXT).isNull()).drop(*readers.CHECKS)
+
     return _together(
-        sources["videos"].sparkSession,
-        {n: lambda n=n: _stage(sources[n], f"raw_{n}", cfg) for n in SOURCES},
+        sources["videos"].sparkSession, {n: lambda n=n: land(n) for n in SOURCES}
     )
 
 
 def staged_sources(spark: SparkSession, cfg: BatchConfig) -> dict[str, DataFrame]:
-    return {name: read_staged(spark, cfg.staged(f"raw_{name}")) for name in SOURCES}
+    """The sources as staged, without the records that could not be read."""
+    staged = {name: read_staged(spark, cfg.staged(f"raw_{name}")) for name in SOURCES}
+    return {
+        name: sinks.side(df, sinks.GOOD).drop(*readers.CHECKS) if sinks.VERDICT in df.columns else df
+        for name, df in staged.items()
+    }
+
+
+def unreadable_records(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
+    """Text, reason and file of the records of a checked source that could not be read."""
+    return readers.unreadable(sinks.side(read_staged(spark, cfg.staged(f"raw_{name}")), sinks.REJECT))
+
+
+def unfit_cells(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
+    """The cells of a checked source that were no value of their column."""
+    return readers.unfit_cells(sinks.side(read_staged(spark, cfg.staged(f"raw_{name}")), sinks.GOOD))
+
+
+def rejected_fact_rows(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
+    """Videos that the load set aside, with the values that are no value of their column."""
+    rows = read_staged(spark, cfg.staged("fact_rows"))
+    return fact.rejected(sinks.side(rows, sinks.REJECT))
 
 
 def clean_sources(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -148,9 +200,10 @@ def run_transform(cfg: BatchConfig, raw: Mapping[str, DataFrame]) -> dict[str, D
     }
     works = {n: lambda n=n, m=m: _mart(m(final), n, cfg) for n, m in summaries.items()}
     works["pairs"] = pairs
-    works["rejected"] = lambda: _stage(
-        clean.rejected_videos(raw["videos"]), "rejected_videos", cfg
-    )
+    aside = {n: getattr(clean, f"rejected_{n}") for n in SOURCES}
+    works |= {
+        f"rejected_{n}": lambda n=n, f=f: _stage(f(raw[n]), f"rejected_{n}", cfg) for n, f in aside.items()
+    }
     checked = _together(spark, works)["validation"].first()
     if not checked.passed:
         log.warning("joined videos failed validation, loading anyway: %s", checked.asDict())
@@ -213,7 +266,7 @@ def run_load(
     run = cfg.run_id or fact.run_id(cfg.loaded_at)
     keyed = fact.fact_table(
         final, dims["dim_creator"], dims["dim_music"], run, cfg.loaded_at,
-        lambda d: _stage(d, "fact_rows", cfg),
+        lambda d: _routed(d, "fact_rows", cfg, F.expr(fact.FITS)).drop("misfits"),
     )
     facts = _table(
         keyed, "fact", cfg, partition_by=("post_year", "post_month"), sort_by=("date_id",)
@@ -303,7 +356,7 @@ def run_reports(cfg: BatchConfig, tables: Mapping[str, DataFrame]) -> dict[str,
 
     def written(name: str, report: DataFrame) -> DataFrame:
         path = f"{cfg.out}/reports/{name}"
-        _counted(report, f"report_{name}", cfg, lambda d: sinks.write_report(d, path))
+        _counted(report, f"report_{name}", cfg, path, lambda d: sinks.write_report(d, path))
         return read_staged(spark, path)
 
     all_reports = reports.run_all_reports(tables, cfg.min_year)
@@ -319,8 +372,9 @@ def run_batch(
     start: str = "extract",
     stop: str = "reports",
 ) -> dict[str, int]:
-    """Run the stages from ``start`` to ``stop``; earlier ones are taken from staging. Returns
-    the row count of everything written.
+    """Run the stages from ``start`` to ``stop``; earlier ones are taken from staging if their
+    manifests say that they are whole and were run with these settings. Returns the row count of
+    everything written.
     """
     require_utc(spark)
     first, last = STAGES.index(start), STAGES.index(stop)
@@ -328,23 +382,27 @@ def run_batch(
         raise ValueError(f"start {start} comes after stop {stop}")
     if first <= 2 <= last:
         refuse_back_dated(spark, cfg)
-    for stage_, needed in ((1, cfg.staged("raw_videos")), (2, cfg.staged("transformed_final")), (3, cfg.table("fact"))):
-        if first >= stage_ and not exists(spark, needed):
-            raise FileNotFoundError(f"{start} needs {needed}, which no earlier stage has written")
-    if first == 0:
-        if sources is None:
-            raise ValueError("extract needs sources")
-        raw = run_extract(cfg, sources)
-    else:
-        raw = staged_sources(spark, cfg)
-    if first <= 1 <= last:
-        done = run_transform(cfg, raw)
-    if first <= 2 <= last:
-        if first == 2:
-            done = staged_transform(spark, cfg)
-        tables = run_load(cfg, raw["videos"], done)
-    if last == 3:
-        if first == 3:
-            tables = warehouse(spark, cfg.out)
-        run_reports(cfg, tables)
+    if first == 0 and sources is None:
+        raise ValueError("extract needs sources")
+    after = None
+    for name in STAGES[:first]:
+        after = manifest.require(spark, cfg.out, name, cfg.settings(name), after, start)
+    raw = done = tables = None
+    for name in STAGES[first : last + 1]:
+        manifest.begin(spark, cfg.out, STAGES[STAGES.index(name) :])
+        cfg.written.clear()
+        if name == "extract":
+            raw = run_extract(cfg, sources)
+        elif name == "transform":
+            raw = raw or staged_sources(spark, cfg)
+            done = run_transform(cfg, raw)
+        elif name == "load":
+            raw, done = raw or staged_sources(spark, cfg), done or staged_transform(spark, cfg)
+            tables = run_load(cfg, raw["videos"], done)
+        else:
+            run_reports(cfg, tables or warehouse(spark, cfg.out))
+        rows = {n: cfg.metrics[n] for n, _ in cfg.written}
+        after = manifest.commit(
+            spark, cfg.out, name, cfg.settings(name), after, rows, {folder for _, folder in cfg.written}
+        )
     return cfg.metrics

@@ -151,12 +151,13 @@ def load_once(s: SparkSession, d: str) -> DataFrame:
 
 
 def append_runs(s: SparkSession, d: str) -> DataFrame:
-    """Fact rows of two runs appended to a partitioned table, counted per run and year."""
-    fact = _table("fact")(s, d)
+    """Fact rows of two runs in one partitioned table, counted per run and year. The first run is
+    loaded twice, the first time under years that its rows are not of: one copy stays."""
+    fact = _table("fact")(s, d).drop("pipeline_run_id")
     path = new_folder(s, "fact-append")
-    for run_id in ("RUN_1", "RUN_2"):
-        rows = fact.withColumn("pipeline_run_id", F.lit(run_id))
-        sinks.write_table(rows, path, "append", ("post_year", "post_month"))
+    mistaken = fact.withColumn("post_year", F.col("post_year") - 100)
+    for run_id, rows in (("RUN_1", mistaken), ("RUN_2", fact), ("RUN_1", fact)):
+        sinks.write_run(rows, path, run_id, partition_by=("post_year", "post_month"))
     return (
         read_staged(s, path)
         .groupBy("pipeline_run_id", "post_year")
@@ -164,6 +165,79 @@ def append_runs(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def unreadable_rows(s: SparkSession, d: str) -> DataFrame:
+    """A JSON Lines feed with broken lines and a CSV feed with too many cells: the text of each record
+    that cannot be read, and how many of a feed can. One routed write parts them."""
+    lines, tags = new_folder(s, "broken-json"), new_folder(s, "broken-csv")
+    end = F.when(F.col("like_count") % 7 == 3, "").otherwise("}")
+    proxies.comments(s, d).select(
+        F.concat(
+            F.lit('{"_id": "'), "_id", F.lit('", "sentiment_label": "'), "sentiment_label",
+            F.lit('", "like_count": '), "like_count", end,
+        )
+    ).write.text(lines)
+    language = F.when(F.col("hashtag_id").endswith("7"), "en,xx").otherwise("en")
+    entries = proxies.taxonomy(s, d).withColumn("language_primary", language)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in entries.columns]
+    # whole lines as the only cell, so that none is quoted
+    entries.select(F.concat_ws(",", *cells).alias(",".join(entries.columns))).write.options(
+        header=True, sep="\x01", ignoreTrailingWhiteSpace=False
+    ).csv(tags)
+    feeds = {
+        "comments": readers.comments_json(s, lines, multi_line=False, checked=True),
+        "taxonomy": readers.taxonomy_csv(s, tags, checked=True),
+    }
+    out = None
+    for feed, checked in feeds.items():
+        whole = F.col(readers.RAW_TEXT).isNull()
+        good, bad = sinks.write_routed(checked, new_folder(s, f"routed-{feed}"), whole)
+        kept = good.agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(feed).alias("feed"), F.lit("read").alias("reject_reason"), F.lit(None).cast("string").alias("raw_text"), "records"
+        )
+        texts = readers.unreadable(bad).select(F.lit(feed).alias("feed"), "reject_reason", "raw_text", F.lit(1).alias("records"))
+        both = kept.unionByName(texts)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def unfit_source_cells(s: SparkSession, d: str) -> DataFrame:
+    """Cells of every layout whose text is no value of their column, with the text, counted."""
+    odd = {
+        "creators": {
+            "follower_count": ("influencer_id", "3", F.concat("follower_count", F.lit(" approx"))),
+            "total_videos": ("influencer_id", "5", F.lit("1.5")),
+            "joined_date": ("influencer_id", "7", F.lit("unknown")),
+        },
+        "taxonomy": {
+            "is_brand_safe": ("hashtag_id", "4", F.lit("yes")),
+            "created_at": ("hashtag_id", "8", F.lit("1995-13-01")),
+        },
+        "holidays": {"full_date": ("holiday_name", "New Year", F.concat("full_date", F.lit("?")))},
+        "comments": {
+            "like_count": ("_id", "1", F.lit("many")),
+            "sentiment_score": ("_id", "2", F.lit("n/a")),
+        },
+    }
+    layouts = {"creators": schemas.CREATOR, "taxonomy": schemas.TAXONOMY, "holidays": schemas.HOLIDAY}
+    out = None
+    for feed, cells in odd.items():
+        source = getattr(proxies, feed)(s, d)
+        texts = source.select(*[F.col(c).cast("string").alias(c) for c in source.columns])
+        for c, (key, ending, text_) in cells.items():
+            texts = texts.withColumn(c, F.when(F.col(key).endswith(ending), text_).otherwise(F.col(c)))
+        path = new_folder(s, f"odd-{feed}")
+        if feed == "comments":
+            texts.write.json(path)
+            checked = readers.comments_json(s, path, multi_line=False, checked=True)
+        else:
+            texts.write.options(header=True, ignoreTrailingWhiteSpace=False).csv(path)
+            checked = readers.checked_csv(s, path, layouts[feed])
+        found = readers.unfit_cells(checked).groupBy("column_name", "text", "wanted").agg(F.count(F.lit(1)).alias("cells"))
+        found = found.select(F.lit(feed).alias("feed"), "*")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def optional_input(s: SparkSession, d: str) -> DataFrame:
     """Bridge rows with the pairs staged, and with the pairs never written."""
     cfg = run(s, d)
@@ -477,6 +551,8 @@ QUERIES: dict[str, Query] = {
     "sink_insert_if_absent": taxonomy_seed,
     "sink_load_once": load_once,
     "sink_append": append_runs,
+    "unreadable_rows": unreadable_rows,
+    "unfit_source_cells": unfit_source_cells,
     "optional_input": optional_input,
     # cleaning and features
     "clean_videos": lambda s, d: clean.videos(proxies.videos(s, d)),
@@ -513,6 +589,9 @@ QUERIES: dict[str, Query] = {
     "unfit_values": unfit_values,
     "quarantined_taxonomy": quarantined_taxonomy,
     "quarantined_videos": _staged("rejected_videos"),
+    "quarantined_creators": _staged("rejected_creators"),
+    "quarantined_comments": _staged("rejected_comments"),
+    "quarantined_fact_rows": lambda s, d: batch.rejected_fact_rows(s, run(s, d)),
     "fk_violations": fk_violations,
     "unique_violations": unique_violations,
     "mart_fk_violations": _mart("fk_violations"),

@@ -86,6 +86,8 @@ TABLES = {
 NARROWED = {
     "engagement_rate": "decimal(8,6)", "commentCount": "int", "shareCount": "int",
     "videoMeta_duration": "int", "total_comments_scraped": "int", "hashtag_count": "smallint",
+    "positive_pct": "decimal(5,2)", "negative_pct": "decimal(5,2)", "neutral_pct": "decimal(5,2)",
+    "avg_sentiment_score": "decimal(5,4)",
 }
 
 # VARCHAR lengths of the warehouse and taxonomy tables, checked as quality rules.
@@ -129,3 +131,20 @@ def conform(df: DataFrame, ddl: str, defaults: dict | None = None) -> DataFrame:
         c = F.col(f"`{f.name}`") if f.name in have else F.lit(defaults.get(f.name))
         out.append(c.try_cast(f.dataType).alias(f.name))
     return df.select(*out)
+
+
+def misfits(df: DataFrame, ddl: str) -> DataFrame:
+    """``df`` plus ``misfits``: name, text and declared type of the values that ``conform`` would lose."""
+    have = dict(df.dtypes)
+    broken = [
+        F.when(
+            F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
+            F.struct(
+                F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").cast("string").alias("text"),
+                F.lit(f.dataType.simpleString()).alias("wanted"),
+            ),
+        )
+        for f in struct(ddl).fields
+        if f.name in have and have[f.name] != f.dataType.simpleString()
+    ]
+    return df.withColumn("misfits", F.array_compact(F.array(*broken)))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vidmart.operators.clean import keep_first
-from vidmart.sources.staging import exists, read_staged
+from vidmart.sources.staging import exists, files_below, read_staged, remove
+
+VERDICT = "verdict"
+GOOD, REJECT = "good", "reject"
 
 
 def write_table(
@@ -30,6 +34,42 @@ def write_table(
     writer.parquet(path)
 
 
+def write_routed(df: DataFrame, path: str, good: Column) -> tuple[DataFrame, DataFrame]:
+    """Good rows and rejects from one pass: a single write with the verdict as partition column, read
+    back as two tables, so setting rows aside costs no second scan. NULL counts as a reject."""
+    verdict = F.when(good, F.lit(GOOD)).otherwise(F.lit(REJECT))
+    df.withColumn(VERDICT, verdict).write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    written = df.sparkSession.read.schema(StructType([*df.schema, StructField(VERDICT, StringType())])).parquet(path)
+    return side(written, GOOD), side(written, REJECT)
+
+
+def side(written: DataFrame, verdict: str) -> DataFrame:
+    """One side of a routed table; files of the other side are not read."""
+    return written.where(F.col(VERDICT) == verdict).drop(VERDICT)
+
+
+def write_run(
+    df: DataFrame, path: str, run_id: str, run_column: str = "pipeline_run_id", partition_by: tuple[str, ...] = ()
+) -> None:
+    """Add a run's rows to a table of many runs; a run that is loaded again replaces its own rows.
+
+    The run is the first partition column and partitions are overwritten as they come, so other
+    runs are neither read nor written, and the old rows stay until the new ones are committed.
+    Then partitions that only the run's earlier load had are removed: those with its files left.
+    """
+    spark, own = df.sparkSession, f"{path}/{run_column}={run_id}"
+    before = files_below(spark, own) if exists(spark, own) else {}
+    df = df.withColumn(run_column, F.lit(run_id))
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        run_column, *partition_by
+    ).parquet(path)
+    after = files_below(spark, own) if before else {}
+    for stale in sorted({name.rpartition("/")[0] for name in before.keys() & after.keys()}):
+        remove(spark, f"{own}/{stale}" if stale else own)
+
+
 def write_jdbc(
     df: DataFrame, options: dict[str, str], mode: str = "append", connections: int = 16
 ) -> None:

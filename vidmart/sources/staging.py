@@ -50,10 +50,57 @@ def read_staged(spark: SparkSession, path: str, ddl: str | None = None) -> DataF
     return reader.parquet(path)
 
 
+def _on_disk(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path as it knows it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    files, p = _on_disk(spark, path)
+    return files.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    files, p = _on_disk(spark, path)
+    return files.delete(p, True)
+
+
+def files_below(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of each data file below ``path``, by its path relative to it."""
+    files, p = _on_disk(spark, path)
+    root, out = len(files.makeQualified(p).toString()) + 1, {}
+    found = files.listFiles(p, True)
+    while found.hasNext():
+        one = found.next()
+        name = files.makeQualified(one.getPath()).toString()[root:]
+        if not name.rpartition("/")[2].startswith(("_", ".")):
+            out[name] = one.getLen()
+    return out
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside its place, then renamed."""
+    files, p = _on_disk(spark, path)
+    _, beside = _on_disk(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(p, False)
+    if not files.rename(beside, p):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if it is not there."""
+    files, p = _on_disk(spark, path)
+    if not files.exists(p):
+        return None
+    source = files.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
 
 
 def read_optional(spark: SparkSession, path: str, ddl: str) -> DataFrame:
