@@ -304,6 +304,30 @@ def test_jaccard_join_of_odd_rows(odd, none):
     assert jaccard.unique(odd).columns == odd.columns
 
 
+def test_a_document_of_very_many_shingles(spark):
+    """More of them in one bucket than 16 bits count."""
+    long_ = " ".join(f"w{i}" for i in range(1_200_000))
+    docs = [(1, long_), (2, long_ + " end"), (3, "a few words of their own")]
+    got = {tuple(r) for r in jaccard.join(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {(1, 1_199_996, 1), (2, 1_199_997, 1), (3, 2, 3)}
+
+
+def test_counts_travel_by_slice_and_bucket(spark):
+    """What the buckets send back is one row a slice, however many documents it has."""
+    docs = spark.createDataFrame([(i, f"the same words in every text {i % 7}") for i in range(4000)], "doc_id long, text string")
+    rows = jaccard.described(docs.repartition(3))
+    assert rows.count() == 4000 and rows.where("common < 3").count() == 0
+    assert rows.agg(F.count_distinct("n", "d1", "d2")).first()[0] == 7
+
+
+def test_unique_goes_by_the_text_of_each_row(spark):
+    a, b, c = ("some words that make up text " + x * 9 for x in ("a ", "b ", "c "))
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, ""), (5, None), (None, a), (4, c)]
+    got = jaccard.unique(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(1, a), (2, b), (4, c), (4, ""), (5, None), (None, a), (4, c)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 # benchmark passages
 
 

@@ -66,24 +66,25 @@ def _digests(keys: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).where("doc_id is not null")
+    ).where("doc_id is not null").withColumn("h", F.xxhash64("text"))
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, n (size of the set), d1 and d2 (its hashes) and common: shingles that some other
-    document has, or a few more where 32-bit keys of a bucket meet."""
+    """doc_id, h (hash of the text), n (size of the set), d1 and d2 (its hashes) and common: shingles that
+    some other document has, or a few more where 32-bit keys of a bucket meet. One row for each text of
+    an id."""
     spark = docs.sparkSession
     buckets = 4 * width(spark)
 
     def pack(batches):
         task, nth = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, texts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             for first, bounds, keys in _sets(batch.column(1)):
                 n_rows = len(bounds) - 1
                 sizes = np.diff(bounds)
                 of = np.repeat(np.arange(n_rows), sizes)
-                own = ids[first : first + n_rows]
+                own, h = ids[first : first + n_rows], texts[first : first + n_rows]
                 d1, d2 = _digests(keys, bounds)
                 order = np.argsort(keys, kind="stable")
                 same = keys[order][1:] == keys[order][:-1]
@@ -93,7 +94,7 @@ def described(docs: DataFrame) -> DataFrame:
                 local = np.bincount(of[shared], minlength=n_rows)
                 batch_id = task << 32 | nth  # slices with the same ids and texts stay apart
                 nth += 1
-                table = np.stack([own, sizes, d1, d2, local], 1).astype(np.int64)
+                table = np.stack([own, h, sizes, d1, d2, local], 1).astype(np.int64)
                 out = [(-1 - batch_id % buckets, batch_id, b"", b"", b"", table.tobytes())]
                 bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
                 short = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -107,7 +108,7 @@ def described(docs: DataFrame) -> DataFrame:
                     part, more = once[edges[b] : edges[b + 1]], lead[lead_edges[b] : lead_edges[b + 1]]
                     if len(part) or len(more):
                         out.append((
-                            b, batch_id, np.bincount(of[part], minlength=n_rows).astype(np.uint16).tobytes(),
+                            b, batch_id, np.bincount(of[part], minlength=n_rows).astype(np.uint32).tobytes(),
                             short[part].tobytes(), np.unique(short[more]).tobytes(), b"",
                         ))
                 cols = list(zip(*out))
@@ -118,14 +119,9 @@ def described(docs: DataFrame) -> DataFrame:
                 )
 
     def count(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        columns = ["batch", "row", "own", "doc_id", "n", "d1", "d2", "common"]
+        """For each slice, the documents with hits and their numbers, packed; its table as it came."""
         if key[0] < 0:
-            parts = []
-            for batch, packed in zip(group["batch"], group["docs"]):
-                t = np.frombuffer(packed, np.int64).reshape(-1, 5)
-                one = np.ones((len(t), 1), np.int64)
-                parts.append(np.concatenate([one * batch, np.arange(len(t))[:, None], one, t], 1))
-            return pd.DataFrame(np.concatenate(parts), columns=columns)
+            return pd.DataFrame({"batch": group["batch"], "hits": [b""] * len(group), "docs": group["docs"]})
         tokens = [np.frombuffer(x, np.uint32) for x in group["tokens"]]
         many = [np.frombuffer(x, np.uint32) for x in group["many"]]
         flat = np.concatenate(tokens)
@@ -137,33 +133,34 @@ def described(docs: DataFrame) -> DataFrame:
         dup[order[:-1][same]] = True
         out, at = [], 0
         for batch, packed, t in zip(group["batch"], group["sizes"], tokens):
-            per = np.frombuffer(packed, np.uint16)
-            hits = np.bincount(np.repeat(np.arange(len(per)), per), weights=dup[at : at + len(t)], minlength=len(per))
+            per = np.frombuffer(packed, np.uint32)
+            of = np.repeat(np.arange(len(per)), per)
+            hits = np.bincount(of[dup[at : at + len(t)]], minlength=len(per))
             at += len(t)
             row = np.flatnonzero(hits)
             if len(row):
-                none = np.zeros(len(row), np.int64)
-                out.append(np.stack([np.full(len(row), batch), row, none, none, none, none, none, hits[row].astype(np.int64)], 1))
-        table = np.concatenate(out) if out else np.zeros((0, 8), np.int64)
-        return pd.DataFrame(table, columns=columns)
+                out.append((batch, np.stack([row, hits[row]]).astype(np.uint32).tobytes()))
+        return pd.DataFrame({"batch": [x for x, _ in out], "hits": [x for _, x in out], "docs": [b""] * len(out)})
+
+    def total(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        """The documents of a slice with the hits of all buckets added to its own."""
+        table = np.frombuffer(max(group["docs"], key=len), np.int64).reshape(-1, 6).copy()
+        for packed in group["hits"]:
+            row, hits = np.frombuffer(packed, np.uint32).reshape(2, -1)
+            table[row, 5] += hits
+        return pd.DataFrame(table, columns=["doc_id", "h", "n", "d1", "d2", "common"])
 
     packed = _rows(docs).mapInArrow(pack, PACKED)
-    schema = "batch bigint, row bigint, own bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, common bigint"
-    counted = packed.groupBy("bucket").applyInPandas(count, schema)
-    rows = counted.groupBy("batch", "row").agg(
-        *[F.max(F.when(F.col("own") == 1, F.col(c))).alias(c) for c in ("doc_id", "n", "d1", "d2")],
-        F.sum("common").alias("common"),
-    )
-    # of rows that repeat an id one counts; the same whatever their order
-    best = F.min(F.struct("n", "d1", "d2", (-F.col("common")).alias("common"))).alias("s")
-    return cut(
-        rows.groupBy("doc_id").agg(best).select("doc_id", "s.n", "s.d1", "s.d2", (-F.col("s.common")).alias("common")),
-        "join-described",
-    )
+    counted = packed.groupBy("bucket").applyInPandas(count, "batch bigint, hits binary, docs binary")
+    schema = "doc_id bigint, h bigint, n bigint, d1 bigint, d2 bigint, common bigint"
+    rows = counted.groupBy("batch").applyInPandas(total, schema)
+    # rows that repeat an id and a text count once
+    return cut(rows.groupBy("doc_id", "h", "n", "d1", "d2").agg(F.max("common").alias("common")), "join-described")
 
 
 def token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """rep, n and tokens (sorted) of the documents in ``chosen`` (rep, n, d1, d2)."""
+    """rep, n and tokens (sorted) of the documents in ``chosen`` (rep, doc_id, h, n, d1, d2). Of rows that
+    repeat an id and a text one will do."""
 
     def run(batches):
         for batch in batches:
@@ -180,7 +177,7 @@ def token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                     [pa.array(rep[at][ok]), pa.array(n[at][ok].astype(np.int32)), lists], names=["rep", "n", "tokens"]
                 )
 
-    met = _rows(docs).withColumnRenamed("doc_id", "rep").join(chosen, "rep")
+    met = _rows(docs).join(chosen, ["doc_id", "h"])
     return cut(
         met.select("rep", "n", "d1", "d2", "text").mapInArrow(run, "rep bigint, n int, tokens array<bigint>"),
         "join-tokens",
@@ -309,34 +306,48 @@ def links(sets: DataFrame) -> DataFrame:
     return found.unionByName(cut(verified(rest, sets), "join-links-3"))
 
 
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, h, n, and first: the least (doc_id, h) of the texts that its text reaches by links."""
+    docs_ = described(docs)
+    classes = docs_.where("n > 0").groupBy("n", "d1", "d2").agg(
+        F.min(F.struct("doc_id", "h")).alias("first"), F.max("common").alias("common")
+    )
+    # The written number of a class is its node: ids may repeat, and name several sets.
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()), "join-classes")
+    chosen = classes.where(F.col("common") * 100 >= F.col("n") * THRESHOLD)
+    sets = token_sets(docs, chosen.select("rep", "first.*", "n", "d1", "d2"))
+    label = cut(components(links(sets)), "join-components")
+    known = cut(
+        classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", "first", "least"),
+        "join-labels",
+    )
+    least = known.where("least is not null").groupBy("least").agg(F.min("first").alias("of_all"))
+    known = known.join(least, "least", "left").select("n", "d1", "d2", F.coalesce("of_all", "first").alias("first"))
+    own = F.struct("doc_id", "h")
+    return docs_.join(known, ["n", "d1", "d2"], "left").select("doc_id", "h", "n", F.coalesce("first", own).alias("first"))
+
+
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document with an id.
 
     component_id is the smallest doc_id reachable by links, itself included; two documents link
     when their sets have a Jaccard similarity of 0.75 or more. A text with fewer words than a
     shingle is one shingle; null and empty texts, and those without words, have none and link
-    with nothing. Rows with a null id are left out; of rows that repeat an id one counts.
+    with nothing. Rows with a null id are left out; an id with several texts has one row, with
+    the least of its texts' sizes and components.
     """
-    docs_ = described(docs)
-    classes = cut(
-        docs_.where("n > 0").groupBy("n", "d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.max("common").alias("common")),
-        "join-classes",
-    )
-    chosen = classes.where(F.col("common") * 100 >= F.col("n") * THRESHOLD).select("rep", "n", "d1", "d2")
-    sets = token_sets(docs, chosen)
-    label = cut(components(links(sets)), "join-components")
-    known = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "n", "d1", "d2", F.coalesce("least", "rep").alias("least")
-    )
-    known = cut(known, "join-labels")
-    return docs_.join(known, ["n", "d1", "d2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
-    )
+    rows = grouped(docs).select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"))
+    return rows.groupBy("doc_id").agg(F.min("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
 
 
 def unique(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its columns; rows
-    without an id stay."""
-    others = join(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("other"))
-    return docs.join(others, F.col("doc_id") == F.col("other"), "left_anti")
+    """One document of each component, the first by id, with its columns.
+
+    A row goes if its own text is in a component with an earlier document; rows that share its id
+    but not its text are judged by theirs. Rows that repeat an id and a text stay or go together.
+    Rows without an id stay.
+    """
+    own = F.struct("doc_id", "h")
+    others = grouped(docs).where(own != F.col("first")).select(F.col("doc_id").alias("other"), F.col("h").alias("other_h"))
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(others, (docs["doc_id"].cast("bigint") == F.col("other")) & (text == F.col("other_h")), "left_anti")
