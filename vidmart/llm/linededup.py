@@ -10,8 +10,8 @@ shares an interval with an earlier suffix: the length of the longest run that be
 was seen before. Runs that are no part of a longer one and have enough words are deleted.
 
 Every round counts ranks before it shuffles them, sums over counted rows instead of sorting
-a class, and ends in a written table. Rows per key are bounded by the tasks that count, so a line
-that a third of all texts hold is no heavier than others.
+a class, and ends in a written table. A line that a third of all texts hold has as many counted
+rows as it has different successors, whatever the number of its copies.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     ).withColumn("k", F.xxhash64(text))
 
 
+BLANK = " \t\n\x0b\f\r"
+
+
 def lines(docs: DataFrame, over_blank: bool = False) -> DataFrame:
     """One row for each line with words: its place, its number (at) among the lines of the text,
     two hashes and its words. With ``over_blank`` places count lines with words only."""
@@ -42,14 +45,16 @@ def lines(docs: DataFrame, over_blank: bool = False) -> DataFrame:
         lambda x, i: F.struct(i.cast("int").alias("at"), x.alias("line")),
     )
     if over_blank:
-        own = F.filter(own, lambda x: F.rlike(x["line"], F.lit(r"[^\x20\x09-\x0D]")))
+        own = F.filter(own, lambda x: F.ltrim(x["line"], F.lit(BLANK)) != "")
     rows = _keyed(docs).select("did", "k", F.posexplode(own).alias("pos", "own")).select("did", "k", "pos", "own.*")
-    words = F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    if not over_blank:
+        rows = rows.where(F.ltrim(F.col("line"), F.lit(BLANK)) != "")
+    words = F.size(F.array_remove(F.split(F.translate("line", BLANK, " " * len(BLANK)), " "), ""))
     return rows.select(
         "did", "k", F.col("pos").cast("int").alias("pos"), "at",
         F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"),
         words.alias("words"),
-    ).where("words > 0")
+    )
 
 
 def repeated_lines(docs: DataFrame, over_blank: bool = False) -> DataFrame:
