@@ -9,6 +9,7 @@ from collections import defaultdict
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -447,6 +448,86 @@ def test_language_model(spark, odd, none):
     assert kneserney.score(none).count() == 0
 
 
+def plain_kneser_ney(training, texts):
+    """log10 probabilities of texts, from dictionaries."""
+    sequences = [["<s>", *words(t), "</s>"] for t in training]
+    pairs, counts = defaultdict(int), defaultdict(int)
+    for q in sequences:
+        for v, w in zip(q, q[1:], strict=False):
+            pairs[v, w] += 1
+            counts[w] += 1
+    near, after = defaultdict(int), defaultdict(list)
+    for (v, w), c in pairs.items():
+        near[w] += 1
+        after[v].append(c)
+
+    def discounts(values):
+        n = [max(sum(x == k for x in values), 1) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        raw = [0, 1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]]
+        return [min(max(x, lo), hi) for x, lo, hi in zip(raw, [0, 0.05, 0.05, 0.05], [0, 0.95, 1.95, 2.95], strict=True)]
+
+    d, e = discounts(pairs.values()), discounts(near.values())
+    total = sum(near.values())
+    spare = sum(e[min(c, 3)] for c in near.values()) / total
+
+    def lower(w):
+        return max(near[w] - e[min(near[w], 3)], 0) / total + spare / (len(counts) + 1) if w in near else spare / (len(counts) + 1)
+
+    out = []
+    for t in texts:
+        q, value = ["<s>", *words(t), "</s>"], 0.0
+        for v, w in zip(q, q[1:], strict=False):
+            p = lower(w)
+            if v in after:
+                c = pairs.get((v, w), 0)
+                p = max(c - d[min(c, 3)], 0) / sum(after[v]) + sum(d[min(x, 3)] for x in after[v]) / sum(after[v]) * p
+            value += np.log10(p)
+        out.append(value)
+    return out
+
+
+def test_language_model_scores_equal_plain_ones(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("the a cat dog sat ran on under mat tree".split()) for _ in range(rng.randrange(25))) for _ in range(150)]
+    texts += [f"word{i} only here {rng.random()}" for i in range(20)]
+    docs = list(enumerate(texts))
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    want = plain_kneser_ney([t for i, t in docs if not held(i, 7, 2)], texts)
+    for r in kneserney.score(table).collect():
+        assert abs(r["score"] - want[r["doc_id"]]) < 1e-9
+
+
+def test_language_model_of_many_equal_upper_bits(tmp_path):
+    """Pairs whose hashes agree in their upper half are all found."""
+    n = 9
+    for name, array in (
+        ("pairs", np.full(n, 5, np.uint32)), ("rest", np.arange(n, dtype=np.uint8)),
+        ("small", np.arange(1, n + 1, dtype=np.uint8)), ("big", np.zeros(0, np.int64)),
+    ):
+        array.tofile(tmp_path / f"{name}-0")
+    np.zeros(0, np.uint64).tofile(tmp_path / "words-0")
+    np.zeros(0, np.int64).tofile(tmp_path / "counts-0")
+    facts = {"sizes": [0], "bits": 1, "pairs": [0], "blocks": [], "n_words": 0, "hot": np.zeros(0, np.int64)}
+    model = kneserney.Model(str(tmp_path), facts)
+    hashes = np.array([5 << 8 | k for k in range(n)], np.uint64) << np.uint64(24)
+    kept = kneserney._pair_hash, kneserney.mix
+    try:
+        kneserney._pair_hash = lambda left, right: hashes[left]
+        kneserney.mix = lambda x: x * np.uint64(0)
+        got = model.pair_counts(np.arange(n), np.zeros(n, np.int64))
+    finally:
+        kneserney._pair_hash, kneserney.mix = kept
+    assert got.tolist() == list(range(1, n + 1))
+
+
+def test_language_model_files_must_be_seen(tmp_path):
+    (tmp_path / "here").write_text("")
+    kneserney._there(str(tmp_path), ["here"])
+    with pytest.raises(FileNotFoundError, match="not shared"):
+        kneserney._there(str(tmp_path), ["here", "elsewhere"])
+
+
 # classifiers
 
 

@@ -30,6 +30,7 @@ from vidmart.sources.staging import new_folder
 
 END = np.uint64(0x6A09E667F3BCC909)  # hash of the end of a text
 BLOCK_BITS = 18  # words of one file of columns
+WIDE = 4  # flag of sums that need 64 bits
 FLUSH = 2_000_000  # entries a task adds up before it passes them on
 PART = "shard bigint, hashes binary, counts binary"
 
@@ -236,7 +237,10 @@ def count_pairs(texts: DataFrame, folder: str, sizes: list[int], bits: int, hot:
         names, begins = np.unique(block, return_index=True)
         edges = np.append(begins, len(ids))
         for n, a, b in zip(names, edges, edges[1:]):
-            yield int(n), kind, ids[a:b].astype(np.uint32).tobytes(), values[:, a:b].astype(np.uint32).tobytes()
+            part = values[:, a:b]
+            wide = int(part.max()) >= 1 << 32
+            packed = part.astype(np.int64 if wide else np.uint32).tobytes()
+            yield int(n), kind | WIDE * wide, ids[a:b].astype(np.uint32).tobytes(), packed
 
     def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         keys, counts = _sums(
@@ -244,7 +248,7 @@ def count_pairs(texts: DataFrame, folder: str, sizes: list[int], bits: int, hot:
             np.concatenate([unpacked(x) for x in group["counts"]]),
         )
         left, right = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        out = [(-1, 2, b"", np.array([(counts == c).sum() for c in (1, 2, 3, 4)], np.int64).tobytes())]
+        out = [(-1, 2, np.array([key[0]], np.int64).tobytes(), np.array([(counts == c).sum() for c in (1, 2, 3, 4)], np.int64).tobytes())]
         first = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
         values = np.stack([np.add.reduceat(x, first) for x in (counts, counts == 1, counts == 2, counts > 2)])
         out += by_block(0, left[first], values)
@@ -275,16 +279,27 @@ def sum_columns(parts: DataFrame, folder: str, n_words: int) -> DataFrame:
         columns = np.zeros((5, size), np.int64)
         for kind, ids, values in zip(group["kind"], group["ids"], group["values"]):
             at = np.frombuffer(ids, np.uint32).astype(np.int64) - low
-            v = np.frombuffer(values, np.uint32).reshape(-1, len(at))
-            if kind == 0:
+            v = np.frombuffer(values, np.int64 if kind & WIDE else np.uint32).reshape(-1, len(at))
+            if kind & 1 == 0:
                 columns[:4, at] += v
             else:
                 columns[4, at] += v[0]
         _write(f"{folder}/columns-{key[0]}", columns)
         near = columns[4]
-        return pd.DataFrame([[int((near == c).sum()) for c in (1, 2, 3, 4)] + [int((near > 2).sum()), int(near.sum())]], columns=["n1", "n2", "n3", "n4", "more", "total"])
+        counts = [int((near == c).sum()) for c in (1, 2, 3, 4)] + [int((near > 2).sum()), int(near.sum())]
+        return pd.DataFrame([[key[0], *counts]], columns=["block", "n1", "n2", "n3", "n4", "more", "total"])
 
-    return parts.where("block >= 0").groupBy("block").applyInPandas(add, "n1 bigint, n2 bigint, n3 bigint, n4 bigint, more bigint, total bigint")
+    ddl = "block bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint, more bigint, total bigint"
+    return parts.where("block >= 0").groupBy("block").applyInPandas(add, ddl)
+
+
+def _there(folder: str, names: list[str]) -> None:
+    """An error if a file that a task wrote is not in the folder as this machine sees it."""
+    missing = [x for x in names if not os.path.exists(f"{folder}/{x}")]
+    if missing:
+        raise FileNotFoundError(
+            f"{len(missing)} files of the model, like {missing[0]}, are not in {folder}: it is not shared by all machines"
+        )
 
 
 class Model:
@@ -338,10 +353,11 @@ class Model:
             upper, rest, small, big = self.pairs[s]
             want = hashes[order[a:b]]
             at = np.searchsorted(upper, (want >> np.uint64(8)).astype(np.uint32))
+            end = np.searchsorted(upper, (want >> np.uint64(8)).astype(np.uint32), "right")
             found = np.full(b - a, -1, np.int64)
-            for step in range(4):  # hashes that are equal in their upper 32 bits
+            for step in range(int((end - at).max(initial=0))):  # all hashes that are equal in their upper 32 bits
                 here = np.minimum(at + step, len(upper) - 1)
-                same = (upper[here] == want >> np.uint64(8)) & (rest[here] == (want & np.uint64(255)))
+                same = (at + step < end) & (rest[here] == (want & np.uint64(255)))
                 found = np.where(same & (found < 0), here, found)
             c = np.where(found >= 0, small[np.maximum(found, 0)], 0).astype(np.int64)
             full = np.flatnonzero(c == 255)
@@ -384,7 +400,8 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7) -> DataFrame:
     The model learns from the rows whose crc32(doc_id) mod 7 is not 2. Tokens are words, A-Z as
     a-z, and an end for each text. base_score adds one to word counts; score is the model's log10
     probability. One row for each row; null texts are empty and have one token, null ids count
-    as empty text. Without training rows all probabilities are 1.
+    as empty text. Without training rows all probabilities are 1. Counts have 64 bits; 2**32 - 1
+    different words or more are an error, as is a folder that not all machines share.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -402,6 +419,9 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7) -> DataFrame:
             for kind in ("words", "counts"):
                 _write(f"{folder}/{kind}-{s}", np.zeros(0, np.int64))
     n_words, total = sum(sizes), sum(r["total"] for r in found)
+    if n_words >= (1 << 32) - 1:
+        raise ValueError(f"{n_words} different words; pairs are numbered for less than 2**32 - 1")
+    _there(folder, [f"{kind}-{r['shard']}" for r in found for kind in ("words", "counts")])
     first = np.concatenate([[0], np.cumsum(sizes)])
     hot = [n_words]
     for r in found:  # left words with more than a part of a shard
@@ -414,14 +434,17 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7) -> DataFrame:
     }
     if total:
         parts = cut(count_pairs(train, folder, sizes, bits, facts["hot"]), "language-model-parts")
-        seen = np.sum([np.frombuffer(r["values"], np.int64) for r in parts.where("kind = 2").select("values").collect()], axis=0)
-        sums = sum_columns(parts, folder, n_words).toPandas().sum()
+        kinds = parts.where("kind = 2").select("ids", "values").collect()  # one a shard
+        seen = np.sum([np.frombuffer(r["values"], np.int64) for r in kinds], axis=0)
+        blocks = sum_columns(parts, folder, n_words).toPandas()
+        sums = blocks.drop(columns="block").sum()
         facts["pair_discounts"] = _discounts(list(seen))
         facts["word_discounts"] = _discounts([sums[f"n{k}"] for k in (1, 2, 3, 4)])
         facts["near"], facts["near_n"] = int(sums["total"]), [int(sums["n1"]), int(sums["n2"]), int(sums["more"])]
-        names = os.listdir(folder)
-        facts["pairs"] = [int(x[6:]) for x in names if x.startswith("pairs-") and "." not in x]
-        facts["blocks"] = [int(x[8:]) for x in names if x.startswith("columns-") and "." not in x]
+        facts["pairs"] = sorted(int(np.frombuffer(r["ids"], np.int64)[0]) for r in kinds)
+        facts["blocks"] = sorted(int(b) for b in blocks["block"])
+        files = [f"{kind}-{s}" for s in facts["pairs"] for kind in ("pairs", "rest", "small", "big")]
+        _there(folder, files + [f"columns-{b}" for b in facts["blocks"]])
     shared = spark.sparkContext.broadcast((folder, facts))
 
     def run(batches):
