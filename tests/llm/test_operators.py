@@ -351,6 +351,67 @@ def test_align_equals_the_recurrence():
         assert edits == semi_global(a, b) and 0 <= start <= end <= len(b)
 
 
+HAN = [chr(0x4E00 + 7 * i) for i in range(600)]
+KINDS = {
+    "prose": lambda rng, n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))[:n],
+    "without spaces": lambda rng, n: "".join(rng.choice(HAN) for _ in range(n // 3)),
+    "one long token": lambda rng, n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n)),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KINDS))
+@pytest.mark.parametrize("size", [66, 124, 180, 380])
+def test_recall_by_kind_of_text(kind, size):
+    """Items copied into running text, with random edits: exact ones are all found."""
+    rng = random.Random(size)
+    make = KINDS[kind]
+    items = [make(rng, size) for _ in range(40)]
+    wanted = decontaminate.views([x.encode() for x in items])
+
+    def edited(text, share):
+        out = list(text)
+        for _ in range(int(share * len(text))):
+            at, how = rng.randrange(len(out)), rng.randrange(3)
+            if how == 0:
+                out[at] = rng.choice(text)
+            elif how == 1:
+                out.insert(at, rng.choice(text))
+            else:
+                del out[at]
+        return "".join(out)
+
+    for share in (0, 0.05, 0.1, 0.15, 0.2):
+        texts = [(make(rng, 200) + edited(x, share) + make(rng, 200)).encode() for x in items]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        found = {(row, item) for row, item, *_ in decontaminate._matches(data, offsets, wanted, 0.2)}
+        assert sum((k, k) in found for k in range(40)) >= (40 if share == 0 else 38)
+        assert all(a == b for a, b in found)
+
+
+def test_copies_whose_spaces_were_removed_are_found():
+    rng = random.Random(4)
+    items = [KINDS["prose"](rng, 120) for _ in range(30)]
+    wanted = decontaminate.views([x.encode() for x in items])
+    texts = [f"{KINDS['prose'](rng, 90)} {x.replace(' ', '')} {KINDS['prose'](rng, 90)}".encode() for x in items]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = {(row, item) for row, item, *_ in decontaminate._matches(np.frombuffer(b"".join(texts), np.uint8), offsets, wanted, 0.2)}
+    near = {k for k, x in enumerate(items) if x.count(" ") <= 0.18 * len(x)}
+    assert len(near) > 15 and sum((k, k) in found for k in near) >= 0.9 * len(near)
+
+
+def test_benchmarks_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
+    rng = random.Random(8)
+    items = [(i, KINDS["prose"](rng, 150)) for i in range(12)]
+    docs = [(i, f"{KINDS['prose'](rng, 60)} {x}") for i, x in items] + [(99, KINDS["prose"](rng, 300))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.leaks(table, bench).collect()}
+    assert got == {(i, i, 0) for i in range(12)}
+    assert [r["doc_id"] for r in decontaminate.clean(table, bench).collect()] == [99]
+
+
 def test_leaks_are_found_and_clean_texts_left(spark, odd, none):
     rng = random.Random(6)
     voc = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(300)]

@@ -3,10 +3,11 @@
 The CGK walk reads a string from its start, writes the byte it is at, and goes on or stays by a
 random bit for that step and byte: strings a few edits apart give outputs a few places apart, so
 edit distance becomes Hamming distance. Bit sampling then hashes some of the places: equal keys
-make a candidate. Windows begin at every word of a document; items are looked up from each of
-their words on, so that edits before it do no harm. The reach of the walks, their number and the
-places sampled go by the item's size (PLANS), so that TARGET of the items with SHARE edits are
-found. Of a candidate the piece of the item around the key is compared first, by bit vectors,
+make a candidate. Windows begin at every word of a document, and every few bytes inside long runs
+without white space; items are looked up from each of their bytes on, so wherever a window begins
+inside a copy, the item has a key for it, whether the text is spaced or not. All plans share the
+walks; their reach, their number and the places sampled go by the item's size (PLANS), so that
+TARGET of the items with SHARE edits are found. Of a candidate the piece of the item around the key is compared first, by bit vectors,
 with room for more edits than SHARE; if it is near, item and text are aligned, exactly. Items of
 up to WORD bytes are compared with all of every text, so none is lost.
 
@@ -29,13 +30,14 @@ from vidmart.llm.tables import id_and_text
 SHARE = 0.2  # edits by length of the item, at most
 TARGET = 0.95  # items found of those with SHARE random edits, at least
 WORD = 64  # bytes of a piece that is compared by bit vectors
-PLANS = ((65, 4, 16, 11), (128, 3, 20, 13), (256, 3, 26, 16))  # bytes of an item, from; walks, steps, places
+PLANS = ((65, 5, 17, 14), (128, 2, 24, 20), (256, 2, 28, 23))  # bytes of an item, from; walks, steps, places
 ROOM = 0.1  # edits by length that a piece may have beyond those of its item
 LANE = 256  # bytes of text compared with a short item at once
 LANES = 2048  # comparisons side by side
 STARTS = 16384  # windows walked together
-BLOCK = 4096  # items looked up together; their tables are broadcast
-PREFIX_BITS = 18
+LONG, EVERY = 12, 6  # bytes of a run without white space after which windows begin, and how often
+BLOCK_BYTES = 1 << 20  # of items looked up together; their tables, some 60 bytes for each, are broadcast
+PREFIX_BITS = 21
 NO_BYTE = 255  # in no UTF-8 text
 
 
@@ -47,9 +49,8 @@ def fold(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Views:
-    """Keys of the items of one size from each of their words on, for every walk."""
+    """Keys of the items of one size from each of their bytes on, for every walk."""
 
-    bits: np.ndarray  # walk, step, byte -> 0 or 1
     samples: np.ndarray  # walk, place -> step
     prefixes: list  # walk -> first bits of keys that occur
     keys: list  # walk -> sorted keys
@@ -69,47 +70,49 @@ class Items:
     owner: np.ndarray  # piece -> item
     begin: np.ndarray  # piece -> its first byte in the item
     size: np.ndarray  # piece -> bytes, WORD at most
+    bits: np.ndarray  # walk, step, byte -> 0 or 1
 
 
-def _walk(data: np.ndarray, at: np.ndarray, bits: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Hash of the bytes that the walks from positions ``at`` write at ``places``. ``data`` reaches
-    as many bytes beyond every position as there are steps."""
-    at, key, wanted = at.astype(np.int32), np.zeros(len(at), np.uint64), set(places.tolist())
-    for s in range(int(places[-1]) + 1):
+def _walk(data: np.ndarray, at: np.ndarray, bits: np.ndarray, samples: list[np.ndarray]) -> list[np.ndarray]:
+    """For each array of steps the hash of the bytes that the walks from positions ``at`` write at
+    them. ``data`` reaches as many bytes beyond every position as there are steps."""
+    at, keys = at.astype(np.int32), [np.zeros(len(at), np.uint64) for _ in samples]
+    wanted = [set(x.tolist()) for x in samples]
+    for s in range(max(int(x[-1]) for x in samples) + 1):
         c = data.take(at)
-        if s in wanted:
-            key = key * np.uint64(0x9E3779B97F4A7C15) + c
+        for key, steps in zip(keys, wanted, strict=True):
+            if s in steps:
+                key *= np.uint64(0x9E3779B97F4A7C15)
+                key += c
         at += bits[s].take(c)
-    return mix(key)
+    return [mix(key) for key in keys]
 
 
-def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray, plan: tuple, seed: int) -> Views:
+def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray, plan: tuple, bits: np.ndarray, seed: int) -> Views:
     _, walks, steps, places = plan
     rng = np.random.default_rng([seed, steps])
-    bits = rng.integers(0, 2, (walks, steps, 256)).astype(np.int32)
     samples = np.stack([np.sort(rng.choice(steps, places, replace=False)) for _ in range(walks)])
     item, offset, piece, starts, parts, at = [], [], [], [], [], 0
     for i in chosen:
         x = folded[i]
-        begins, _, _ = word_spans(x, np.array([0, len(x)]))
-        own = [b for b in begins if len(x) - b >= steps] or list(begins[:1])
-        item += [i] * len(own)
-        offset += own
+        own = np.flatnonzero(x[: max(len(x) - steps, 0) + 1] != 32)  # windows never begin at white space
+        item.append(np.full(len(own), i, np.int32))
+        offset.append(own.astype(np.int32))
         lo, hi = first_piece[i]
-        piece += (lo + np.searchsorted(begin[lo:hi], own, "right") - 1).tolist()
-        starts += [at + b for b in own]
+        piece.append((lo + np.searchsorted(begin[lo:hi], own, "right") - 1).astype(np.int32))
+        starts.append(at + own)
         parts += [x, np.zeros(steps, np.uint8)]
         at += len(x) + steps
-    data = np.concatenate(parts)
-    v = Views(bits, samples, [], [], [], *(np.array(c, np.int64) for c in (item, offset, piece)))
+    data, starts = np.concatenate(parts), np.concatenate(starts)
+    v = Views(samples, [], [], [], *(np.concatenate(c) for c in (item, offset, piece)))
     for w in range(walks):
-        key = _walk(data, np.array(starts, np.int64), bits[w], samples[w])
+        key = _walk(data, starts, bits[w], [samples[w]])[0]
         there = np.zeros(1 << PREFIX_BITS, bool)
         there[(key >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)] = True
         order = np.argsort(key, kind="stable")
         v.prefixes.append(there)
         v.keys.append(key[order])
-        v.views.append(order)
+        v.views.append(order.astype(np.int32))
     return v
 
 
@@ -122,28 +125,46 @@ def views(items: list[bytes], seed: int = 11) -> Items:
         owner += [i] * (len(edges) - 1)
         begin += edges[:-1].tolist()
         size += np.diff(edges).tolist()
-    out = Items(folded, [], [], *(np.array(c, np.int64) for c in (owner, begin, size)))
+    bits = np.random.default_rng(seed).integers(0, 2, (max(p[1] for p in PLANS), max(p[2] for p in PLANS), 256))
+    out = Items(folded, [], [], *(np.array(c, np.int64) for c in (owner, begin, size)), bits.astype(np.int32))
     out.short = [pieces[i][0] for i, x in enumerate(folded) if 0 < len(x) <= WORD]
     for plan, after in zip(PLANS, [*[p[0] for p in PLANS[1:]], 1 << 62], strict=True):
         chosen = [i for i, x in enumerate(folded) if plan[0] <= len(x) < after]
         if chosen:
-            out.plans.append(_views(folded, chosen, pieces, out.begin, plan, seed))
+            out.plans.append(_views(folded, chosen, pieces, out.begin, plan, out.bits, seed))
     return out
 
 
-def candidates(data: np.ndarray, starts: np.ndarray, v: Views) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of window starts, and views, with equal keys in some walk."""
-    found, found_view = [], []
-    for w in range(len(v.keys)):
-        parts = [starts[k : k + STARTS] for k in range(0, len(starts), STARTS)]
-        key = np.concatenate([_walk(data, part, v.bits[w], v.samples[w]) for part in parts])
-        left = np.flatnonzero(v.prefixes[w][(key >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)])
-        low, high = (np.searchsorted(v.keys[w], key[left], side) for side in ("left", "right"))
-        many = high - low
-        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        found.append(np.repeat(left, many))
-        found_view.append(v.views[w][np.repeat(low, many) + nth])
-    return np.concatenate(found), np.concatenate(found_view)
+def windows(folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position and row of every window: at the words, and inside runs of more than LONG bytes."""
+    starts, stops, rows = word_spans(folded, offsets)
+    many = np.maximum(0, -(-(stops - starts - LONG) // EVERY))
+    if not many.any():
+        return starts, rows
+    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    inside = np.repeat(starts, many) + LONG + nth * EVERY
+    at, of = np.concatenate([starts, inside]), np.concatenate([rows, np.repeat(rows, many)])
+    order = np.argsort(at, kind="stable")
+    return at[order], of[order]
+
+
+def candidates(data: np.ndarray, starts: np.ndarray, v: Items) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each plan numbers of window starts, and views, with equal keys in some walk."""
+    found = [([], []) for _ in v.plans]
+    for k in range(0, len(starts), STARTS):
+        part = starts[k : k + STARTS]
+        for w in range(max(len(p.keys) for p in v.plans)):
+            own = [i for i, p in enumerate(v.plans) if w < len(p.keys)]
+            keys = _walk(data, part, v.bits[w], [v.plans[i].samples[w] for i in own])
+            for i, key in zip(own, keys, strict=True):
+                p = v.plans[i]
+                left = np.flatnonzero(p.prefixes[w].take((key >> np.uint64(64 - PREFIX_BITS)).view(np.int64)))
+                low, high = (np.searchsorted(p.keys[w], key[left], side) for side in ("left", "right"))
+                many = high - low
+                nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                found[i][0].append(k + np.repeat(left, many))
+                found[i][1].append(p.views[w][np.repeat(low, many) + nth])
+    return [(np.concatenate(a), np.concatenate(b)) for a, b in found]
 
 
 def _masks(items: Items, pieces: np.ndarray) -> np.ndarray:
@@ -227,17 +248,16 @@ def _matches(data: np.ndarray, offsets: np.ndarray, v: Items, share: float):
     """(row, item, edits, start, end) of the best match of every item in every row."""
     folded = fold(data)
     yield from _short(folded, offsets, v, share)
-    starts, _, rows = word_spans(folded, offsets)
+    starts, rows = windows(folded, offsets)
     if not len(starts) or not v.plans:
         return
     # zeros after every row, so that no window reads the next one
-    gap = max(p.bits.shape[1] for p in v.plans)
+    gap = v.bits.shape[1]
     n_rows = len(offsets) - 1
     spaced = np.zeros(len(folded) + n_rows * gap, np.uint8)
     spaced[np.arange(len(folded)) + np.repeat(np.arange(n_rows) * gap, np.diff(offsets))] = folded
     masks, found = _masks(v, np.arange(len(v.owner))), []
-    for plan in v.plans:
-        at, view = candidates(spaced, starts + rows * gap, plan)
+    for plan, (at, view) in zip(v.plans, candidates(spaced, starts + rows * gap, v), strict=True):
         row, item, piece = rows[at], plan.item[view], plan.piece[view]
         begin = starts[at] - plan.offset[view]  # where the item would begin without edits
         near = (row * len(v.owner) + piece) * (len(folded) // 8 + 64) + (begin + v.begin[piece]) // 8
@@ -274,12 +294,13 @@ def _matches(data: np.ndarray, offsets: np.ndarray, v: Items, share: float):
 
 
 def _blocks(benchmark: DataFrame):
-    """Broadcast (ids, views) of the items, BLOCK or so at a time."""
+    """Broadcast (ids, views) of the items, some BLOCK_BYTES of them at a time."""
     spark = benchmark.sparkSession
     items = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")
     ).where(F.col("item_id").isNotNull() & F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))).distinct()
-    blocks = -(-items.count() // BLOCK)
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-size // BLOCK_BYTES)
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         if own:
