@@ -15,7 +15,6 @@ not on whole sentences: toxic ones, also with characters inserted, against words
 
 from __future__ import annotations
 
-import heapq
 import re
 from itertools import chain
 
@@ -41,12 +40,16 @@ MEMO = 300_000
 NOTHING = -1.5  # the least value of a word, and that of none
 WORST = 3  # distinct words that decide on a text
 SINGLE = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+EDGES = ".,!?;:\"'()[]{}<>-_*#"
 STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
 def plain(token: str) -> str:
     """Lower case, letters and digits only."""
-    return "".join(c for c in token.lower() if c.isalnum())
+    low = token.lower()
+    if low.isalnum() or (low := low.strip(EDGES)).isalnum():  # most tokens
+        return low
+    return "".join(filter(str.isalnum, low))
 
 
 def instances(text: str) -> list[str]:
@@ -66,8 +69,8 @@ def _pieces(word: str) -> list[str]:
 
 def codes(words: list[str]) -> np.ndarray:
     """Class of every character, 0 beyond the end: a-z have one each, others share the rest."""
-    wide = np.zeros((len(words), LONGEST), np.int64)
-    points = np.array([ord(c) for w in words for c in w], np.int64)
+    wide = np.zeros((len(words), LONGEST), np.int32)
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
     sizes = np.array([len(w) for w in words], np.int64)
     inside = np.arange(LONGEST) < sizes[:, None]
     rest = 29 + points * 2654435761 % (1 << 32) % (LETTERS - 29)
@@ -109,21 +112,39 @@ def vectors(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def _most() -> np.ndarray:
+    """By characters of a word the length of its vector if all its triples differ."""
+    sizes = np.arange(LONGEST + 1)
+    return np.sqrt(sum(np.maximum(sizes - b, 0) * DECAY ** (2 * (b + 1)) for _, b in STEPS))
+
+
 class Machine:
     """Weights by triple and an offset."""
 
     def __init__(self, weights: np.ndarray, offset: float):
         self.weights, self.offset = weights.astype(np.float32), offset
 
+    def sums(self, wide: np.ndarray) -> np.ndarray:
+        """Weights of the triples of each word, added up step by step. A triple that ends beyond its
+        word ends with class 0, which no triple of a training word does, so its weight is 0."""
+        total = np.zeros(len(wide), np.float32)
+        for a in range(1, SPAN - 1):
+            pair = wide[:, : LONGEST - a] * np.int32(LETTERS) + wide[:, a:]
+            pair *= np.int32(LETTERS)
+            for b in range(a + 1, SPAN):
+                total += self.weights.take(pair[:, : LONGEST - b] + wide[:, b:]).sum(1) * np.float32(DECAY ** (b + 1))
+        return total
+
     def values(self, words: list[str]) -> np.ndarray:
         """Decision value of each word of at most LONGEST characters."""
-        out = np.full(len(words), NOTHING)
+        out, most = np.full(len(words), NOTHING), _most()
         for k in range(0, len(words), 4096):
-            code, weight = triples(codes(words[k : k + 4096]))
-            total = (self.weights[code] * weight).sum(1)
-            size = np.sqrt((weight**2).sum(1))
-            near = np.flatnonzero(total > 0.1 * size)  # adding up equal triples only lowers it
-            size[near] = _length(code[near], weight[near])
+            wide = codes(words[k : k + 4096])
+            total = self.sums(wide).astype(np.float64)
+            size = most[(wide > 0).sum(1)]
+            near = np.flatnonzero(total > 0.1 * size)
+            if len(near):
+                size[near] = _length(*triples(wide[near]))
             value = total / np.maximum(size, 1e-12) + self.offset
             out[k : k + 4096] = np.where(size > 0, np.maximum(value, NOTHING), NOTHING)
         return out
@@ -263,9 +284,8 @@ def _worst(machine: Machine):
             np.maximum.at(best, [i for i, _ in parts], machine.values([p for _, p in parts]))
         memo.update(zip(fresh, best.tolist(), strict=True))
         spare = [NOTHING] * WORST
-        return np.array(
-            [heapq.nlargest(WORST, chain(map(memo.__getitem__, words), spare)) for words in split]
-        ).reshape(-1, WORST)
+        out = [sorted(chain(map(memo.__getitem__, words), spare), reverse=True)[:WORST] for words in split]
+        return np.array(out).reshape(-1, WORST)
 
     return run
 
