@@ -33,7 +33,7 @@ WORD = 64  # bytes of a piece that is compared by bit vectors
 PLANS = ((65, 5, 17, 14), (128, 2, 24, 20), (256, 2, 28, 23))  # bytes of an item, from; walks, steps, places
 ROOM = 0.1  # edits by length that a piece may have beyond those of its item
 LANE = 256  # bytes of text compared with a short item at once
-LANES = 2048  # comparisons side by side
+LANES = 16384  # comparisons side by side
 STARTS = 16384  # windows walked together
 LONG, EVERY = 12, 6  # bytes of a run without white space after which windows begin, and how often
 BLOCK_BYTES = 1 << 20  # of items looked up together; their tables, some 60 bytes for each, are broadcast
@@ -76,16 +76,21 @@ class Items:
 def _walk(data: np.ndarray, at: np.ndarray, bits: np.ndarray, samples: list[np.ndarray]) -> list[np.ndarray]:
     """For each array of steps the hash of the bytes that the walks from positions ``at`` write at
     them. ``data`` reaches as many bytes beyond every position as there are steps."""
-    at, keys = at.astype(np.int32), [np.zeros(len(at), np.uint64) for _ in samples]
-    wanted = [set(x.tolist()) for x in samples]
+    at, wanted = at.astype(np.int32), [{s: i for i, s in enumerate(x.tolist())} for x in samples]
+    written = [np.zeros((len(at), -(-len(x) // 8) * 8), np.uint8) for x in samples]
     for s in range(max(int(x[-1]) for x in samples) + 1):
         c = data.take(at)
-        for key, steps in zip(keys, wanted, strict=True):
-            if s in steps:
-                key *= np.uint64(0x9E3779B97F4A7C15)
-                key += c
+        for out, places in zip(written, wanted, strict=True):
+            if s in places:
+                out[:, places[s]] = c
         at += bits[s].take(c)
-    return [mix(key) for key in keys]
+    keys = []
+    for out in written:
+        key = np.zeros(len(at), np.uint64)
+        for part in out.view(np.uint64).T:
+            key = mix(key + part)
+        keys.append(key)
+    return keys
 
 
 def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray, plan: tuple, bits: np.ndarray, seed: int) -> Views:
@@ -193,7 +198,8 @@ def least_edits(data: np.ndarray, low: np.ndarray, high: np.ndarray, masks: np.n
             xv = eq | mv
             xh = (((eq & pv) + pv) ^ pv) | eq
             ph, mh = mv | ~(xh | pv), pv & xh
-            cost += ((ph >> top) & one).astype(np.int64) - ((mh >> top) & one).astype(np.int64)
+            cost += ((ph >> top) & one).view(np.int64)
+            cost -= ((mh >> top) & one).view(np.int64)
             np.minimum(best, cost, out=best)
             ph, mh = ph << one, mh << one
             pv, mv = mh | ~(xv | ph), ph & xv

@@ -159,13 +159,13 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """rep, n and tokens (sorted) of the documents in ``chosen`` (rep, doc_id, h, n, d1, d2). Of rows that
-    repeat an id and a text one will do."""
+    """rep, o (the id), n and tokens (sorted) of the documents in ``chosen`` (rep, doc_id, h, n, d1, d2).
+    Of rows that repeat an id and a text one will do."""
 
     def run(batches):
         for batch in batches:
-            rep, n, d1, d2 = (batch.column(k).to_numpy() for k in range(4))
-            for first, bounds, keys in _sets(batch.column(4)):
+            rep, o, n, d1, d2 = (batch.column(k).to_numpy() for k in range(5))
+            for first, bounds, keys in _sets(batch.column(5)):
                 at = np.arange(first, first + len(bounds) - 1)
                 h1, h2 = _digests(keys, bounds)
                 sizes = np.diff(bounds)
@@ -174,35 +174,38 @@ def token_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(sizes[ok])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep[at][ok]), pa.array(n[at][ok].astype(np.int32)), lists], names=["rep", "n", "tokens"]
+                    [pa.array(rep[at][ok]), pa.array(o[at][ok]), pa.array(n[at][ok].astype(np.int32)), lists],
+                    names=["rep", "o", "n", "tokens"],
                 )
 
     met = _rows(docs).join(chosen, ["doc_id", "h"])
     return cut(
-        met.select("rep", "n", "d1", "d2", "text").mapInArrow(run, "rep bigint, n int, tokens array<bigint>"),
+        met.select("rep", F.col("doc_id").alias("o"), "n", "d1", "d2", "text").mapInArrow(
+            run, "rep bigint, o bigint, n int, tokens array<bigint>"
+        ),
         "join-tokens",
     )
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """tok, rep, n, k, place and m: the lists that each set's prefix is in, how many it asks to
+    """tok, rep, o, n, k, place and m: the lists that each set's prefix is in, how many it asks to
     share, where in the set's order the list is, and how many shingles others have too."""
-    flat = sets.select("rep", "n", F.explode("tokens").alias("tok"))
+    flat = sets.select("rep", "o", "n", F.explode("tokens").alias("tok"))
     often = cut(flat.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "join-df")
     lists = (
         flat.join(often, "tok")
-        .groupBy("rep", "n")
+        .groupBy("rep", "o", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("own"))
     )
     least = F.floor((F.col("n") * THRESHOLD + 99) / 100).cast("int")
     base = (F.size("own") - least + 1).alias("base")  # shingles of one set alone come first
-    short = lists.select("rep", "n", "own", F.size("own").alias("m"), base, least.alias("least")).where("base > 0")
+    short = lists.select("rep", "o", "n", "own", F.size("own").alias("m"), base, least.alias("least")).where("base > 0")
     first = F.greatest(F.col("base"), F.lit(0))  # also where a filter above runs later
     cost = F.aggregate(F.slice("own", 1, first), F.lit(0).cast("bigint"), lambda a, x: a + x["df"] - 1)
     k = F.least(F.col("least"), 1 + F.floor(F.log2(1 + cost / F.greatest(F.col("base"), F.lit(1)))).cast("int"))
     chosen = short.withColumn("k", k).withColumn("own", F.slice("own", 1, F.greatest(F.col("base") + F.col("k") - 1, F.lit(0))))
-    flat = chosen.select(F.posexplode("own.tok").alias("place", "tok"), "rep", "n", "k", "m")
-    return cut(flat.select("tok", "rep", "n", "k", "place", "m"), "join-postings")
+    flat = chosen.select(F.posexplode("own.tok").alias("place", "tok"), "rep", "o", "n", "k", "m")
+    return cut(flat.select("tok", "rep", "o", "n", "k", "place", "m"), "join-postings")
 
 
 def _near(n: Column, m: Column) -> Column:
@@ -243,7 +246,7 @@ def _against_one(lists: DataFrame, by: Column, name: str) -> DataFrame:
     """Each document with the one of its lists' heads that it shares most lists with. The head
     of a list is the document with the least ``by``; heads in its own component do not count."""
     heads = cut(
-        lists.groupBy("tok").agg(F.min(F.struct(by.alias("o"), "rep", "comp", "n", "k")).alias("h"), F.count(F.lit(1)).alias("c"))
+        lists.groupBy("tok").agg(F.min(F.struct(by.alias("by"), "rep", "comp", "n", "k")).alias("h"), F.count(F.lit(1)).alias("c"))
         .where("c > 1").select("tok", F.col("h.rep").alias("v"), F.col("h.comp").alias("vc"), F.col("h.n").alias("vn"), F.col("h.k").alias("vk")),
         f"join-heads-{name}",
     )
@@ -298,7 +301,7 @@ def _all_left(lists: DataFrame, heads: DataFrame) -> DataFrame:
 def links(sets: DataFrame) -> DataFrame:
     """Links (u, v) between sets that leave no two linked sets in different components."""
     lists = postings(sets)
-    heads = cut(compared(_against_one(lists.withColumn("comp", F.col("rep")), F.col("rep"), "least"), sets), "join-links-1")
+    heads = cut(compared(_against_one(lists.withColumn("comp", F.col("rep")), F.col("o"), "least"), sets), "join-links-1")
     found = heads.where("linked").select("u", "v")
     more = _against_one(_labelled(lists, found), F.xxhash64("rep", "tok"), "hash")
     found = found.unionByName(cut(verified(more, sets), "join-links-2"))
@@ -321,8 +324,10 @@ def grouped(docs: DataFrame) -> DataFrame:
         classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", "first", "least"),
         "join-labels",
     )
-    least = known.where("least is not null").groupBy("least").agg(F.min("first").alias("of_all"))
-    known = known.join(least, "least", "left").select("n", "d1", "d2", F.coalesce("of_all", "first").alias("first"))
+    linked = known.where("least is not null")
+    least = linked.groupBy("least").agg(F.min("first").alias("of_all"))
+    linked = linked.drop("first").join(least, "least").select("n", "d1", "d2", F.col("of_all").alias("first"))
+    known = known.where("least is null").select("n", "d1", "d2", "first").unionByName(linked)
     own = F.struct("doc_id", "h")
     return docs_.join(known, ["n", "d1", "d2"], "left").select("doc_id", "h", "n", F.coalesce("first", own).alias("first"))
 
