@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from frames import rows
+from frames import creators, rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -266,7 +266,7 @@ def test_a_stage_that_broke_off_is_not_taken(spark, tmp_path, monkeypatch):
 def test_a_broken_second_run_of_a_stage_does_not_leave_the_first(spark, tmp_path, monkeypatch):
     cfg = config(tmp_path, 3)
     batch.run_batch(spark, cfg, sources(spark, tmp_path, 100), stop="load")
-    monkeypatch.setattr(batch.enrich, "videos_final", lambda *a: 1 / 0)
+    monkeypatch.setattr(batch.enrich, "videos_final", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         batch.run_batch(spark, cfg, start="transform")
     with pytest.raises(FileNotFoundError, match="transform"):
@@ -289,3 +289,86 @@ def test_stages_of_other_settings_or_files_are_refused(spark, tmp_path):
     spark.range(1).write.mode("append").parquet(cfg.table("bridge"))
     with pytest.raises(ValueError, match="other files in warehouse/bridge"):
         batch.run_batch(spark, config(tmp_path, 3), start="reports")
+
+
+PEOPLE = [f"person{i}" for i in range(12)]
+
+
+def profiles(spark, counts):
+    return creators(spark, *[
+        {"influencer_id": n, "username": n, "follower_count": c} for n, c in counts.items()
+    ])
+
+
+def test_only_touched_buckets_of_the_history_are_read_and_written(spark, tmp_path):
+    given = sources(spark, tmp_path, 100)
+    first = config(tmp_path, 3)
+    given["creators"] = profiles(spark, dict.fromkeys(PEOPLE, 100))
+    batch.run_batch(spark, first, given, stop="load")
+    before = batch.warehouse(spark, first.out)["dim_creator"]
+    assert sorted(r.creator_sk for r in before.collect()) == list(range(1, 13))
+
+    second = config(tmp_path, 4, previous=first.out)
+    given["creators"] = profiles(spark, {PEOPLE[0]: 300, PEOPLE[1]: 101, "late": 5})
+    batch.run_batch(spark, second, given, stop="load")
+    dim = batch.warehouse(spark, second.out)["dim_creator"]
+    changed = {r.creator_nk for r in dim.where("valid_from = '2026-05-04'").collect()}
+    assert changed == {PEOPLE[0], "late"} and dim.count() == 14
+    assert sorted(r.creator_sk for r in dim.collect()) == list(range(1, 15))
+    assert {r.creator_nk: r.creator_sk for r in dim.where("valid_from < '2026-05-04'").collect()} == {
+        r.creator_nk: r.creator_sk for r in before.collect()
+    }
+    named = spark.createDataFrame([(n,) for n in [PEOPLE[0], PEOPLE[1], "late"]], "creator_nk string")
+    touched = batch.history.numbers(named)
+    read = batch.history.read(spark, first.table("dim_creator"), touched)
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in read.inputFiles()} <= set(touched)
+    written = {f.split("/")[0] for f in batch.manifest.files_below(spark, second.table("dim_creator"))}
+    moved = named.where(F.col("creator_nk") != PEOPLE[1])
+    assert written == {f"bucket={b}" for b in batch.history.numbers(moved)}
+
+    third = config(tmp_path, 5, previous=second.out)
+    given["creators"] = profiles(spark, {PEOPLE[5]: 900})
+    batch.run_batch(spark, third, given, stop="load")
+    dim = batch.warehouse(spark, third.out)["dim_creator"]
+    assert dim.count() == 15 and dim.where("is_current").count() == 13
+    again = config(tmp_path, 6, previous=third.out)
+    batch.run_batch(spark, again, given, stop="load")
+    assert rows(batch.warehouse(spark, again.out)["dim_creator"]) == rows(dim)
+    late = config(tmp_path, 4, previous=third.out)
+    with pytest.raises(ValueError, match="newest version"):
+        batch.run_batch(spark, late, given)
+
+
+def test_history_goes_on_from_a_plain_table(spark, tmp_path):
+    plain = batch.scd2.scd2(
+        batch.scd2.empty_dimension(spark), profiles(spark, {"ann": 100, "bob": 100}), date(2026, 5, 1)
+    )
+    plain.write.parquet(str(tmp_path / "old" / "warehouse" / "dim_creator"))
+    cfg = config(tmp_path, 3, previous=str(tmp_path / "old"))
+    given = sources(spark, tmp_path, 100)
+    given["creators"] = profiles(spark, {"bob": 200, "cy": 1})
+    batch.run_batch(spark, cfg, given, stop="load")
+    got = rows(batch.warehouse(spark, cfg.out)["dim_creator"].select("creator_nk", "creator_sk", "is_current"))
+    assert [(n, c) for n, _, c in got] == [("ann", True), ("bob", False), ("bob", True), ("cy", True)]
+    assert sorted(k for _, k, _ in got) == [1, 2, 3, 4]
+
+
+def test_runs_add_their_days_to_the_kept_sums(spark, tmp_path):
+    kept = str(tmp_path / "kept")
+    given, cfgs = sources(spark, tmp_path, 100), []
+    for day, posted in ((3, "2026-05-01"), (4, "2026-06-07")):
+        cfg = config(tmp_path, day)
+        cfg.kept = kept
+        cfgs.append(cfg)
+        own = dict(given, videos=given["videos"].withColumn("createTimeISO", F.lit(f"{posted}T10:00:00.000Z")))
+        before = batch.manifest.files_below(spark, f"{kept}/daily_sums") if day == 4 else {}
+        batch.run_batch(spark, cfg, own, stop="load")
+        assert before.items() <= batch.manifest.files_below(spark, f"{kept}/daily_sums").items()
+    tables = batch.warehouse(spark, cfgs[1].out)
+    months = batch.reports.monthly_engagement(batch.kept_tables(spark, kept, tables))
+    assert rows(months.select("month", "total_videos")) == [(5, 2), (6, 2)]
+    assert rows(batch.reports.monthly_engagement(tables).select("month", "total_videos")) == [(6, 2)]
+    batch.run_batch(spark, cfgs[1], start="load", stop="load")  # a run loaded again counts once
+    tables = batch.warehouse(spark, cfgs[1].out)
+    months = batch.reports.monthly_engagement(batch.kept_tables(spark, kept, tables))
+    assert rows(months.select("month", "total_videos")) == [(5, 2), (6, 2)]

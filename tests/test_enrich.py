@@ -2,9 +2,10 @@ import pytest
 from frames import comments, creators, rows, taxonomy, videos
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from vidmart.operators import clean, enrich, features
+from vidmart.operators import clean, enrich, features, frequent
 from vidmart.operators.lookup import lookup
 
 TAGS = [
@@ -147,3 +148,29 @@ def test_lookup_refuses_clashing_columns(spark):
         lookup(left, dim(spark), {"k": "name"}, ["id"])
     with pytest.raises(ValueError):
         lookup(skewed(spark), dim(spark), {"k": "name"}, ["id"], how="full")
+
+
+def test_frequent_keys_from_a_summary(spark):
+    names = ["ann"] * 50 + ["Bob "] * 30 + [None] * 20 + [f"n{i}" for i in range(40)]
+    posts = videos(spark, *[{"authorMeta_name": n, "musicMeta_musicAuthor": None} for n in names])
+    found = posts.agg(*[c.alias(k) for k, c in frequent.of_videos().items()]).first()
+    counts = {r["item"]: r["count"] for r in found["authors"] if r["item"] is not None}
+    assert (counts["ann"], counts["bob"]) == (50, 30)
+    assert rows(frequent.table(spark, "music", found["music"])) == [("song", "")]
+    keys = frequent.table(spark, "authors", found["authors"])
+    assert keys.columns == ["authorMeta_name"] and {("ann",), ("bob",)} <= set(rows(keys))
+    assert frequent.table(spark, "authors", None).count() == 0
+    odd = [Row(item="a\x1fb", count=1), Row(item=None, count=3)]
+    assert frequent.table(spark, "authors", odd).count() == 0
+
+
+def test_known_frequent_keys_do_not_change_a_lookup(spark, no_broadcast):
+    posts = clean.videos(videos(spark, *[
+        {"authorMeta_name": n, "webVideoUrl": f"https://v/video/{i}"}
+        for i, n in enumerate(["ann"] * 9 + ["bob", None, "nobody"])
+    ]))
+    people = clean.creators(creators(spark, {}, {"username": "bob", "follower_count": 7}))
+    want = rows(enrich.with_creators(posts, people))
+    for hot in (["ann"], ["ann", "bob", "nobody"], ["unknown"], [], [None, "ann", "ann"]):
+        keys = spark.createDataFrame([(h,) for h in hot], "authorMeta_name string")
+        assert rows(enrich.with_creators(posts, people, hot=keys)) == want

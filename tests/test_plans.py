@@ -129,3 +129,40 @@ def test_fact_counts_frequent_music_before_the_creator_lookup(spark, tmp_path, n
     assert plan(met).count("SortMergeJoin") == 2
     got = {r["video_id"]: (r["creator_sk"], r["music_sk"]) for r in met.collect()}
     assert got == {1: (7, 1), 2: (None, 2)}
+
+
+def scans(df, column):
+    """File scans, after adaptive execution, that read a column."""
+    return [line for line in final_plan(df).splitlines() if "FileScan" in line and column in line]
+
+
+def test_raw_videos_are_scanned_once(spark, no_broadcast):
+    """Which authors are frequent was noted while the videos were staged."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        joined = queries.videos_final(spark, SF_DIR)
+        assert len(scans(joined, "/raw_videos]")) == 1
+        assert "ReusedExchange" in final_plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_reports_by_date_do_not_read_the_fact(spark):
+    t = batch.warehouse(spark, queries.run(spark, SF_DIR).out)
+    for report in (reports.monthly_engagement, reports.weekday_pattern, reports.posting_heatmap):
+        assert "sum_play" in plan(report(t)) and "play_count" not in plan(report(t)).replace("avg_play_count", "")
+    assert "play_count" in plan(reports.monthly_engagement({k: v for k, v in t.items() if k != "daily"}))
+
+
+def test_daily_sums_give_the_same_reports(spark):
+    t = batch.warehouse(spark, queries.run(spark, SF_DIR).out)
+    without = {k: v for k, v in t.items() if k != "daily"}
+    for report in (reports.monthly_engagement, reports.engagement_rollup, reports.category_trend_by_safety,
+                   reports.day_hour_pattern, reports.holiday_comparison):
+        assert report(t).collect() == report(without).collect()
+
+
+def test_tiers_are_looked_up_for_sums_only(spark, no_broadcast):
+    t = batch.warehouse(spark, queries.run(spark, SF_DIR).out)
+    text = plan(reports.tier_distribution(t))
+    assert "video_sk" not in text and "partial_count" in text[text.index("SortMergeJoin"):]

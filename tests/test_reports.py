@@ -1,6 +1,7 @@
 """Reports over a hand-made warehouse; results worked out by hand."""
 
 import math
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -232,3 +233,17 @@ def test_averages_round_half_up(spark, digits):
     plays, want = digits
     t = warehouse(spark, {"play_count": int(plays * 2)}, {"play_count": 0})
     assert reports.weekday_pattern(t).select(F.col("avg_play_count")).first()[0] == want
+
+
+def test_sets_of_creators_merge(spark):
+    """By any coarser key, also over the ends of buckets and over tables written apart."""
+    rng = random.Random(4)
+    posts = [(rng.randrange(1, 100_000), rng.choice("abc"), rng.randrange(3)) for _ in range(5000)]
+    df = spark.createDataFrame(posts, "creator_sk long, niche string, period int")
+    halves = [df.where("period < 2"), df.where("period >= 2")]
+    sets = reports.marts.creator_bitmaps(halves[0], ["niche", "period"])
+    sets = sets.unionByName(reports.marts.creator_bitmaps(halves[1], ["niche", "period"]))
+    for keys in (["niche"], ["period"], ["niche", "period"], []):
+        got = {tuple(r)[:-1]: r["creator_count"] for r in reports.marts.merged_creators(sets, keys).collect()}
+        want = df.groupBy(*keys).agg(F.count_distinct("creator_sk").alias("n")).collect()
+        assert got == {tuple(r)[:-1]: r["n"] for r in want}

@@ -19,6 +19,7 @@ def arguments() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="vidmart", description=__doc__)
     p.add_argument("--out", required=True, help="folder of this run")
     p.add_argument("--previous", help="folder of the run whose creator history goes on")
+    p.add_argument("--kept", help="folder of all runs, to whose daily sums this one adds its own")
     p.add_argument("--as-of", type=date.fromisoformat, required=True)
     p.add_argument("--loaded-at", type=datetime.fromisoformat, help="default: --as-of")
     p.add_argument("--start", choices=batch.STAGES, default="extract")
@@ -83,6 +84,7 @@ def main(argv: list[str] | None = None) -> dict:
     cfg = batch.BatchConfig(
         out=args.out,
         previous=args.previous,
+        kept=args.kept,
         as_of=args.as_of,
         loaded_at=args.loaded_at or datetime.combine(args.as_of, datetime.min.time()),
         min_year=args.min_year,

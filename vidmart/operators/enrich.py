@@ -108,12 +108,15 @@ def author_names(raw_videos: DataFrame) -> DataFrame:
 
 
 def with_creators(
-    videos: DataFrame, creators: DataFrame, keys_from: DataFrame | None = None
+    videos: DataFrame,
+    creators: DataFrame,
+    keys_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the profile of the author; every video stays, once."""
+    """Add the profile of the author; every video stays, once. ``hot`` or ``keys_from``: see ``lookup``."""
     profile = creators.select(F.col("username").alias("_name"), *CREATOR_COLUMNS)
     return lookup(
-        videos, profile, {"authorMeta_name": "_name"}, ["video_id"], keys_from=keys_from
+        videos, profile, {"authorMeta_name": "_name"}, ["video_id"], keys_from=keys_from, hot=hot
     )
 
 
@@ -133,13 +136,14 @@ def videos_final(
     comments: DataFrame,
     taxonomy: DataFrame,
     names: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """The joined video table, one row per video.
 
     Cleaning leaves videos partitioned by ``video_id``; the two joins on that key come first
-    and reuse it, the author join, on another key, comes last. ``names`` is a cheap frame to
-    count author frequencies on, see ``lookup``.
+    and reuse it, the author join, on another key, comes last. ``hot`` has the frequent authors;
+    without it ``names`` is a cheap frame to count them on, see ``lookup``.
     """
     joined = with_sentiment(features, sentiment_by_video(comments))
     joined = with_category(joined, primary_category(video_tags(features), taxonomy))
-    return with_creators(joined, creators, names)
+    return with_creators(joined, creators, names, hot)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -21,10 +22,12 @@ def run_id(started: datetime) -> str:
     return started.strftime("RUN_%Y%m%d_%H%M%S")
 
 
-def with_creator_key(videos: DataFrame, dim_creator: DataFrame) -> DataFrame:
+def with_creator_key(
+    videos: DataFrame, dim_creator: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """Add ``creator_sk`` of the author's current version; NULL if there is none."""
     current = dim_creator.where("is_current").select("creator_nk", "creator_sk")
-    return lookup(videos, current, {"authorMeta_name": "creator_nk"}, ["video_id"])
+    return lookup(videos, current, {"authorMeta_name": "creator_nk"}, ["video_id"], hot=hot)
 
 
 def _music_names(videos: DataFrame) -> DataFrame:
@@ -37,10 +40,14 @@ def _music_names(videos: DataFrame) -> DataFrame:
 
 
 def with_music_key(
-    videos: DataFrame, dim_music: DataFrame, keys_from: DataFrame | None = None
+    videos: DataFrame,
+    dim_music: DataFrame,
+    keys_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``music_sk`` of (name, author), NULL and empty counting as equal. ``keys_from`` may
-    be the videos before other joins, so that counting frequent names does not repeat those."""
+    """Add ``music_sk`` of (name, author), NULL and empty counting as equal. ``hot`` has frequent
+    names; without it ``keys_from`` may be the videos before other joins, so that counting them does
+    not repeat those."""
     keyed = _music_names(videos)
     counted = None if keys_from is None else _music_names(keys_from)
     music = dim_music.select(
@@ -49,11 +56,16 @@ def with_music_key(
         "music_sk",
     )
     on = {"_name": "name", "_author": "author"}
-    return lookup(keyed, music, on, ["video_id"], keys_from=counted).drop("_name", "_author")
+    return lookup(keyed, music, on, ["video_id"], keys_from=counted, hot=hot).drop("_name", "_author")
 
 
 def fact_rows(
-    final: DataFrame, dim_creator: DataFrame, dim_music: DataFrame, run: str, loaded_at: datetime
+    final: DataFrame,
+    dim_creator: DataFrame,
+    dim_music: DataFrame,
+    run: str,
+    loaded_at: datetime,
+    hot: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One fact row per video, without its surrogate key yet, with ``misfits``: the values that are no
     value of their column. A row with any is to be set aside, see ``fitting``.
@@ -62,7 +74,9 @@ def fact_rows(
     the bridge holds those.
     """
     zero = measures.zero_if_null
-    rows = with_music_key(with_creator_key(final, dim_creator), dim_music, keys_from=final).withColumns(
+    hot = hot or {}
+    owned = with_creator_key(final, dim_creator, hot.get("authors"))
+    rows = with_music_key(owned, dim_music, keys_from=final, hot=hot.get("music")).withColumns(
         {
             "date_id": measures.date_key(F.col("createTimeISO")),
             "play_count": zero(F.col("playCount")),
@@ -102,9 +116,11 @@ def fact_table(
     run: str,
     loaded_at: datetime,
     cut: Cut = fitting,
+    hot: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The fact with its keys. ``cut`` may write the rows, and gives back those that fit."""
-    rows = cut(fact_rows(final, dim_creator, dim_music, run, loaded_at))
+    """The fact with its keys. ``cut`` may write the rows, and gives back those that fit. ``hot`` has
+    the frequent authors and names of music, see ``frequent``."""
+    rows = cut(fact_rows(final, dim_creator, dim_music, run, loaded_at, hot))
     return schemas.conform(assign_keys(rows, ["video_id"], "video_sk"), schemas.FACT)
 
 

@@ -26,6 +26,7 @@ def lookup(
     how: str = "left",
     keys_from: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``rows`` joined to ``dim``, which has at most one row per key.
 
@@ -36,8 +37,10 @@ def lookup(
     NULL key pass through that shuffle under a NULL key, spread evenly by a hash of
     ``spread_by``, a function of the row so that a lost task repeats the same split.
 
-    ``keys_from`` may be any cheap frame with the same key columns to count frequencies on
-    (it defaults to ``rows``); it steers the split, never the result.
+    ``hot`` has the frequent keys, as the row columns of ``on``: at most ``hot_keys`` of them, known
+    from a summary (see ``frequent``). Without it they are counted, on ``keys_from``, which may be
+    any cheap frame with the same key columns (it defaults to ``rows``). Both steer the split,
+    never the result.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
@@ -57,24 +60,21 @@ def lookup(
             small, list(keys), "left"
         )
     else:
-        joined = _split_join(rows, small, keys, attrs, spread_by, keys_from, hot_keys)
+        joined = _split_join(rows, small, keys, attrs, spread_by, keys_from, hot_keys, hot)
     if how == "inner":
         joined = joined.where("_found")
     return joined.select(*rows.columns, *attrs)
 
 
-def _split_join(rows, small, keys, attrs, spread_by, keys_from, hot_keys):
+def _counted(rows, names, hot_keys):
+    return rows.groupBy(*names).count().orderBy(F.desc("count"), *names).limit(hot_keys).select(*names)
+
+
+def _split_join(rows, small, keys, attrs, spread_by, keys_from, hot_keys, hot):
     names = list(keys)
-    counted = keys_from if keys_from is not None else rows
-    hot = (
-        counted.select(*[F.col(r).alias(k) for k, (r, _) in keys.items()])
-        .dropna()
-        .groupBy(*names)
-        .count()
-        .orderBy(F.desc("count"), *names)
-        .limit(hot_keys)
-        .select(*names)
-    )
+    source = hot if hot is not None else keys_from if keys_from is not None else rows
+    source = source.select(*[F.col(r).alias(k) for k, (r, _) in keys.items()]).dropna()
+    hot = source.distinct().limit(hot_keys) if hot is not None else _counted(source, names, hot_keys)
     payload = F.struct(*attrs, "_found").alias("_hot_row")
     hot_rows = small.join(F.broadcast(hot), names, "left_semi").select(*names, payload)
     hot_dim = hot.join(F.broadcast(hot_rows), names, "left").withColumn("_hot", F.lit(True))

@@ -71,15 +71,18 @@ def scd2(
     as_of: date,
     threshold: float = measures.SCD2_CHANGE,
     cut: Cut = no_cut,
+    last: int | None = None,
 ) -> DataFrame:
-    """The whole dimension after one load: history, kept, closed and opened versions.
+    """The whole dimension after one load: history, kept, closed and opened versions. ``last`` is the
+    largest key given so far; without it ``old`` is all there is, and has it.
 
     A pure function of its inputs; the caller writes the result to a new path, never over the
     one being read. Running it again with the same profiles changes nothing.
     """
     rows = cut(version_changes(old, profiles, as_of, threshold))
+    after = old if last is None else old.sparkSession.createDataFrame([(last,)], "creator_sk bigint")
     opened = assign_keys(
-        rows.where("creator_sk is null").drop("creator_sk"), ["creator_nk"], "creator_sk", old
+        rows.where("creator_sk is null").drop("creator_sk"), ["creator_nk"], "creator_sk", after
     )
     return schemas.conform(
         old.where("not is_current")

@@ -737,6 +737,14 @@ FROM (SELECT c_name AS nk FROM customer)""",
         "olap1_monthly": f"SELECT year, month, month_name, {_MONTHLY} FROM dated GROUP BY ALL",
         "olap1_monthly_sql": f"""
 SELECT year, month, month_name, {_MONTHLY} FROM dated GROUP BY ALL""",
+        "olap1_monthly_kept": f"""
+SELECT year, month, month_name, {_MONTHLY} FROM dated GROUP BY ALL""",
+        "olap4_category_kept": _TREND,
+        "olap6_weekday_kept": _WEEKDAY,
+        "olap8_active_creators": f"""
+SELECT {tier('follower_count', True)} AS influencer_tier, post_year,
+  count(DISTINCT creator_sk) AS creator_count
+FROM credited GROUP BY ALL""",
         "olap1_rollup": _rollup("year, month, month_name"),
         "olap1_weekly": _rollup("year, month, week_of_year"),
         "olap1_series": f"""

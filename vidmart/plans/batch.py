@@ -11,19 +11,19 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from vidmart import schemas
 from vidmart.functions import measures
 from vidmart.operators import (
-    clean, dimensions, enrich, fact, features, marts, quality, scd2,
+    clean, dimensions, enrich, fact, features, frequent, marts, quality, scd2,
 )
-from vidmart.plans import manifest, reports
+from vidmart.plans import history, manifest, reports
 from vidmart.session import require_utc
 from vidmart.sources import readers, sinks
-from vidmart.sources.staging import read_optional, read_staged, stage
+from vidmart.sources.staging import exists, read_optional, read_staged, stage
 
 log = logging.getLogger(__name__)
 
@@ -36,13 +36,15 @@ class BatchConfig:
     """Where a run reads and writes, and the values that would otherwise be "now".
 
     ``out`` is a folder of this run alone. ``previous`` is an earlier run's folder: its creator
-    history is carried on, and its tables are read, never written.
+    history is carried on, and its tables are read, never written. ``kept`` is a folder of all runs,
+    to whose daily sums a run adds its own.
     """
 
     out: str
     as_of: date
     loaded_at: datetime
     previous: str | None = None
+    kept: str | None = None
     run_id: str | None = None
     viral_threshold: int = measures.VIRAL_PLAYS
     change_threshold: float = measures.SCD2_CHANGE
@@ -56,7 +58,7 @@ class BatchConfig:
         """What a stage's result depends on, besides what it reads."""
         names = {
             "transform": ("viral_threshold",),
-            "load": ("as_of", "loaded_at", "previous", "run_id", "change_threshold", "date_range"),
+            "load": ("as_of", "loaded_at", "previous", "kept", "run_id", "change_threshold", "date_range"),
             "reports": ("min_year",),
         }
         out = {n: str(getattr(self, n)) for n in names.get(stage_, ())}
@@ -79,12 +81,13 @@ def _together(spark: SparkSession, works: Mapping[str, Callable[[], DataFrame]])
         return {n: job.result() for n, job in jobs.items()}
 
 
-def _counted(df: DataFrame, name: str, cfg: BatchConfig, path: str, write) -> None:
-    """Write ``df`` and note its row count, counted while the rows go by."""
-    seen = Observation(name)
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+def _counted(df: DataFrame, name: str, cfg: BatchConfig, path: str, write, also: Mapping[str, Column] | None = None) -> dict:
+    """Write ``df`` and note its row count, counted while the rows go by, with other sums ``also``."""
+    seen, sums = Observation(name), [c.alias(n) for n, c in (also or {}).items()]
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *sums))
     cfg.metrics[name] = seen.get["rows"]
     cfg.written.append((name, path))
+    return seen.get
 
 
 def _stage(df: DataFrame, name: str, cfg: BatchConfig) -> DataFrame:
@@ -93,16 +96,17 @@ def _stage(df: DataFrame, name: str, cfg: BatchConfig) -> DataFrame:
     return read_staged(df.sparkSession, path)
 
 
-def _routed(df: DataFrame, name: str, cfg: BatchConfig, good) -> DataFrame:
-    """Stage good rows and rejects in one pass; return the good ones."""
-    path, seen = cfg.staged(name), Observation(name)
-    rejects = F.count_if(~F.coalesce(good, F.lit(False)))
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), rejects.alias("rejects"))
-    kept, _ = sinks.write_routed(counted, path, good)
-    cfg.metrics[name] = seen.get["rows"] - seen.get["rejects"]
-    cfg.metrics[f"{name}_rejected"] = seen.get["rejects"]
-    cfg.written.append((name, path))
-    return kept
+def _routed(
+    df: DataFrame, name: str, cfg: BatchConfig, good: Column, also: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, dict]:
+    """Stage good rows and rejects in one pass; return the good ones, and what was summed up."""
+    rejects, path = F.count_if(~F.coalesce(good, F.lit(False))), cfg.staged(name)
+    seen = _counted(
+        df, name, cfg, path, lambda d: sinks.write_routed(d, path, good), {"rejects": rejects, **(also or {})}
+    )
+    cfg.metrics[name] = seen["rows"] - seen["rejects"]
+    cfg.metrics[f"{name}_rejected"] = seen["rejects"]
+    return sinks.side(read_staged(df.sparkSession, path), sinks.GOOD), seen
 
 
 def _table(df: DataFrame, name: str, cfg: BatchConfig, **layout) -> DataFrame:
@@ -124,10 +128,18 @@ def run_extract(cfg: BatchConfig, sources: Mapping[str, DataFrame]) -> dict[str,
         raise ValueError(f"videos lack {missing}")
 
     def land(name: str) -> DataFrame:
-        df = sources[name]
+        df, staged = sources[name], f"raw_{name}"
+        sums = frequent.of_videos() if name == "videos" else {}
         if readers.RAW_TEXT not in df.columns:
-            return _stage(df, f"raw_{name}", cfg)
-        return _routed(df, f"raw_{name}", cfg, F.col(readers.RAW_TEXT).isNull()).drop(*readers.CHECKS)
+            path = cfg.staged(staged)
+            seen = _counted(df, staged, cfg, path, lambda d: stage(d, path), sums)
+            out = read_staged(df.sparkSession, path)
+        else:
+            out, seen = _routed(df, staged, cfg, F.col(readers.RAW_TEXT).isNull(), sums)
+            out = out.drop(*readers.CHECKS)
+        for kind in sums:
+            _stage(frequent.table(df.sparkSession, kind, seen[kind]), f"frequent_{kind}", cfg)
+        return out
 
     return _together(
         sources["videos"].sparkSession, {n: lambda n=n: land(n) for n in SOURCES}
@@ -143,6 +155,11 @@ def staged_sources(spark: SparkSession, cfg: BatchConfig) -> dict[str, DataFrame
     }
 
 
+def frequent_keys(spark: SparkSession, cfg: BatchConfig) -> dict[str, DataFrame]:
+    """Frequent authors and names of music, as the extract noted them."""
+    return {kind: read_staged(spark, cfg.staged(f"frequent_{kind}")) for kind in frequent.NAMES}
+
+
 def unreadable_records(spark: SparkSession, cfg: BatchConfig, name: str) -> DataFrame:
     """Text, reason and file of the records of a checked source that could not be read."""
     return readers.unreadable(sinks.side(read_staged(spark, cfg.staged(f"raw_{name}")), sinks.REJECT))
@@ -181,7 +198,7 @@ def run_transform(cfg: BatchConfig, raw: Mapping[str, DataFrame]) -> dict[str, D
         small["creators"],
         tidy["comments"],
         small["taxonomy"],
-        enrich.author_names(raw["videos"]),
+        hot=frequent_keys(spark, cfg)["authors"],
     )
     final = _stage(final, "transformed_final", cfg)
 
@@ -244,15 +261,7 @@ def run_load(
         return _table(dimensions.hashtag_table(done["taxonomy"]), "dim_hashtag", cfg)
 
     def dim_creator() -> DataFrame:
-        old = scd2.empty_dimension(spark)
-        if cfg.previous:
-            path = f"{cfg.previous}/warehouse/dim_creator"
-            old = read_staged(spark, path, schemas.DIM_CREATOR)
-        versions = scd2.scd2(
-            old, done["creators"], cfg.as_of, cfg.change_threshold,
-            lambda d: _stage(d, "creator_versions", cfg),
-        )
-        return _table(versions, "dim_creator", cfg)
+        return _creator_history(cfg, done["creators"])
 
     dims = _together(
         spark,
@@ -266,7 +275,8 @@ def run_load(
     run = cfg.run_id or fact.run_id(cfg.loaded_at)
     keyed = fact.fact_table(
         final, dims["dim_creator"], dims["dim_music"], run, cfg.loaded_at,
-        lambda d: _routed(d, "fact_rows", cfg, F.expr(fact.FITS)).drop("misfits"),
+        lambda d: _routed(d, "fact_rows", cfg, F.expr(fact.FITS))[0].drop("misfits"),
+        frequent_keys(spark, cfg),
     )
     facts = _table(
         keyed, "fact", cfg, partition_by=("post_year", "post_month"), sort_by=("date_id",)
@@ -275,11 +285,53 @@ def run_load(
         spark, cfg.staged("bridge_hashtag"), "video_id string, hashtag_id string"
     )
     bridge = _table(fact.bridge_table(facts, pairs), "bridge", cfg)
-    tables = {**dims, "fact": facts, "bridge": bridge}
+    path = cfg.mart("daily_sums")
+    sums = reports.daily_sums(facts)
+    _counted(sums, "daily_sums", cfg, path, lambda d: sinks.write_table(d, path, partition_by=("post_year",)))
+    daily = read_staged(spark, path)
+    if cfg.kept:
+        sinks.write_run(daily, f"{cfg.kept}/daily_sums", run, partition_by=("post_year",))
+    tables = {**dims, "fact": facts, "bridge": bridge, "daily": daily}
     _check_load(cfg, tables)
     return tables
 
 
+def _creator_history(cfg: BatchConfig, creators: DataFrame) -> DataFrame:
+    """Load the profiles into the buckets of the history that they fall in; write those in which a
+    version was closed or opened."""
+    spark, folder = creators.sparkSession, cfg.table("dim_creator")
+    before = f"{cfg.previous}/warehouse/dim_creator" if cfg.previous else None
+    old, last = scd2.empty_dimension(spark), 0
+    if before:
+        names = scd2.incoming_versions(creators, cfg.as_of)
+        touched = history.numbers(names) if history.parted(spark, before) else None
+        old, last = history.read(spark, before, touched), history.last_key(spark, before)
+    versions = scd2.scd2(
+        old, creators, cfg.as_of, cfg.change_threshold,
+        lambda d: _stage(d, "creator_versions", cfg), last,
+    )
+    opened = F.col("creator_sk").isNull()
+    closed = (F.col("valid_to") == F.lit(cfg.as_of)) & ~F.col("is_current")
+    moved = read_staged(spark, cfg.staged("creator_versions")).where(opened | closed).groupBy(
+        history.bucket().alias("bucket")
+    ).agg(F.count_if(opened).alias("opened")).collect()  # a row a bucket
+    changed = {r["bucket"] for r in moved}
+    if before and not history.parted(spark, before):
+        changed = set(range(history.BUCKETS))
+    last += sum(r["opened"] for r in moved)
+
+    def written(rows: DataFrame) -> None:
+        history.write(rows, folder, before, changed, last, str(cfg.as_of))
+
+    if changed:
+        _counted(versions, "dim_creator", cfg, folder, written)
+    else:
+        written(versions)
+        cfg.metrics["dim_creator"] = 0
+        cfg.written.append(("dim_creator", folder))
+    return history.read(spark, folder)
+
+
 def load_references(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Values and rows of the loaded tables that lack their dimension row, by constraint."""
     checks = [
@@ -330,24 +382,32 @@ def refuse_back_dated(spark: SparkSession, cfg: BatchConfig) -> None:
     anything is written. A second load of one day goes on from the first."""
     if not cfg.previous:
         return
-    old = read_staged(spark, f"{cfg.previous}/warehouse/dim_creator", schemas.DIM_CREATOR)
-    newest = old.agg(F.max("valid_from")).first()[0]
-    if newest is not None and cfg.as_of < newest:
+    newest = history.newest(spark, f"{cfg.previous}/warehouse/dim_creator")
+    if newest is not None and str(cfg.as_of) < newest:
         raise ValueError(f"as_of {cfg.as_of} is before {newest}, the newest version in {cfg.previous}")
 
 
 def warehouse(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """The tables a run wrote."""
-    return {
+    """The tables a run wrote, with its daily sums if there are any."""
+    tables = {
         name: read_staged(spark, f"{out}/warehouse/{name}", ddl)
         for name, (_, ddl) in schemas.TABLES.items()
+        if name != "dim_creator"
     }
+    tables["dim_creator"] = history.read(spark, f"{out}/warehouse/dim_creator")
+    daily = f"{out}/marts/daily_sums"
+    return tables | ({"daily": read_staged(spark, daily)} if exists(spark, daily) else {})
+
+
+def kept_tables(spark: SparkSession, kept: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """A warehouse whose reports by date add up the daily sums of all runs in ``kept``."""
+    return {**tables, "daily": read_staged(spark, f"{kept}/daily_sums")}
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Temporary views under the tables' SQL names, for reports written in SQL."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(schemas.TABLES[name][0])
+        df.createOrReplaceTempView(schemas.TABLES.get(name, ("daily_sums",))[0])
 
 
 def run_reports(cfg: BatchConfig, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from vidmart.functions import labels
 from vidmart.functions.measures import exact_mean
+from vidmart.operators import marts
 from vidmart.operators.lookup import lookup
 
 # Report parameters.
@@ -69,12 +70,27 @@ def _avg_rate(name: str) -> Column:
     return _avg("rate", 4, 100).alias(name)
 
 
-def _by_date(fact: DataFrame, dim_date: DataFrame, measures: tuple, *keys) -> DataFrame:
+# Measures of the daily sums, see ``marts.daily_sums``.
+DAILY = ("play", "like", "rate", "tags")
+
+
+def daily_sums(fact: DataFrame) -> DataFrame:
+    return marts.daily_sums(fact, _sums(*DAILY))
+
+
+def _by_date(t: Tables, measures: tuple, *keys, year_from: int | None = None) -> DataFrame:
     """Sums per day and ``keys`` with the calendar attributes of the day; rows without a
     known date drop out. Days are few, so little is left to join.
+
+    Where the warehouse keeps daily sums by these keys, they are added up and the fact is not
+    read. The year is also tested on the partition column, so earlier partitions are never read.
     """
-    fact = fact.where(F.col("date_id").isNotNull())
-    return fact.groupBy("date_id", *keys).agg(*_sums(*measures)).join(dim_date, "date_id")
+    kept = "daily" in t and set(keys) <= set(marts.DAILY_KEYS) and set(measures) <= set(DAILY)
+    rows, days = t["daily"] if kept else t["fact"], t["dim_date"]
+    if year_from is not None:
+        rows, days = rows.where(F.col("post_year") >= year_from), days.where(F.col("year") >= year_from)
+    rows = rows.where(F.col("date_id").isNotNull()).groupBy("date_id", *keys)
+    return rows.agg(*(_resums(*measures) if kept else _sums(*measures))).join(days, "date_id")
 
 
 # Monthly engagement
@@ -95,7 +111,7 @@ def _monthly_measures() -> list[Column]:
 
 def monthly_engagement(t: Tables) -> DataFrame:
     keys = ["year", "month", "month_name"]
-    rows = _by_date(t["fact"], t["dim_date"], _MONTHLY).groupBy(*keys).agg(*_resums(*_MONTHLY))
+    rows = _by_date(t, _MONTHLY).groupBy(*keys).agg(*_resums(*_MONTHLY))
     return rows.select(*keys, *_monthly_measures()).orderBy("year", "month")
 
 
@@ -103,7 +119,7 @@ def engagement_rollup(t: Tables, keys: tuple[str, ...] = ("year", "month", "mont
     """Subtotals along ``keys``; ``grouping_level`` tells a subtotal from a NULL key. The
     roll-up multiplies daily sums, not fact rows.
     """
-    rows = _by_date(t["fact"], t["dim_date"], _MONTHLY).rollup(*keys)
+    rows = _by_date(t, _MONTHLY).rollup(*keys)
     rows = rows.agg(*_resums(*_MONTHLY), F.grouping_id().alias("grouping_level"))
     return rows.select(
         *keys, F.col("grouping_level").cast("bigint"), *_monthly_measures()
@@ -130,9 +146,7 @@ def viral_patterns(t: Tables) -> DataFrame:
     measures = ("play", "rate", "tags")
     bucket = labels.duration_bucket(F.col("video_duration_sec"), report=True)
     rows = t["fact"].withColumn("duration_bucket", bucket)
-    rows = _by_date(
-        rows, t["dim_date"], measures, "is_viral", "primary_category", "duration_bucket"
-    )
+    rows = _by_date({**t, "fact": rows}, measures, "is_viral", "primary_category", "duration_bucket")
     rows = rows.groupBy(*keys).agg(*_resums(*measures))
     return rows.select(
         *keys,
@@ -192,10 +206,14 @@ def _tiers(t: Tables, *more: str) -> DataFrame:
     keys = ["influencer_tier", *more]
     tier = labels.influencer_tier(F.col("follower_count"), numbered=True)
     rows = _by_creator(t, "play", "rate", "positive").withColumn("influencer_tier", tier)
-    rows = rows.groupBy(*keys).agg(
-        F.count_distinct("creator_nk").alias("creator_count"),
+    # A creator is in one bucket of a key, so the buckets' sets add up.
+    rows = rows.groupBy(*keys, F.bitmap_bucket_number("creator_sk").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("creator_sk")).alias("creators"),
         *_resums("play", "rate", "positive"),
     )
+    rows = rows.groupBy(*keys).agg(
+        F.sum(F.bitmap_count("creators")).alias("creator_count"), *_resums("play", "rate", "positive")
+    )
     return rows.select(
         *keys,
         "creator_count",
@@ -208,6 +226,24 @@ def _tiers(t: Tables, *more: str) -> DataFrame:
     )
 
 
+def creator_sets(t: Tables) -> DataFrame:
+    """Sets of creators by tier, niche, year and month of their posts, to be kept and merged."""
+    tier = labels.influencer_tier(F.col("follower_count"), numbered=True)
+    current = t["dim_creator"].where("is_current").select(
+        "creator_sk", tier.alias("influencer_tier"), "niche_category"
+    )
+    posts = t["fact"].where(F.col("creator_sk").isNotNull()).groupBy("creator_sk", "post_year", "post_month").agg(
+        F.count(F.lit(1)).alias("posts")
+    )
+    keys = ["influencer_tier", "niche_category", "post_year", "post_month"]
+    return marts.creator_bitmaps(posts.join(current, "creator_sk"), keys)
+
+
+def active_creators(sets: DataFrame, keys: tuple[str, ...] = ("influencer_tier", "post_year")) -> DataFrame:
+    """Different creators that posted, by any of the sets' keys, from the sets alone."""
+    return marts.merged_creators(sets, list(keys)).orderBy(*keys)
+
+
 def tier_paradox(t: Tables) -> DataFrame:
     return _tiers(t).orderBy("influencer_tier")
 
@@ -230,14 +266,12 @@ def tier_distribution(t: Tables) -> DataFrame:
     current = t["dim_creator"].where("is_current").select(
         F.col("creator_sk").alias("sk"), tier.alias("influencer_tier")
     )
-    tiered = lookup(
-        rated.select("video_sk", "creator_sk", "engagement_rate"),
-        current, {"creator_sk": "sk"}, ["video_sk"], "inner",
-    )
+    own = rated.groupBy("creator_sk", "engagement_rate").agg(F.count(F.lit(1)).alias("n"))
+    tiered = lookup(own, current, {"creator_sk": "sk"}, ["creator_sk", "engagement_rate"], "inner")
     # 1,000 rates share a bin, and DECIMAL(8,6) has at most 100,000 bins.
     values = (
         tiered.groupBy("influencer_tier", "engagement_rate")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("bin", F.floor(F.col("engagement_rate") * 1000).cast("int"))
     )
     tiers = values.groupBy("influencer_tier").agg(
@@ -295,14 +329,11 @@ def _quartile_rank(p: Decimal) -> Column:
 
 
 def _category_measures(t: Tables, min_year: int, keys: list[str]) -> DataFrame:
-    """The slice from ``min_year`` on. The year is also tested on the fact's own partition
-    column, so earlier partitions are never read.
-    """
+    """The slice from ``min_year`` on."""
     measures = ("play", "rate", "tags")
-    recent = t["fact"].where(F.col("post_year") >= min_year)
-    recent = recent.withColumn("is_brand_safe", F.col("primary_brand_safe") == 1)
-    years = t["dim_date"].where(F.col("year") >= min_year)
-    rows = _by_date(recent, years, measures, *keys).groupBy(*keys).agg(*_resums(*measures))
+    rows = _by_date(t, measures, "primary_category", "primary_brand_safe", year_from=min_year)
+    rows = rows.withColumn("is_brand_safe", F.col("primary_brand_safe") == 1)
+    rows = rows.groupBy(*keys).agg(*_resums(*measures))
     return rows.select(
         *keys,
         F.col("videos").alias("total_videos"),
@@ -369,7 +400,7 @@ def sentiment_viral_heatmap(t: Tables) -> DataFrame:
 def _posting(t: Tables, keys: list[str], own: tuple = ()) -> DataFrame:
     """By ``keys`` of the day and ``own`` columns of the fact."""
     keys = [*keys, *own]
-    rows = _by_date(t["fact"], t["dim_date"], ("play", "rate"), *own)
+    rows = _by_date(t, ("play", "rate"), *own)
     rows = rows.groupBy(*keys).agg(*_resums("play", "rate"))
     return rows.select(
         *keys,
@@ -412,7 +443,7 @@ def posting_heatmap(t: Tables) -> DataFrame:
 
 
 def holiday_comparison(t: Tables) -> DataFrame:
-    rows = _by_date(t["fact"], t["dim_date"], ("play", "rate"))
+    rows = _by_date(t, ("play", "rate"))
     kind = labels.holiday_kind(F.col("is_holiday"))
     rows = rows.groupBy(kind.alias("day_type")).agg(*_resums("play", "rate"))
     return rows.select(
