@@ -44,3 +44,20 @@ def test_pipeline_stages(spark, tmp_path):
             assert docs.columns == columns
         before = docs.count()
     assert docs.where("n_tokens <> size(ids)").count() == 0
+
+
+@pytest.mark.skipif(not glob.glob(f"{FOLDER}/documents.parquet"), reason="needs the given tables")
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_pipeline_stages_on_odd_and_empty_tables(spark, odd, none, stage):
+    """Each stage takes nulls, blank and very long texts, repeated rows and ids, clashing columns, and no rows."""
+    work = dict(corpus_pipeline.STAGES)[stage]
+    out = work(spark, odd, FOLDER)
+    got = [r["doc_id"] for r in out.select("doc_id").collect()]
+    assert set(got) <= {r["doc_id"] for r in odd.collect()} and len(got) <= odd.count()
+    if stage == "byte-level BPE":
+        assert len(got) == odd.count() and out.where("n_tokens = size(ids)").count() == len(got)
+    else:
+        assert out.columns == odd.columns
+    if stage == "benchmark decontamination":
+        assert len(got) == odd.count()
+    assert work(spark, none, FOLDER).count() == 0
