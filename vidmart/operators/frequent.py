@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vidmart.functions import text
-from vidmart.operators.lookup import HOT_KEYS
 
-TRACKED = 10 * HOT_KEYS  # items that a task keeps
+# Every task's summary passes through the driver, where they are merged one by one: some 200 KB
+# each, at most. A key beyond these holds about 1/KEYS of the rows or less, which AQE can split.
+KEYS = 1_000
+TRACKED = 4 * KEYS  # items that a task keeps
 MARK = "\x1f"  # between the parts of a key
 
 
@@ -23,7 +25,7 @@ def summary(*parts: Column) -> Column:
     whole = F.lit(True)
     for p in parts:
         whole = whole & p.isNotNull()
-    return F.call_function("approx_top_k", F.when(whole, key), F.lit(HOT_KEYS), F.lit(TRACKED))
+    return F.call_function("approx_top_k", F.when(whole, key), F.lit(KEYS), F.lit(TRACKED))
 
 
 def of_videos() -> dict[str, Column]:
@@ -40,7 +42,7 @@ NAMES = {"authors": ("authorMeta_name",), "music": ("_name", "_author")}
 
 
 def table(spark: SparkSession, kind: str, found: list[Row] | None) -> DataFrame:
-    """The keys as rows, at most HOT_KEYS."""
+    """The keys as rows, at most KEYS."""
     names = NAMES[kind]
     keys = [r["item"].split(MARK) for r in found or () if r["item"] is not None]
     rows = [tuple(k) for k in keys if len(k) == len(names)]  # a name that holds the mark is not split by
