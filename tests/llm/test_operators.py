@@ -125,7 +125,9 @@ def test_top_k_equals_brute_force(spark):
     q = np.floor(x * 1024).astype(np.int64)
     for i in range(0, 400, 20):
         s = q @ q[i]
-        want = [(j, s[j]) for j in np.lexsort((np.arange(400), -s)) if j != i][:10]
+        ids = np.append(np.arange(400), 3)  # id 3 has two rows, both of them candidates
+        s = np.append(s, s[3])
+        want = [(ids[j], s[j]) for j in np.lexsort((ids, -s)) if ids[j] != i][:10]
         assert got[i] == want
     assert sorted(got) == list(range(0, 400, 20))
     assert topk.top_k(table.where("false"), F.col("vec_id") % 20 == 0).count() == 0
@@ -133,6 +135,43 @@ def test_top_k_equals_brute_force(spark):
     assert len(few) == 2
 
 
+def plain_top_k(rows, is_query, k):
+    """By definition: each row with every other, ties to the smaller id."""
+    out = []
+    for a, (i, v) in enumerate(rows):
+        if is_query(i):
+            s = sorted((-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(rows) if a != b)
+            out += [(i, rank + 1, j, -minus) for rank, (minus, j) in enumerate(s[:k])]
+    return sorted(out)
+
+
+def test_top_k_in_many_bands_and_rounds(spark):
+    """Bounds go from round to round; spread lengths let them rule out nearly all scores."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((3000, 8)) * np.exp(rng.standard_normal((3000, 1)) * 1.5)
+    x[1000:1700] = x[1000]  # a crowd of one length is cut into parts
+    ints = [(i, np.floor(v * 1024).astype(np.int64).tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    count = spark.sparkContext.accumulator(0)
+    got = topk.top_k(table, F.col("vec_id") % 100 == 0, 10, block=64, worked_out=count).collect()
+    assert sorted(map(tuple, got)) == plain_top_k(ints, lambda i: i % 100 == 0, 10)
+    assert count.value < 0.1 * 30 * 3000
+    assert topk._rounds({0: 1, 1: 1, 2: 6, 3: 100}) == [[0, 1], [2, 3]]
+
+
+def test_top_k_of_odd_rows(spark):
+    """Rows that repeat an id, vectors of other lengths and without components, clashing columns."""
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [3.0]), (2, []), (2, [-1.0, 0.5, 4.0]), (100, [0.5, 0.5, 0.5, 0.5]), (100, [])]
+    frame = spark.createDataFrame(
+        [(i, v, 7, "x", 0.5) for i, v in rows], "vec_id long, embedding array<double>, row int, band string, norm double"
+    )
+    ints = [(i, [int(x * 1024) for x in v]) for i, v in rows]
+    got = topk.top_k(frame, F.col("vec_id") % 100 == 0, 10).collect()
+    assert sorted(map(tuple, got)) == plain_top_k(ints, lambda i: i % 100 == 0, 10)
+    hollow = spark.createDataFrame([(0, []), (5, [])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(hollow, F.col("vec_id") == 0).collect()] == [(0, 1, 5, 0)]
+
+
 # lines
 
 

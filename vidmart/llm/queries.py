@@ -92,16 +92,15 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  SELECT row_number() OVER () AS own, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id
-), i AS (SELECT vec_id, list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS e FROM v),
+), i AS MATERIALIZED (SELECT own, vec_id, list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS e FROM v),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
-    list_sum(list_transform(list_zip(q.e, c.e), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0)))::BIGINT AS score
-  FROM i q JOIN i c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
-), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+  SELECT q.own, q.vec_id AS query_id, c.vec_id, coalesce(
+    list_sum(list_transform(list_zip(q.e, c.e), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::BIGINT AS score
+  FROM i q JOIN i c ON q.own <> c.own WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 

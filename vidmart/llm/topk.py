@@ -1,12 +1,13 @@
 """Exact top-k inner products over integer vectors.
 
 Vectors are rotated so that the first coordinates carry most of their length (the eigenvectors
-of the sum of x x', i.e. the right singular vectors of the table) and dealt to blocks by length.
-A query meets the blocks in descending order of length. Its k-th best score so far bounds what
-is left twice: a block whose longest vector times the query's length is lower is never sent the
-query, and inside a block the partial sum over the first coordinates plus the product of both
-remainders' lengths (Cauchy-Schwarz) has to reach it before a score is worked out. Scores are
-exact integers. The first bound comes from a fixed number of the longest vectors.
+of the sum of x x', i.e. the right singular vectors of the table) and dealt to bands by length,
+bands to blocks by a hash of the row. Bands are met in rounds, the longest vectors first: a small share
+of the table, then ever larger ones. After each round a query's k-th best score of all rounds so far is
+written with it, and bounds what is left twice: a band whose longest vector times the query's
+length is lower is never sent the query, and inside a block the partial sum over the first
+coordinates plus the product of both remainders' lengths (Cauchy-Schwarz) has to reach it before a
+score is worked out. Scores are exact integers.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from vidmart.llm.tables import cut
 
 SCALE = 1024
 BLOCK = 4096  # vectors, about, in a block of either side
-LONGEST = 1024  # vectors that give the first bound; they are broadcast
+ROUNDS = (1 / 64, 1 / 8)  # of the table, longest first, met by the end of each round but the last
 BANDS = 2048  # classes of length at most
 CHUNK = 512  # vectors scored between two updates of the bound
 SLACK = 1e-9  # relative error allowed for in float bounds
@@ -30,16 +32,14 @@ SLACK = 1e-9  # relative error allowed for in float bounds
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id and floor(scale * component) as longs, where every component is finite.
 
-    Rows without an id, a vector or components, or with a null, NaN or infinite one, are left
-    out. Of rows with one vec_id the smallest vector counts.
+    Rows without an id or a vector, or with a null, NaN or infinite component, are left out. Rows
+    that repeat an id stay rows of their own; a vector without components is all zeros.
     """
     x = F.col("embedding").cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     return (
         vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), x.alias("embedding"))
-        .where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~bad)
-        .groupBy("vec_id")
-        .agg(F.min("embedding").alias("embedding"))
+        .where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad)
         .select("vec_id", F.transform("embedding", lambda v: F.floor(v * scale)).alias("v"))
     )
 
@@ -97,81 +97,69 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return q @ x.T
 
 
-def _bests(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k highest scores, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
-
-
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = SCALE) -> DataFrame:
+def top_k(
+    vectors: DataFrame, is_query: Column, k: int = 10, scale: int = SCALE, block: int = BLOCK,
+    worked_out: Accumulator | None = None,
+) -> DataFrame:
     """For every row with ``is_query`` its k highest inner products with the other rows.
 
     query_id, rank from 1, vec_id, score; ties go to the smaller vec_id; a query with fewer than
-    k others gets all of them. Vectors of different lengths are filled up with zeros. An empty
-    table gives no rows. Products must fit in 64 bits.
+    k others gets all of them. Rows that repeat an id are candidates, and queries, of their own.
+    Vectors of different lengths are filled up with zeros. An empty table gives no rows. Products must
+    fit in 64 bits. ``block`` is how many vectors a task holds of either side, about; to ``worked_out``
+    the number of scores that no bound ruled out is added.
     """
     spark = vectors.sparkSession
     ints = cut(integers(vectors, scale), "topk-integers")
     facts = ints.agg(F.max(F.size("v")).alias("dim"), F.count(F.lit(1)).alias("n")).first()
-    out = "query_id bigint, vec_id bigint, score bigint"
+    out = "query bigint, query_id bigint, row bigint, vec_id bigint, score bigint"
     if not facts["n"]:
         return _ranked(spark.createDataFrame([], out), k)
-    dim, n = facts["dim"], facts["n"]
-    rows = cut(packed(ints, dim), "topk-vectors")
+    dim, n = max(1, facts["dim"]), facts["n"]
+    # numbered once and written, so the numbers hold whatever is run again
+    rows = cut(packed(ints, dim).withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
     turn = rotation(rows, dim)
     head = max(1, dim // 4)
 
-    bands = max(1, min(BANDS, n // BLOCK))
+    many = max(1, min(BANDS, n // block))
     edges = rows.agg(
-        F.percentile_approx("norm", [i / bands for i in range(1, bands)] or [0.5], 100 * bands).alias("e")
+        F.percentile_approx("norm", [i / many for i in range(1, many)] or [0.5], 100 * many).alias("e")
     ).first()["e"]
-    edges = sorted(set(edges), reverse=True) if bands > 1 else []
-    # band 0 holds the longest vectors; a crowd of equal lengths is cut by a hash of the id
-    band = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e > F.col("norm")))
-    counts = rows.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("most")).collect()
-    most = {c["band"]: c["most"] for c in counts}
-    parts = {c["band"]: -(-c["n"] // BLOCK) for c in counts}
-
-    first = rows.orderBy(F.desc("norm"), "vec_id").limit(LONGEST).select("vec_id", "vec").collect()
-    lead_ids = np.array([r["vec_id"] for r in first])
-    lead = np.frombuffer(b"".join(r["vec"] for r in first), np.int64).reshape(-1, dim)
-    shared = spark.sparkContext.broadcast((lead_ids, lead, turn, most, parts))
-
-    queries = rows.where(is_query)
-    n_queries = queries.count()
-    groups = max(1, -(-n_queries // BLOCK))
-
-    def routed(batches):
-        """Each query with its bound, once for every block it has to meet."""
-        lead_ids, lead, _, most, parts = shared.value
+    edges = np.array(sorted(set(edges)) if many > 1 else [])
+    shared = spark.sparkContext.broadcast((turn, edges))
+
+    def banded(batches):
+        """Band 0 holds the longest vectors."""
+        edges = shared.value[1]
         for b in batches:
-            ids = b.column(0).to_numpy()
-            q = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64).reshape(-1, dim)
-            norm = b.column(2).to_numpy()
-            s = _scores(q, lead).astype(np.float64)
-            s[ids[:, None] == lead_ids] = -np.inf
-            bound = np.full(len(ids), -np.inf)
-            if s.shape[1] >= k:
-                bound = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-            for c, longest in most.items():
-                meets = np.flatnonzero(norm * longest * (1 + SLACK) + SLACK >= bound)
-                for p in range(parts[c]):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(meets), c)), pa.array(np.full(len(meets), p)),
-                            pa.array(ids[meets]), b.column(1).take(pa.array(meets)), pa.array(bound[meets]),
-                        ],
-                        names=["band", "part", "query_id", "vec", "bound"],
-                    )
+            band = len(edges) - np.searchsorted(edges, b.column(2).to_numpy(), side="right")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(band.astype(np.int64))], names=[*b.schema.names, "band"])
+
+    layout = "vec_id bigint, vec binary, norm double, row bigint"
+    rows = rows.mapInArrow(banded, f"{layout}, band bigint")
+    counts = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("most")).orderBy("band").collect()
+    # a crowd of equal lengths is one band, cut into parts by a hash of the row
+    parts = {c["band"]: -(-c["n"] // block) for c in counts}
+    sizes = spark.createDataFrame(list(parts.items()), "band bigint, parts bigint")  # BANDS rows at most
+    queries = cut(rows.where(is_query).select("row", "vec_id", "vec", "norm"), "topk-queries")
+    groups = max(1, -(-queries.count() // block))
+    blocks = rows.join(F.broadcast(sizes), "band").select(
+        "band",
+        F.pmod(F.xxhash64("row"), "parts").alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group"),
+        "row", "vec_id", "vec", "norm",
+    )
 
     def meet(_, xs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        turn = shared.value[2]
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        turn = shared.value[0]
+        names = ["query", "query_id", "row", "vec_id", "score"]
+        empty = pd.DataFrame({name: [] for name in names}, dtype="int64")
         if xs.empty or qs.empty:
             return empty
-        xs = xs.sort_values(["norm", "vec_id"], ascending=[False, True])
+        xs = xs.sort_values(["norm", "row"], ascending=[False, True])
         x = np.frombuffer(b"".join(xs["vec"]), np.int64).reshape(-1, dim)
         q = np.frombuffer(b"".join(qs["vec"]), np.int64).reshape(-1, dim)
-        x_ids, q_ids, bound = xs["vec_id"].to_numpy(), qs["query_id"].to_numpy(), qs["bound"].to_numpy().copy()
+        x_rows, q_rows, bound = xs["row"].to_numpy(), qs["query"].to_numpy(), qs["bound"].to_numpy().copy()
         xr, qr = x @ turn, q @ turn
         x_rest = np.sqrt((xr[:, head:] ** 2).sum(1))
         q_rest = np.sqrt((qr[:, head:] ** 2).sum(1))
@@ -181,10 +169,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = SCALE)
         for start in range(0, len(x), CHUNK):
             part = slice(start, start + CHUNK)
             most = qr[:, :head] @ xr[part, :head].T + q_rest[:, None] * x_rest[part] + slack[:, None]
-            open_ = (most >= bound[:, None]) & (q_ids[:, None] != x_ids[part])
+            open_ = (most >= bound[:, None]) & (q_rows[:, None] != x_rows[part])
             rows_, cols = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
             if not len(rows_):
                 continue
+            if worked_out is not None:
+                worked_out.add(int(open_.sum()))
             s = _scores(q[rows_], x[part][cols])
             use = open_[np.ix_(rows_, cols)] & (s >= bound[rows_, None])
             i, j = np.nonzero(use)
@@ -196,30 +186,68 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = SCALE)
             bound = np.maximum(bound, best.min(1))
         if not at:
             return empty
-        found = pd.DataFrame(
-            {"query_id": q_ids[np.concatenate(at)], "vec_id": x_ids[np.concatenate(to)], "score": np.concatenate(scores)}
+        at, to = np.concatenate(at), np.concatenate(to)
+        columns = [q_rows[at], qs["query_id"].to_numpy()[at], x_rows[to], xs["vec_id"].to_numpy()[to], np.concatenate(scores)]
+        found = pd.DataFrame(dict(zip(names, columns, strict=True)))
+        found = found.sort_values(["query", "score", "vec_id", "row"], ascending=[True, False, True, True])
+        return found.groupby("query").head(k)
+
+    found, keys = None, ["band", "part", "group"]
+    for bands in _rounds({c["band"]: c["n"] for c in counts}):
+        most = {c["band"]: c["most"] for c in counts if c["band"] in bands}
+        bounded = queries.withColumn("bound", F.lit(float("-inf")))
+        if found is not None:
+            reached = found.groupBy("query").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("found"))
+            reached = reached.where(F.col("found") >= k).select(F.col("query").alias("row"), "least")
+            least = F.coalesce(F.col("least").cast("double"), F.lit(float("-inf")))
+            bounded = queries.join(reached, "row", "left").withColumn("bound", least).drop("least")
+
+        def routed(batches, most=most):
+            """Each query with its bound, once for every block of this round that it has to meet."""
+            for b in batches:
+                norm, bound = b.column(2).to_numpy(), b.column(4).to_numpy()
+                for band, longest in most.items():
+                    meets = pa.array(np.flatnonzero(norm * longest * (1 + SLACK) + SLACK >= bound))
+                    for p in range(parts[band]):
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(meets), band)), pa.array(np.full(len(meets), p)),
+                                *[b.column(c).take(meets) for c in (0, 1, 3, 4)],
+                            ],
+                            names=["band", "part", "query_id", "vec", "query", "bound"],
+                        )
+
+        sent = (
+            bounded.select("vec_id", "vec", "norm", "row", "bound")
+            .mapInArrow(routed, "band bigint, part bigint, query_id bigint, vec binary, query bigint, bound double")
+            .withColumn("group", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("bigint"))
         )
-        found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        return found.groupby("query_id").head(k)
-
-    sent = queries.mapInArrow(routed, "band bigint, part bigint, query_id bigint, vec binary, bound double")
-    size = F.lit(1)
-    for c, p in parts.items():
-        size = F.when(band == c, F.lit(p)).otherwise(size) if p > 1 else size
-    blocks = rows.select(
-        band.cast("bigint").alias("band"),
-        F.pmod(F.xxhash64("vec_id"), size).cast("bigint").alias("part"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group"),
-        "vec_id", "vec", "norm",
-    )
-    sent = sent.withColumn("group", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("bigint"))
-    keys = ["band", "part", "group"]
-    found = blocks.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(meet, out)
+        own = blocks.where(F.col("band").between(min(bands), max(bands)))
+        new = own.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(meet, out)
+        found = cut(_best(new if found is None else found.unionByName(new), k), "topk-found")
     return _ranked(found, k)
 
 
+def _rounds(counts: dict[int, int]) -> list[list[int]]:
+    """Bands in descending order of length, in rounds that end at the shares of ROUNDS."""
+    total, done, out = sum(counts.values()), 0, [[]]
+    left = list(ROUNDS)
+    for band in sorted(counts):
+        out[-1].append(band)
+        done += counts[band]
+        if left and done >= left[0] * total:
+            left = [share for share in left if share * total > done]
+            out.append([])
+    return [bands for bands in out if bands]
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
