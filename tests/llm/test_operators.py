@@ -256,6 +256,26 @@ def test_line_dedup_over_blank_lines(spark):
     assert got == kept_over_blank(docs, 6)
 
 
+def test_ranks_of_one_line_with_many_successors(spark):
+    """The ranks by two lines do not depend on how the successors of a line are dealt to ranges."""
+    rng = random.Random(12)
+    places = []
+    for text in range(150):  # line 0, then one of 40 lines, then line 0 again
+        places += [(text, 0, 0, 0), (text, 0, 1, 1000 + rng.randrange(40) * 7), (text, 0, 2, 0)]
+    frame = spark.createDataFrame(places, "did long, k long, pos int, r long")
+    after = {(t, p): r for t, _, p, r in places}
+    pairs = {(t, p): (r, after[t, p + 1]) for (t, p), r in after.items() if (t, p + 1) in after}
+    order = sorted(pairs.values())
+    want = {}
+    for place, pair in pairs.items():
+        if order.count(pair) > 1:
+            mine = [q for q in order if q[0] == pair[0]]
+            want[place] = pair[0] + mine.index(pair)
+    for beyond in (0, 3, 6, 40):
+        got = linededup.doubled(frame, 1, beyond).collect()
+        assert {(r["did"], r["pos"]): r["r"] for r in got} == want
+
+
 def test_op7_removes_a_passage_of_paragraphs(spark, tmp_path):
     rows = [[" ".join(f"p{k}w{i}" for i in range(30)), ""] for k in range(3)]
     passage = "\n".join(x for row in rows for x in row)  # 90 words, none of its lines has 50

@@ -11,7 +11,9 @@ was seen before. Runs that are no part of a longer one and have enough words are
 
 Every round counts ranks before it shuffles them, sums over counted rows instead of sorting
 a class, and ends in a written table. A line that a third of all texts hold has as many counted
-rows as it has different successors, whatever the number of its copies.
+rows as it has different successors, whatever the number of its copies; these are dealt to
+ranges of their own ranks, each summed apart, and the ranges' totals are summed by line, so that neither
+sum takes more rows than about the square root of the number of places.
 """
 
 from __future__ import annotations
@@ -88,19 +90,26 @@ def _ahead(rows: DataFrame, other: DataFrame, by, names: dict[str, str]) -> Data
     return rows.join(there, on, "left").drop("did2", "k2", "pos2")
 
 
-def doubled(rows: DataFrame, h: int) -> DataFrame:
+def doubled(rows: DataFrame, h: int, beyond: int = 0) -> DataFrame:
     """Ranks by 2h lines of the places in ``rows``, which have ranks r by h lines; places alone
-    in their class are left out."""
+    in their class are left out. Ranks that agree but for the last ``beyond`` bits are summed in one task."""
     pairs = cut(
         _ahead(rows.select(*PLACE, "r"), rows, F.lit(h), {"r": "r2"}).where("r2 is not null"),
         f"lines-pairs-{h}",
     )
     counted = pairs.groupBy("r", "r2").agg(F.count(F.lit(1)).alias("n"))
-    lower = Window.partitionBy("r").orderBy("r2").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("range", F.shiftright("r2", beyond))
+    inside = Window.partitionBy("r", "range").orderBy("r2").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("r").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        counted.groupBy("r", "range").agg(F.sum("n").alias("n"))
+        .select("r", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    )
     ranks = (
-        counted.withColumn("lower", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+        counted.withColumn("lower", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .where("n > 1")
-        .select("r", "r2", (F.col("r") + F.col("lower")).alias("rank"))
+        .join(starts, ["r", "range"])
+        .select("r", "r2", (F.col("r") + F.col("start") + F.col("lower")).alias("rank"))
     )
     return pairs.join(ranks, ["r", "r2"]).select(*PLACE, F.col("rank").alias("r"))
 
@@ -114,9 +123,11 @@ def seen_before(first: DataFrame) -> DataFrame:
     if the first of those is not itself, and stays where it is if it is.
     """
     depths = [first]
+    top = first.agg(F.max("r")).first()[0] or 0
+    beyond = int(top).bit_length() // 2  # as many ranges as there are ranks in one
     while depths[-1].take(1):
         h = 1 << (len(depths) - 1)
-        depths.append(cut(doubled(depths[-1], h), f"lines-rank-{2 * h}"))
+        depths.append(cut(doubled(depths[-1], h, beyond), f"lines-rank-{2 * h}"))
     zero = F.lit(0).cast("bigint")
     state = first.select(*PLACE, F.lit(True).alias("seek"), F.lit(0).alias("length"), zero.alias("i"), zero.alias("j"))
     here, place = ["length", "i", "j"], F.struct(*PLACE)
