@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vidmart.functions import labels
 from vidmart.functions.measures import exact_mean
 from vidmart.operators import marts
+from vidmart.operators.keys import Cut, no_cut
 from vidmart.operators.lookup import lookup
 
 # Report parameters.
@@ -254,12 +255,13 @@ def tier_paradox_by_niche(t: Tables) -> DataFrame:
     )
 
 
-def tier_distribution(t: Tables) -> DataFrame:
+def tier_distribution(t: Tables, cut: Cut = no_cut) -> DataFrame:
     """Box-plot numbers of the engagement rate per tier: exact, interpolated quartiles.
 
     Rates have six decimals, so videos collapse into a count per (tier, rate). The wanted
     ranks are then found in two steps that never line up a whole tier in one task: running
-    counts over coarse bins pick the bin of each rank, and only those bins are opened.
+    counts over coarse bins pick the bin of each rank, and only those bins are opened. All three
+    steps read the counts; a ``cut`` may write them, so that the fact is read and counted once.
     """
     rated = t["fact"].dropna(subset=["creator_sk", "engagement_rate"])
     tier = labels.influencer_tier(F.col("follower_count"), numbered=True)
@@ -274,6 +276,7 @@ def tier_distribution(t: Tables) -> DataFrame:
         .agg(F.sum("n").alias("n"))
         .withColumn("bin", F.floor(F.col("engagement_rate") * 1000).cast("int"))
     )
+    values = cut(values)
     tiers = values.groupBy("influencer_tier").agg(
         F.sum("n").alias("videos"),
         F.min("engagement_rate").cast("double").alias("min_rate"),

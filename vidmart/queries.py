@@ -22,7 +22,7 @@ from vidmart.operators import (
 from vidmart.plans import batch, reports
 from vidmart.session import pin_utc
 from vidmart.sources import readers, sinks
-from vidmart.sources.staging import new_folder, read_optional, read_staged
+from vidmart.sources.staging import new_folder, read_optional, read_staged, stage
 
 LOADED_AT = datetime(2001, 8, 2, 19, 0, 0)
 
@@ -91,6 +91,14 @@ def _report(report: Callable, **kw) -> Query:
     return lambda s, d: report(batch.warehouse(s, run(s, d).out), **kw)
 
 
+def olap8_tier_distribution(s: SparkSession, d: str) -> DataFrame:
+    """The counted rates are written once, for the three steps that read them."""
+    def cut(counted: DataFrame) -> DataFrame:
+        return stage(counted, new_folder(s, "rate-counts"))
+
+    return reports.tier_distribution(batch.warehouse(s, run(s, d).out), cut)
+
+
 # Sources
 
 
@@ -670,7 +678,7 @@ QUERIES: dict[str, Query] = {
     "olap7_top_music_detail": _report(reports.top_viral_music_detail),
     "olap8_tier": _report(reports.tier_paradox),
     "olap8_tier_niche": _report(reports.tier_paradox_by_niche),
-    "olap8_tier_distribution": _report(reports.tier_distribution),
+    "olap8_tier_distribution": olap8_tier_distribution,
 }
 
 
