@@ -91,6 +91,14 @@ def test_comments(spark):
     assert rows(clean.comments(df).select("comment_text")) == [("its ok!",)]
 
 
+def test_taxonomy_keeps_entries_that_break_a_rule(spark):
+    """Only the entries to be loaded are held against the declared rules."""
+    odd = {"hashtag_id": "HT2", "hashtag": "Odd", "search_volume_tier": "huge"}
+    df = taxonomy(spark, {}, odd, {**odd, "hashtag_id": "HT3", "search_volume_tier": "low"})
+    assert rows(clean.taxonomy(df).select("hashtag", "hashtag_id")) == [("fun", "HT1"), ("odd", "HT2")]
+    assert rows(clean.valid_taxonomy(df).select("hashtag", "hashtag_id")) == [("fun", "HT1"), ("odd", "HT3")]
+
+
 def test_taxonomy(spark):
     df = taxonomy(spark, {"hashtag_id": "HT2", "hashtag": " FUN "}, {"hashtag_id": "HT1"})
     assert rows(clean.taxonomy(df).select("hashtag", "hashtag_id")) == [("fun", "HT1")]
