@@ -23,3 +23,10 @@ def test_tag_categories_know_every_entry(spark):
     seen = {r.hashtag_id for r in found.select("hashtag_id").distinct().collect()}
     valid = {r.hashtag_id for r in REGISTERED["dim_hashtag"](spark, SF_DIR).collect()}
     assert valid < seen <= every_id(spark)
+
+
+def test_bridge_pairs_know_every_entry(spark):
+    pairs = REGISTERED["bridge_pairs"](spark, SF_DIR)
+    seen = {r.hashtag_id for r in pairs.select("hashtag_id").distinct().collect()}
+    valid = {r.hashtag_id for r in REGISTERED["dim_hashtag"](spark, SF_DIR).collect()}
+    assert valid < seen <= every_id(spark)
