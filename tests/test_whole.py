@@ -30,3 +30,8 @@ def test_bridge_pairs_know_every_entry(spark):
     seen = {r.hashtag_id for r in pairs.select("hashtag_id").distinct().collect()}
     valid = {r.hashtag_id for r in REGISTERED["dim_hashtag"](spark, SF_DIR).collect()}
     assert valid < seen <= every_id(spark)
+
+
+def test_brand_safety_usage_counts_every_entry(spark):
+    counted = REGISTERED["brand_safety_usage"](spark, SF_DIR).agg({"hashtags": "sum"}).first()[0]
+    assert counted == len(every_id(spark))
