@@ -3,8 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from vidmart import proxies, queries
+from frames import videos
+from vidmart import proxies, queries, session
+from vidmart.operators import dimensions
+from vidmart.sources.staging import stage
 
 SF_DIR = "/root/testdata/sf0.001"
 REGISTERED = queries.registered()
@@ -19,3 +23,50 @@ def test_json_lines_are_compressed_and_bounded(spark, monkeypatch):
     assert all(f.endswith(".json.gz") for f in files)
     assert len(files) >= 6000 / 500
     assert df.exceptAll(queries.plain(proxies.videos(spark, SF_DIR))).isEmpty() and df.count() == 6000
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_staged_files_can_be_read_in_bounded_pieces(spark, tmp_path):
+    """One file of 32 MB that nothing compresses: a task reads a part of it, not the file."""
+    old = spark.conf.get(session.SPLIT)
+    noise = F.xxhash64("id").alias("noise")
+    staged = stage(spark.range(4_000_000, numPartitions=1).select(noise), str(tmp_path / "noise"))
+    assert len(staged.inputFiles()) == 1 and staged.inputFiles()[0].endswith(".zstd.parquet")
+    try:
+        spark.conf.set(session.SPLIT, "128m")
+        session.bound_splits(spark)
+        assert int(spark.conf.get(session.SPLIT)) == session.SPLIT_BYTES
+        pieces = staged.groupBy(F.spark_partition_id()).count().collect()
+        assert len(pieces) > 1 and max(r["count"] for r in pieces) * 8 <= 1.5 * session.SPLIT_BYTES
+        spark.conf.set(session.SPLIT, "1m")
+        session.bound_splits(spark)
+        assert spark.conf.get(session.SPLIT) == "1m"
+    finally:
+        spark.conf.set(session.SPLIT, old)
+
+
+def test_music_is_grouped_by_hashing(spark):
+    """The aggregate next to the posts needs no sort: it has no maximum of a text."""
+    posts = videos(
+        spark, {"musicMeta_musicAuthor": None}, {"musicMeta_musicAuthor": ""}, {"musicMeta_musicOriginal": None}
+    )
+    music = dimensions.music_table(posts.repartition(2))
+    lines = [x for x in music._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in x]
+    assert any("HashAggregate(keys=[musicMeta_musicName" in x and "partial_max(musicMeta_musicOriginal" in x for x in lines)
+    got = {(r.music_name, r.music_author, r.is_original) for r in music.collect()}
+    assert got == {("song", "", True), ("song", "band", False)}
+
+
+@with_tables
+def test_line_items_are_not_shuffled_for_customers(spark):
+    """Customers meet their orders, fewer rows than line items, before they meet anything else."""
+    lines = plan(proxies.videos(spark, SF_DIR)).splitlines()
+    joins = [i for i, x in enumerate(lines) if "Join Inner" in x]
+    customers = next(i for i in joins if "o_custkey" in lines[i])
+    below = lines[customers + 1 :]
+    inner = len(lines[customers]) - len(lines[customers].lstrip(" +-:"))
+    own = [x for x in below if len(x) - len(x.lstrip(" +-:")) > inner]
+    assert own and not any("l_orderkey" in x for x in own)
