@@ -88,8 +88,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """64-bit hash of each span of bytes, with A-Z folded."""
     power, inverse = _powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((folding()[data].astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    sums = np.zeros(len(data) + 1, np.uint64)  # worked out in place: every array has 8 bytes for one of the text
+    sums[1:] = folding()[data]
+    sums[1:] += np.uint64(1)
+    sums[1:] *= power[: len(data)]
+    np.cumsum(sums[1:], out=sums[1:])
     return mix((sums[stops] - sums[starts]) * inverse[starts])
 
 

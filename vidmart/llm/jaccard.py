@@ -35,7 +35,7 @@ from vidmart.llm.tables import cut, width
 
 WORDS = 5
 THRESHOLD = 75  # per cent
-SLICE = 4 << 20  # bytes of text packed together
+SLICE = 2 << 20  # bytes of text packed together; a task's arrays take some 30 times that
 BEFORE = 16  # earlier lists that a posting remembers; a pair met at one of them is not met again
 PACKED = "bucket bigint, batch bigint, sizes binary, tokens binary, many binary, docs binary"
 
@@ -228,9 +228,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return compared(pairs, sets).where("linked").select("u", "v")
 
 
-def _labelled(lists: DataFrame, found: DataFrame) -> DataFrame:
+def _joined_up(label: DataFrame | None, more: DataFrame, name: str) -> DataFrame:
+    """Components by node of the links ``more`` and of those that gave ``label``, whose stars stand for
+    them; ``label`` itself if there are no more."""
+    if label is not None:
+        if more.isEmpty():
+            return label
+        more = more.select("u", "v").unionByName(label.select(F.col("node").alias("u"), F.col("least").alias("v")))
+    return cut(components(more), name)
+
+
+def _labelled(lists: DataFrame, label: DataFrame) -> DataFrame:
     """Postings with their component so far, of lists that still hold several."""
-    label = components(found)
     rows = (
         lists.join(label.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("comp", F.coalesce("least", "rep")).drop("least")
@@ -298,15 +307,15 @@ def _all_left(lists: DataFrame, heads: DataFrame) -> DataFrame:
     return pairs.join(u, "u").join(v, "v").where(votes >= F.least("u_k", "v_k")).select("u", "v")
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """Links (u, v) between sets that leave no two linked sets in different components."""
+def linked(sets: DataFrame) -> DataFrame:
+    """node and least of every set that has a link, the least set that its links reach."""
     lists = postings(sets)
     heads = cut(compared(_against_one(lists.withColumn("comp", F.col("rep")), F.col("o"), "least"), sets), "join-links-1")
-    found = heads.where("linked").select("u", "v")
-    more = _against_one(_labelled(lists, found), F.xxhash64("rep", "tok"), "hash")
-    found = found.unionByName(cut(verified(more, sets), "join-links-2"))
-    rest = cut(_all_left(_labelled(lists, found), heads), "join-rest")
-    return found.unionByName(cut(verified(rest, sets), "join-links-3"))
+    label = _joined_up(None, heads.where("linked"), "join-components-1")
+    more = _against_one(_labelled(lists, label), F.xxhash64("rep", "tok"), "hash")
+    label = _joined_up(label, cut(verified(more, sets), "join-links-2"), "join-components-2")
+    rest = cut(_all_left(_labelled(lists, label), heads), "join-rest")
+    return _joined_up(label, cut(verified(rest, sets), "join-links-3"), "join-components-3")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -319,15 +328,15 @@ def grouped(docs: DataFrame) -> DataFrame:
     classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()), "join-classes")
     chosen = classes.where(F.col("common") * 100 >= F.col("n") * THRESHOLD)
     sets = token_sets(docs, chosen.select("rep", "first.*", "n", "d1", "d2"))
-    label = cut(components(links(sets)), "join-components")
+    label = linked(sets)
     known = cut(
         classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", "first", "least"),
         "join-labels",
     )
-    linked = known.where("least is not null")
-    least = linked.groupBy("least").agg(F.min("first").alias("of_all"))
-    linked = linked.drop("first").join(least, "least").select("n", "d1", "d2", F.col("of_all").alias("first"))
-    known = known.where("least is null").select("n", "d1", "d2", "first").unionByName(linked)
+    met = known.where("least is not null")
+    least = met.groupBy("least").agg(F.min("first").alias("of_all"))
+    met = met.drop("first").join(least, "least").select("n", "d1", "d2", F.col("of_all").alias("first"))
+    known = known.where("least is null").select("n", "d1", "d2", "first").unionByName(met)
     own = F.struct("doc_id", "h")
     return docs_.join(known, ["n", "d1", "d2"], "left").select("doc_id", "h", "n", F.coalesce("first", own).alias("first"))
 
