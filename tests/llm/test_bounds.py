@@ -4,7 +4,7 @@ import tracemalloc
 
 import numpy as np
 
-from vidmart.llm import bytewords, components, jaccard
+from vidmart.llm import bytewords, components, jaccard, kneserney
 
 
 def test_stars_are_not_worked_on_again(spark, monkeypatch):
@@ -37,4 +37,4 @@ def test_tasks_hold_bounded_arrays():
     finally:
         tracemalloc.stop()
     assert peak <= 14 * len(data)  # 17 if not worked out in place
-    assert jaccard.SLICE <= 2 << 20
+    assert jaccard.SLICE <= 2 << 20 and kneserney.SLICE <= 1 << 20 and kneserney.FLUSH <= 1_000_000

@@ -31,7 +31,8 @@ from vidmart.sources.staging import new_folder
 END = np.uint64(0x6A09E667F3BCC909)  # hash of the end of a text
 BLOCK_BITS = 18  # words of one file of columns
 WIDE = 4  # flag of sums that need 64 bits
-FLUSH = 2_000_000  # entries a task adds up before it passes them on
+SLICE = 1 << 20  # bytes of text worked on at once
+FLUSH = 1_000_000  # entries a task adds up before it passes them on
 PART = "shard bigint, hashes binary, counts binary"
 
 
@@ -68,7 +69,7 @@ def _sums(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarra
 
 def tokens(column: pa.Array):
     """(first row, hashes, rows) of slices of texts: words, and an end after each text."""
-    for first, data, offsets in text_slices(column):
+    for first, data, offsets in text_slices(column, SLICE):
         hashes, rows = words(data, offsets)
         n = len(offsets) - 1
         ends = np.cumsum(np.bincount(rows, minlength=n)) if n else np.zeros(0, np.int64)
