@@ -166,3 +166,15 @@ def test_only_ids_and_authors_meet_the_profiles(spark, tmp_path, no_broadcast):
     assert rows(final()) == got and len(got) == 6
     found = {r.video_id: r.follower_count for r in final().collect()}
     assert [found[str(i)] for i in range(6)] == [100, 100, 100, None, None, 100]
+
+
+def test_a_run_asked_for_by_itself_reads_bounded_pieces(spark, monkeypatch):
+    """As bench.py asks for it: not through a registered query, which bounds them too."""
+    old = spark.conf.get(session.SPLIT)
+    monkeypatch.setattr(queries, "_built", {(spark.sparkContext.applicationId, SF_DIR): "built"})
+    try:
+        spark.conf.set(session.SPLIT, "128m")
+        assert queries.run(spark, SF_DIR) == "built"
+        assert int(spark.conf.get(session.SPLIT)) == session.SPLIT_BYTES
+    finally:
+        spark.conf.set(session.SPLIT, old)
