@@ -3,8 +3,9 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
-from vidmart.llm import bytewords, components, jaccard, kneserney
+from vidmart.llm import bytewords, components, jaccard, kneserney, toxicity
 
 
 def test_stars_are_not_worked_on_again(spark, monkeypatch):
@@ -38,3 +39,31 @@ def test_tasks_hold_bounded_arrays():
         tracemalloc.stop()
     assert peak <= 14 * len(data)  # 17 if not worked out in place
     assert jaccard.SLICE <= 2 << 20 and kneserney.SLICE <= 1 << 20 and kneserney.FLUSH <= 1_000_000
+
+
+def test_words_are_valued_once_for_many_texts():
+    """Texts are scored as by their definition, each plain word of them once."""
+    rng = np.random.default_rng(3)
+    machine = toxicity.Machine(rng.standard_normal(toxicity.LETTERS**3), -0.4)
+    odd = ["", " \x1c\x85 ", "w i c k e d wicked", "a\u2003b  c word", "x y", "\u00dcber \u00fcber \u0130x", "-- ...", "q" * 90, "a-b A.B. ab"]
+    texts = odd + [" ".join(rng.choice(["Some", "some,", "(some)", "w\u00f6rds", "like", "these", "z" * 30], 40)) for _ in range(50)]
+
+    def value(word):
+        return max(machine.values(toxicity._pieces(toxicity.plain(word))), default=toxicity.NOTHING)
+
+    want = [
+        sorted([value(w) for w in set(toxicity.instances(t))] + [toxicity.NOTHING] * toxicity.WORST, reverse=True)[: toxicity.WORST]
+        for t in texts
+    ]
+    column = pa.array(["left out", *texts]).slice(1)
+    seen, values = [], machine.values
+    machine.values = lambda words: seen.extend(words) or values(words)
+    got = toxicity._worst(machine)(column)
+    assert np.array_equal(got, want)
+    machine.values = values
+    repeated = pa.array(texts[len(odd):] * 40)
+    seen.clear()
+    machine.values = lambda words: seen.extend(words) or values(words)
+    assert len(toxicity._worst(machine)(repeated)) == 2000
+    assert len(seen) == 6  # four words and two pieces of the long one
+    assert toxicity._worst(machine)(repeated.slice(0, 0)).shape == (0, toxicity.WORST)

@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from vidmart.llm.tables import cut, id_and_text
 DECAY = 0.75
 SPAN = 7  # characters from the first to the last of a triple
 LETTERS = 64  # classes of characters
+SHORT = 10  # characters of short words, which begin triples at eight places at most
 LONGEST = 26  # longer words are scored in overlapping pieces
 TRAINING_TEXTS = 20_000  # the classifier is fitted on at most so many labelled texts
 WITNESSES = 2_000  # toxic words, clean words of each choice, and hard clean words, at most
@@ -36,11 +38,12 @@ LANDMARKS = 256
 EVIDENCE = 9.5  # log likelihood ratio at which a word has half its full weight
 STEEP = 2  # of the curve from evidence to weight
 PENALTY = 0.01
-MEMO = 300_000
+ROWS = 2048  # texts scored at once
 NOTHING = -1.5  # the least value of a word, and that of none
 WORST = 3  # distinct words that decide on a text
 SINGLE = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 EDGES = ".,!?;:\"'()[]{}<>-_*#"
+PLAIN = np.array([ord(chr(c).lower()) if c < 128 and chr(c).isalnum() else 0 for c in range(256)], np.uint8)
 STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
@@ -52,6 +55,18 @@ def plain(token: str) -> str:
     return "".join(filter(str.isalnum, low))
 
 
+def _plain(words: pa.StringArray) -> pa.StringArray:
+    """plain() of every word; those of ASCII characters all at once."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    low = PLAIN[data]
+    ends = np.concatenate([[0], np.cumsum(low > 0)])[offsets - offsets[0]].astype(np.int32)
+    out = pa.StringArray.from_buffers(len(words), pa.py_buffer(ends), pa.py_buffer(low[low > 0]))
+    other = pc.invert(pc.string_is_ascii(words))
+    rest = [plain(w) for w in words.filter(other).to_pylist()]
+    return pc.replace_with_mask(out, other, pa.array(rest, pa.string()))
+
+
 def instances(text: str) -> list[str]:
     """What of a text is scored: its tokens, and runs of three or more single characters, joined."""
     runs = ["".join(m.split()) for m in SINGLE.findall(text)]
@@ -67,23 +82,30 @@ def _pieces(word: str) -> list[str]:
     return [marked[i : i + LONGEST] for i in range(0, len(marked) - LONGEST // 2, LONGEST // 2)]
 
 
-def codes(words: list[str]) -> np.ndarray:
+def codes(words: list[str], width: int = LONGEST) -> np.ndarray:
     """Class of every character, 0 beyond the end: a-z have one each, others share the rest."""
-    wide = np.zeros((len(words), LONGEST), np.int32)
+    wide = np.zeros((len(words), width), np.int32)
     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
     sizes = np.array([len(w) for w in words], np.int64)
-    inside = np.arange(LONGEST) < sizes[:, None]
+    inside = np.arange(width) < sizes[:, None]
     rest = 29 + points * 2654435761 % (1 << 32) % (LETTERS - 29)
     rest = np.where(points == 60, 27, np.where(points == 62, 28, rest))
     wide[inside] = np.where((points >= 97) & (points <= 122), points - 96, rest)
     return wide
 
 
+def _starts(wide: np.ndarray, b: int) -> int:
+    """At how many places a triple of b + 1 characters can begin. Short words have eight for each b, so
+    that sums over them are added up in the order of those over the first eight of more."""
+    return 8 if wide.shape[1] == SHORT + SPAN - 3 else wide.shape[1] - b
+
+
 def triples(wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code and weight of every triple of every word; weight 0 where there is none."""
     code, weight = [], []
     for a, b in STEPS:
-        x, y, z = wide[:, : LONGEST - b], wide[:, a : LONGEST - b + a], wide[:, b:]
+        n = _starts(wide, b)
+        x, y, z = wide[:, :n], wide[:, a : a + n], wide[:, b : b + n]
         code.append((x * LETTERS + y) * LETTERS + z)
         weight.append(np.where(z > 0, DECAY ** (b + 1), 0.0))
     return np.concatenate(code, 1), np.concatenate(weight, 1)
@@ -129,17 +151,25 @@ class Machine:
         word ends with class 0, which no triple of a training word does, so its weight is 0."""
         total = np.zeros(len(wide), np.float32)
         for a in range(1, SPAN - 1):
-            pair = wide[:, : LONGEST - a] * np.int32(LETTERS) + wide[:, a:]
+            pair = wide[:, : wide.shape[1] - a] * np.int32(LETTERS) + wide[:, a:]
             pair *= np.int32(LETTERS)
             for b in range(a + 1, SPAN):
-                total += self.weights.take(pair[:, : LONGEST - b] + wide[:, b:]).sum(1) * np.float32(DECAY ** (b + 1))
+                n = _starts(wide, b)
+                total += self.weights.take(pair[:, :n] + wide[:, b : b + n]).sum(1) * np.float32(DECAY ** (b + 1))
         return total
 
     def values(self, words: list[str]) -> np.ndarray:
-        """Decision value of each word of at most LONGEST characters."""
+        """Decision value of each word of at most LONGEST characters; those of at most SHORT take less work."""
+        short = np.array([len(w) <= SHORT for w in words], bool)
+        out = np.empty(len(words))
+        for rows, width in ((np.flatnonzero(short), SHORT + SPAN - 3), (np.flatnonzero(~short), LONGEST)):
+            out[rows] = self._values([words[i] for i in rows.tolist()], width)
+        return out
+
+    def _values(self, words: list[str], width: int) -> np.ndarray:
         out, most = np.full(len(words), NOTHING), _most()
         for k in range(0, len(words), 4096):
-            wide = codes(words[k : k + 4096])
+            wide = codes(words[k : k + 4096], width)
             total = self.sums(wide).astype(np.float64)
             size = most[(wide > 0).sum(1)]
             near = np.flatnonzero(total > 0.1 * size)
@@ -273,19 +303,53 @@ def fit(texts: DataFrame) -> Machine | None:
 def _worst(machine: Machine):
     """The values of the WORST worst words of every text, in descending order."""
 
-    def run(texts: list[str], memo: dict) -> np.ndarray:
-        if len(memo) > MEMO:
-            memo.clear()
-        split = [set(instances(t)) for t in texts]
-        fresh = list({w for words in split for w in words if w not in memo})
-        parts = [(i, p) for i, w in enumerate(fresh) for p in _pieces(plain(w))]
-        best = np.full(len(fresh), NOTHING)
+    def valued(words: pa.StringArray) -> np.ndarray:
+        """Value of every word, that of its worst piece. Words that are equal when plain are worked out once."""
+        own = _plain(words).dictionary_encode()
+        size = pc.utf8_length(own.dictionary).to_numpy()
+        one, more = np.flatnonzero((size > 0) & (size <= LONGEST - 2)), np.flatnonzero(size > LONGEST - 2)
+        best = np.full(len(size), NOTHING)
+        marked = pc.binary_join_element_wise("<", own.dictionary.take(pa.array(one)), ">", "")
+        best[one] = machine.values(marked.to_pylist())
+        long = own.dictionary.take(pa.array(more)).to_pylist()
+        parts = [(i, p) for i, w in zip(more.tolist(), long, strict=True) for p in _pieces(w)]
         if parts:
             np.maximum.at(best, [i for i, _ in parts], machine.values([p for _, p in parts]))
-        memo.update(zip(fresh, best.tolist(), strict=True))
-        spare = [NOTHING] * WORST
-        out = [sorted(chain(map(memo.__getitem__, words), spare), reverse=True)[:WORST] for words in split]
-        return np.array(out).reshape(-1, WORST)
+        return best[own.indices.to_numpy()]
+
+    def run(texts: pa.Array) -> np.ndarray:
+        split = pc.utf8_split_whitespace(texts)  # at what str.split() splits at; also empty words at the ends
+        bounds = split.offsets.to_numpy()
+        words = split.flatten().dictionary_encode()
+        of, single = words.indices.to_numpy(), pc.utf8_length(words.dictionary).to_numpy() == 1
+        value = valued(words.dictionary)
+        order = np.argsort(-value, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        value = np.append(value[order], NOTHING)  # by rank; that of no word comes last
+        # rank of the worst word of each text, then of the worst of the others; every text ends with no word
+        ends = bounds[1:] - bounds[0] + np.arange(len(texts))
+        left = np.full(len(of) + len(texts), len(order))
+        inside = np.ones(len(left), bool)
+        inside[ends] = False
+        left[inside] = rank[of]
+        first = np.concatenate([[0], ends[:-1] + 1])
+        out = np.empty((len(texts), WORST))
+        for k in range(WORST if len(texts) else 0):
+            least = np.minimum.reduceat(left, first)
+            out[:, k] = value[least]
+            left[left == np.repeat(least, np.diff(ends, prepend=-1))] = len(order)
+        # texts with three single characters in a row have their runs as words besides
+        alone = np.zeros(len(left), bool)
+        alone[inside] = single[of]
+        rows = np.unique(np.searchsorted(ends, np.flatnonzero(alone[:-2] & alone[1:-1] & alone[2:])))
+        spaced = [list(set(instances(t))) for t in texts.take(pa.array(rows, pa.int64())).to_pylist()]
+        each = valued(pa.array(list(chain.from_iterable(spaced)), pa.string())).tolist()
+        at = 0
+        for i, words in zip(rows, spaced, strict=True):
+            out[i] = sorted(each[at : at + len(words)] + [NOTHING] * WORST, reverse=True)[:WORST]
+            at += len(words)
+        return out
 
     return run
 
@@ -324,20 +388,20 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
         worst = _worst(machine)
 
         def valued(batches):
-            memo: dict = {}
             for b in batches:
-                v = worst(b.column(0).to_pylist(), memo)
-                yield pa.RecordBatch.from_arrays([pa.array(v.tolist(), pa.list_(pa.float64())), b.column(1)], names=["v", "y"])
+                for k in range(0, len(b), ROWS):
+                    part = b.slice(k, ROWS)
+                    v = worst(part.column(0))
+                    yield pa.RecordBatch.from_arrays([pa.array(v.tolist(), pa.list_(pa.float64())), part.column(1)], names=["v", "y"])
 
         fitted = texts.mapInArrow(valued, "v array<double>, y int").collect()
         curve = _logistic(np.array([r["v"] for r in fitted]), np.array([float(r["y"]) for r in fitted]))
 
         def run(batches):
-            memo: dict = {}
             for b in batches:
-                for k in range(0, len(b), 1024):
-                    part = b.slice(k, 1024)
-                    v = worst(part.column(1).to_pylist(), memo)
+                for k in range(0, len(b), ROWS):
+                    part = b.slice(k, ROWS)
+                    v = worst(part.column(1))
                     p = 1 / (1 + np.exp(-np.clip(v @ curve[:-1] + curve[-1], -30, 30)))
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p)], names=["doc_id", "score"])
 
