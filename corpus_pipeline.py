@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from vidmart.llm import bpe, decontaminate, jaccard, linededup, quality
 from vidmart.llm.tables import cut, table
+from vidmart.session import bound_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
+    bound_batches(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
@@ -41,11 +43,13 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
+    bound_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the hash of what they decode to."""
+    bound_batches(spark)
     tokens = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
     decoded = bpe.decode(bpe.encode(docs, tokens, public_tokenizers.PATTERN), tokens)
     return decoded.select(

@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
+from vidmart import session
 from vidmart.llm import bytewords, components, jaccard, kneserney, toxicity
 
 
@@ -67,3 +68,26 @@ def test_words_are_valued_once_for_many_texts():
     assert len(toxicity._worst(machine)(repeated)) == 2000
     assert len(seen) == 6  # four words and two pieces of the long one
     assert toxicity._worst(machine)(repeated.slice(0, 0)).shape == (0, toxicity.WORST)
+
+
+def test_workers_get_bounded_batches(spark):
+    """Many long rows go to Python workers in batches of a few MB; a smaller setting stays."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 1000) AS text").coalesce(1)
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    def largest():
+        return max(r["n"] for r in docs.mapInArrow(size, "n long").collect())
+
+    spark.conf.unset(session.BATCH)
+    assert largest() > 20_000_000
+    try:
+        assert jaccard.join(docs).count() == 3000
+        assert largest() <= session.BATCH_BYTES + 20_000
+        spark.conf.set(session.BATCH, "1m")
+        session.bound_batches(spark)
+        assert largest() <= (1 << 20) + 20_000
+    finally:
+        spark.conf.unset(session.BATCH)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from vidmart.llm.bytewords import mix, shingles, text_slices, words
 from vidmart.llm.components import components
 from vidmart.llm.tables import cut, width
+from vidmart.session import bound_batches
 
 WORDS = 5
 THRESHOLD = 75  # per cent
@@ -320,6 +321,7 @@ def linked(sets: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, h, n, and first: the least (doc_id, h) of the texts that its text reaches by links."""
+    bound_batches(docs.sparkSession)
     docs_ = described(docs)
     classes = docs_.where("n > 0").groupBy("n", "d1", "d2").agg(
         F.min(F.struct("doc_id", "h")).alias("first"), F.max("common").alias("common")
