@@ -545,6 +545,63 @@ def test_short_items_are_found_wherever_they_are(spark):
     assert decontaminate.clean(table, bench).where("doc_id < 300").count() == 0
 
 
+def test_walks_by_two_steps_equal_those_by_one():
+    rng = np.random.default_rng(3)
+    n, reach = 500, decontaminate.REACH
+    data = np.concatenate([rng.integers(0, 256, n, np.uint8), np.zeros(reach, np.uint8)])
+    data[100:200] = np.resize(np.frombuffer(b"ab", np.uint8), 100)  # many equal keys
+    starts = np.arange(n)
+    for walk, steps, places in [(w, p[2], p[3]) for p in decontaminate.PLANS for w in range(p[1])]:
+        chosen = rng.choice(steps, places, replace=False)
+        words = np.zeros(-(-reach // decontaminate.HELD), np.uint64)
+        for s in chosen.tolist():
+            words[s // decontaminate.HELD] |= np.uint64(255 << 8 * (s % decontaminate.HELD))
+        keys = decontaminate._walk(decontaminate._pairs(data), starts, decontaminate._strides(11, walk), [words])[0]
+        wanted = []
+        for at in starts.tolist():
+            written = []
+            for s in range(steps):
+                written.append(int(data[at]))
+                at += int(decontaminate._bits(11)[walk, s, data[at]])
+            wanted.append(tuple(written[s] for s in chosen))
+        assert len(set(zip(wanted, keys.tolist()))) == len(set(wanted)) == len(set(keys.tolist()))
+
+
+def test_glances_lose_no_near_piece_and_refute_most_others(monkeypatch):
+    rng = random.Random(15)
+    voc = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 5))) for _ in range(60)]
+    items = [" ".join(rng.choices(voc, k=60))[:n] for n in range(66, 130, 2)]
+    texts = [" ".join(rng.choices(voc, k=300)) for _ in range(200)]
+    texts += [f"{texts[i]} {edited(rng, x, n)} {texts[-i]}" for i, x in enumerate(items) for n in range(0, len(x) // 4, 3)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    glances, exact, true_least = [], [], decontaminate.least_edits
+
+    def all_of(data, low, high, masks, which, size, most):
+        got = decontaminate.may_be_near(data, low, high, masks, which, size, most)
+        near = true_least(data, low, high, masks, which, size) <= most
+        assert not (near & ~got).any()
+        glances.append(len(low))
+        lanes = np.flatnonzero(got)
+        exact.append(len(lanes))
+        return np.flatnonzero(near), None
+
+    def counted(data, low, *rest):
+        exact.append(len(low))
+        return true_least(data, low, *rest)
+
+    wanted = decontaminate.views([x.encode() for x in items])
+    with monkeypatch.context() as m:
+        m.setattr(decontaminate, "near_lanes", all_of)
+        whole = sorted(decontaminate._matches(data, offsets, wanted, 0.2))
+    compared, seen = sum(glances), sum(exact)
+    exact.clear()
+    monkeypatch.setattr(decontaminate, "least_edits", counted)
+    assert sorted(decontaminate._matches(data, offsets, wanted, 0.2)) == whole
+    assert len(whole) > 100 and compared > 5000
+    assert sum(exact) == seen < 0.3 * compared
+
+
 # language model
 
 

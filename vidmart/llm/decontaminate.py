@@ -17,6 +17,7 @@ Edit distances count bytes of UTF-8, with A-Z as a-z and white space as one spac
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,16 @@ WORD = 64  # bytes of a piece that is compared by bit vectors
 PLANS = ((65, 5, 17, 14), (128, 2, 24, 20), (256, 2, 28, 23))  # bytes of an item, from; walks, steps, places
 ROOM = 0.1  # edits by length that a piece may have beyond those of its item
 LANE = 256  # bytes of text compared with a short item at once
-LANES = 16384  # comparisons side by side
+LANES = 4096  # comparisons side by side
+GLANCE = 8  # bytes of text after which a comparison looks at its edits
 STARTS = 16384  # windows walked together
+HELD = 6  # steps of a walk in one word, a byte each; its top byte counts how far they went
 LONG, EVERY = 12, 6  # bytes of a run without white space after which windows begin, and how often
 BLOCK_BYTES = 1 << 20  # of items looked up together; their tables, some 60 bytes for each, are broadcast
 PREFIX_BITS = 21
 NO_BYTE = 255  # in no UTF-8 text
+REACH = max(p[2] for p in PLANS)
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -51,10 +56,11 @@ def fold(data: np.ndarray) -> np.ndarray:
 class Views:
     """Keys of the items of one size from each of their bytes on, for every walk."""
 
-    samples: np.ndarray  # walk, place -> step
+    samples: np.ndarray  # walk, word of the walk -> bits of the places
     prefixes: list  # walk -> first bits of keys that occur
-    keys: list  # walk -> sorted keys
-    views: list  # walk -> view of each key
+    keys: list  # walk -> sorted keys, each once
+    bounds: list  # walk -> where the views of each key begin, and their end
+    views: list  # walk -> views by key
     item: np.ndarray  # view -> item
     offset: np.ndarray  # view -> byte of the item
     piece: np.ndarray  # view -> piece that it begins in
@@ -70,33 +76,71 @@ class Items:
     owner: np.ndarray  # piece -> item
     begin: np.ndarray  # piece -> its first byte in the item
     size: np.ndarray  # piece -> bytes, WORD at most
-    bits: np.ndarray  # walk, step, byte -> 0 or 1
-
-
-def _walk(data: np.ndarray, at: np.ndarray, bits: np.ndarray, samples: list[np.ndarray]) -> list[np.ndarray]:
-    """For each array of steps the hash of the bytes that the walks from positions ``at`` write at
-    them. ``data`` reaches as many bytes beyond every position as there are steps."""
-    at, wanted = at.astype(np.int32), [{s: i for i, s in enumerate(x.tolist())} for x in samples]
-    written = [np.zeros((len(at), -(-len(x) // 8) * 8), np.uint8) for x in samples]
-    for s in range(max(int(x[-1]) for x in samples) + 1):
-        c = data.take(at)
-        for out, places in zip(written, wanted, strict=True):
-            if s in places:
-                out[:, places[s]] = c
-        at += bits[s].take(c)
-    keys = []
-    for out in written:
-        key = np.zeros(len(at), np.uint64)
-        for part in out.view(np.uint64).T:
-            key = mix(key + part)
-        keys.append(key)
-    return keys
-
-
-def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray, plan: tuple, bits: np.ndarray, seed: int) -> Views:
+    seed: int  # of the walks' bits
+
+
+@lru_cache(maxsize=2)
+def _bits(seed: int) -> np.ndarray:
+    """walk, step, byte -> 0 or 1."""
+    steps = -(-REACH // 2) * 2
+    return np.random.default_rng(seed).integers(0, 2, (max(p[1] for p in PLANS), steps, 256))
+
+
+@lru_cache(maxsize=max(p[1] for p in PLANS))
+def _strides(seed: int, walk: int) -> list[np.ndarray]:
+    """For each two steps of a walk, by two bytes of text: what the steps write, at their places in
+    a word, and in its top byte how far they go."""
+    bits, out = _bits(seed)[walk], []
+    after, first = np.indices((256, 256))
+    for s in range(0, max(p[2] for p in PLANS if walk < p[1]), 2):
+        far = bits[s][first]
+        second = np.where(far, after, first)
+        written = (first | second << 8) << 8 * (s % HELD)
+        out.append((written | (far + bits[s + 1][second]) << 56).astype(np.uint64).ravel())
+    return out
+
+
+def _pairs(data: np.ndarray) -> np.ndarray:
+    """Each byte and the one after it, as one number."""
+    out = data.astype(np.uint16)
+    out[:-1] |= out[1:] << np.uint16(8)
+    return out
+
+
+def _walk(pairs: np.ndarray, at: np.ndarray, strides: list[np.ndarray], samples: list[np.ndarray]) -> list[np.ndarray]:
+    """For each array of places the hash of the bytes that the walks from positions ``at`` write at
+    them. ``pairs`` reaches as many bytes beyond every position as there are steps."""
+    at, here = at.astype(np.int64), at.astype(np.int64)
+    two, which = np.empty(len(at), np.uint16), np.empty(len(at), np.int64)
+    word, more = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+    keys = [np.zeros(len(at), np.uint64) for _ in samples]
+    for w in range(max(int(np.flatnonzero(x)[-1]) for x in samples) + 1):
+        word[:] = 0
+        for table in strides[w * HELD // 2 : (w + 1) * HELD // 2]:
+            pairs.take(here, out=two, mode="clip")
+            which[:] = two
+            table.take(which, out=more, mode="clip")
+            word += more
+            np.right_shift(word, np.uint64(56), out=more)
+            np.add(at, more.view(np.int64), out=here)
+        at[:] = here
+        for key, places in zip(keys, samples, strict=True):
+            if places[w]:
+                np.bitwise_and(word, places[w], out=more)
+                key += more
+                key *= SPREAD
+                np.right_shift(key, np.uint64(32), out=more)
+                key ^= more
+    return [mix(key) for key in keys]
+
+
+def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray, plan: tuple, seed: int) -> Views:
     _, walks, steps, places = plan
     rng = np.random.default_rng([seed, steps])
-    samples = np.stack([np.sort(rng.choice(steps, places, replace=False)) for _ in range(walks)])
+    samples = np.zeros((walks, -(-REACH // HELD)), np.uint64)
+    for w in range(walks):
+        for s in rng.choice(steps, places, replace=False).tolist():
+            samples[w, s // HELD] |= np.uint64(255 << 8 * (s % HELD))
     item, offset, piece, starts, parts, at = [], [], [], [], [], 0
     for i in chosen:
         x = folded[i]
@@ -108,15 +152,17 @@ def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray
         starts.append(at + own)
         parts += [x, np.zeros(steps, np.uint8)]
         at += len(x) + steps
-    data, starts = np.concatenate(parts), np.concatenate(starts)
-    v = Views(samples, [], [], [], *(np.concatenate(c) for c in (item, offset, piece)))
+    pairs, starts = _pairs(np.concatenate(parts)), np.concatenate(starts)
+    v = Views(samples, [], [], [], [], *(np.concatenate(c) for c in (item, offset, piece)))
     for w in range(walks):
-        key = _walk(data, starts, bits[w], [samples[w]])[0]
+        key = _walk(pairs, starts, _strides(seed, w), [samples[w]])[0]
         there = np.zeros(1 << PREFIX_BITS, bool)
         there[(key >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)] = True
         order = np.argsort(key, kind="stable")
         v.prefixes.append(there)
-        v.keys.append(key[order])
+        keys, first = np.unique(key[order], return_index=True)
+        v.keys.append(keys)
+        v.bounds.append(np.append(first, len(order)))
         v.views.append(order.astype(np.int32))
     return v
 
@@ -130,13 +176,12 @@ def views(items: list[bytes], seed: int = 11) -> Items:
         owner += [i] * (len(edges) - 1)
         begin += edges[:-1].tolist()
         size += np.diff(edges).tolist()
-    bits = np.random.default_rng(seed).integers(0, 2, (max(p[1] for p in PLANS), max(p[2] for p in PLANS), 256))
-    out = Items(folded, [], [], *(np.array(c, np.int64) for c in (owner, begin, size)), bits.astype(np.int32))
+    out = Items(folded, [], [], *(np.array(c, np.int64) for c in (owner, begin, size)), seed)
     out.short = [pieces[i][0] for i, x in enumerate(folded) if 0 < len(x) <= WORD]
     for plan, after in zip(PLANS, [*[p[0] for p in PLANS[1:]], 1 << 62], strict=True):
         chosen = [i for i, x in enumerate(folded) if plan[0] <= len(x) < after]
         if chosen:
-            out.plans.append(_views(folded, chosen, pieces, out.begin, plan, out.bits, seed))
+            out.plans.append(_views(folded, chosen, pieces, out.begin, plan, seed))
     return out
 
 
@@ -155,17 +200,21 @@ def windows(folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def candidates(data: np.ndarray, starts: np.ndarray, v: Items) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each plan numbers of window starts, and views, with equal keys in some walk."""
-    found = [([], []) for _ in v.plans]
+    found, pairs = [([], []) for _ in v.plans], _pairs(data)
     for k in range(0, len(starts), STARTS):
         part = starts[k : k + STARTS]
         for w in range(max(len(p.keys) for p in v.plans)):
             own = [i for i, p in enumerate(v.plans) if w < len(p.keys)]
-            keys = _walk(data, part, v.bits[w], [v.plans[i].samples[w] for i in own])
+            keys = _walk(pairs, part, _strides(v.seed, w), [v.plans[i].samples[w] for i in own])
             for i, key in zip(own, keys, strict=True):
                 p = v.plans[i]
                 left = np.flatnonzero(p.prefixes[w].take((key >> np.uint64(64 - PREFIX_BITS)).view(np.int64)))
-                low, high = (np.searchsorted(p.keys[w], key[left], side) for side in ("left", "right"))
-                many = high - low
+                key = key[left]
+                same = np.searchsorted(p.keys[w], key)
+                there = np.flatnonzero(p.keys[w].take(same, mode="clip") == key)
+                left, same = left[there], same[there]
+                low = p.bounds[w][same]
+                many = p.bounds[w][same + 1] - low
                 nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 found[i][0].append(k + np.repeat(left, many))
                 found[i][1].append(p.views[w][np.repeat(low, many) + nth])
@@ -207,6 +256,57 @@ def least_edits(data: np.ndarray, low: np.ndarray, high: np.ndarray, masks: np.n
     return out
 
 
+def may_be_near(
+    data: np.ndarray, low: np.ndarray, high: np.ndarray, masks: np.ndarray, which: np.ndarray, size: np.ndarray, most: np.ndarray
+) -> np.ndarray:
+    """Whether ``least_edits`` may be ``most`` or less: True wherever it is, False for nearly all others.
+
+    The same bit vectors, but the edits are summed up from them after every GLANCE bytes only: a byte
+    changes them by one at most. Bytes after ``high`` are read too, which can but lower them.
+    """
+    out = np.zeros(len(low), bool)
+    span = -(-int((high - low).max(initial=0)) // GLANCE) * GLANCE
+    padded, flat, one, byte = np.append(data, np.full(span, NO_BYTE, np.uint8)), masks.ravel(), np.uint64(1), np.uint64(255)
+    for k in range(0, len(low) if span else 0, LANES):
+        lo, row, m, limit = (x[k : k + LANES] for x in (low, which * 256, size, most + GLANCE - 1))
+        texts = np.lib.stride_tricks.sliding_window_view(padded, span)[lo].view("<u8")
+        row, beyond = row.astype(np.uint64), (WORD - m).astype(np.uint64)
+        pv, mv = np.full(len(lo), ~np.uint64(0)), np.zeros(len(lo), np.uint64)
+        text, eq, xv, ph, mh = (np.empty(len(lo), np.uint64) for _ in range(5))
+        for eight in texts.T:
+            text[:] = eight
+            for _ in range(GLANCE):
+                np.bitwise_and(text, byte, out=mh)
+                mh += row
+                flat.take(mh.view(np.int64), out=eq, mode="clip")
+                text >>= np.uint64(8)
+                np.bitwise_or(eq, mv, out=xv)
+                np.bitwise_and(eq, pv, out=mh)
+                mh += pv
+                mh ^= pv
+                mh |= eq
+                np.bitwise_or(mh, pv, out=ph)
+                np.invert(ph, out=ph)
+                ph |= mv
+                mh &= pv
+                ph <<= one
+                mh <<= one
+                np.bitwise_and(ph, xv, out=mv)
+                xv |= ph
+                np.invert(xv, out=xv)
+                np.bitwise_or(mh, xv, out=pv)
+            out[k : k + LANES] |= np.bitwise_count(pv << beyond) - np.bitwise_count(mv << beyond) <= limit
+    return out
+
+
+def near_lanes(data: np.ndarray, low: np.ndarray, high: np.ndarray, masks: np.ndarray, which: np.ndarray, size: np.ndarray, most: np.ndarray):
+    """Numbers of the lanes whose least edits are at most ``most``, and these edits."""
+    lanes = np.flatnonzero(may_be_near(data, low, high, masks, which, size, most))
+    cost = least_edits(data, low[lanes], high[lanes], masks, which[lanes], size[lanes])
+    near = cost <= most[lanes]
+    return lanes[near], cost[near]
+
+
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Least edits between ``item`` and any part of ``text``; that part's start and end.
 
@@ -242,9 +342,8 @@ def _short(folded: np.ndarray, offsets: np.ndarray, v: Items, share: float):
         most = int(share * m)
         high = np.minimum(offsets[rows + 1], low + LANE + m + most)
         none = np.zeros(len(low), np.int64)
-        cost = least_edits(folded, low, high, _masks(v, np.array([p])), none, none + m)
-        near = np.flatnonzero(cost <= most)
-        near = near[np.lexsort((low[near], cost[near], rows[near]))]
+        near, cost = near_lanes(folded, low, high, _masks(v, np.array([p])), none, none + m, none + most)
+        near = near[np.lexsort((low[near], cost, rows[near]))]
         for k in near[np.unique(rows[near], return_index=True)[1]].tolist():
             edits, s, e = align(v.items[i], folded[low[k] : high[k]])
             yield int(rows[k]), i, edits, int(low[k]) + s, int(low[k]) + e
@@ -258,7 +357,7 @@ def _matches(data: np.ndarray, offsets: np.ndarray, v: Items, share: float):
     if not len(starts) or not v.plans:
         return
     # zeros after every row, so that no window reads the next one
-    gap = v.bits.shape[1]
+    gap = REACH
     n_rows = len(offsets) - 1
     spaced = np.zeros(len(folded) + n_rows * gap, np.uint8)
     spaced[np.arange(len(folded)) + np.repeat(np.arange(n_rows) * gap, np.diff(offsets))] = folded
@@ -272,7 +371,7 @@ def _matches(data: np.ndarray, offsets: np.ndarray, v: Items, share: float):
         most = ((share + ROOM) * v.size[piece]).astype(np.int64)
         low = np.maximum(begin + v.begin[piece] - most - 8, offsets[row])
         high = np.minimum(begin + v.begin[piece] + v.size[piece] + most + 8, offsets[row + 1])
-        near = np.flatnonzero(least_edits(folded, low, high, masks, piece, v.size[piece]) <= most)
+        near, _ = near_lanes(folded, low, high, masks, piece, v.size[piece], most)
         found.append(np.stack([row[near], item[near], begin[near]], 1))
     seen: dict[tuple[int, int], list] = {}
     triples = np.unique(np.concatenate(found), axis=0)
