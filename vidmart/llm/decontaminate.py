@@ -40,7 +40,7 @@ STARTS = 16384  # windows walked together
 HELD = 6  # steps of a walk in one word, a byte each; its top byte counts how far they went
 LONG, EVERY = 12, 6  # bytes of a run without white space after which windows begin, and how often
 BLOCK_BYTES = 1 << 20  # of items looked up together; their tables, some 60 bytes for each, are broadcast
-PREFIX_BITS = 21
+PREFIX_BITS = 21  # at most
 NO_BYTE = 255  # in no UTF-8 text
 REACH = max(p[2] for p in PLANS)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -156,8 +156,9 @@ def _views(folded: list, chosen: list[int], first_piece: dict, begin: np.ndarray
     v = Views(samples, [], [], [], [], *(np.concatenate(c) for c in (item, offset, piece)))
     for w in range(walks):
         key = _walk(pairs, starts, _strides(seed, w), [samples[w]])[0]
-        there = np.zeros(1 << PREFIX_BITS, bool)
-        there[(key >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)] = True
+        bits = min(len(key).bit_length() + 6, PREFIX_BITS)
+        there = np.zeros(1 << bits, bool)
+        there[(key >> np.uint64(64 - bits)).astype(np.int64)] = True
         order = np.argsort(key, kind="stable")
         v.prefixes.append(there)
         keys, first = np.unique(key[order], return_index=True)
@@ -208,7 +209,8 @@ def candidates(data: np.ndarray, starts: np.ndarray, v: Items) -> list[tuple[np.
             keys = _walk(pairs, part, _strides(v.seed, w), [v.plans[i].samples[w] for i in own])
             for i, key in zip(own, keys, strict=True):
                 p = v.plans[i]
-                left = np.flatnonzero(p.prefixes[w].take((key >> np.uint64(64 - PREFIX_BITS)).view(np.int64)))
+                first = key >> np.uint64(65 - len(p.prefixes[w]).bit_length())
+                left = np.flatnonzero(p.prefixes[w].take(first.view(np.int64)))
                 key = key[left]
                 same = np.searchsorted(p.keys[w], key)
                 there = np.flatnonzero(p.keys[w].take(same, mode="clip") == key)
@@ -316,17 +318,25 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     n = len(text)
     steps = np.arange(n + 1)
     cost, start = np.zeros(n + 1, np.int64), steps.copy()
+    room = (n + 1).bit_length()
+    below, back = (1 << room) - 1, n + 1 - steps
     for c in item:
         diagonal = cost[:-1] + (text != c)
-        above = cost + 1
-        best, from_ = above.copy(), start.copy()
+        best, from_ = cost + 1, start.copy()
         better = diagonal < best[1:]
-        best[1:][better], from_[1:][better] = diagonal[better], start[:-1][better]
+        np.copyto(from_[1:], start[:-1], where=better)
+        np.minimum(best[1:], diagonal, out=best[1:])
         # from the left: the least of best[j] - j so far, plus j
-        packed = (best - steps) * (2 * n + 4) + (n + 1 - steps)
-        least = np.minimum.accumulate(packed)
-        source = n + 1 - least % (2 * n + 4)
-        cost, start = best[source] + steps - source, from_[source]
+        packed = best - steps
+        packed <<= room
+        packed |= back
+        np.minimum.accumulate(packed, out=packed)
+        packed &= below
+        source = np.subtract(n + 1, packed, out=packed)
+        cost = best.take(source)
+        cost += steps
+        cost -= source
+        start = from_.take(source)
     end = int(cost.argmin())
     return int(cost[end]), int(start[end]), end
 
